@@ -92,6 +92,16 @@ def hourly_counts(df: DataFrame, name: str, ts_col: str = "arrival_ts") -> DataF
         F.count(F.lit(1)).alias(name))
 
 
+def reconcile_routed(routed: DataFrame, routes=("valid", "invalid", "duplicate", "quarantine")) -> DataFrame:
+    """Single-pass reconciliation of one routed frame: per arrival hour, the
+    raw count and the count of each route (one hash aggregate)."""
+    counts = [F.count_if(F.col("route") == r).alias(r) for r in routes]
+    out = routed.groupBy(partition_key().alias("partition_key")).agg(
+        F.count(F.lit(1)).alias("raw"), *counts)
+    total = sum((F.col(r) for r in routes), F.lit(0))
+    return out.withColumn("balanced", F.col("raw") == total)
+
+
 def reconcile(raw: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
     """Per arrival hour: raw count vs the sum of the routed outputs.
 

@@ -81,7 +81,8 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
         routed = validate_running_max(flagged, on_duplicate, plan=plan, strict=strict)
         return plan.finish(routed)
     from .ttl import validate_with_ttl
-    return validate_with_ttl(plan.finish(flagged), state_ttl_seconds, on_duplicate, strict=strict)
+    return validate_with_ttl(flagged, state_ttl_seconds, on_duplicate, plan=plan,
+                             strict=strict, prepared=True)
 
 
 def split_routes(df: DataFrame) -> dict[str, DataFrame]:

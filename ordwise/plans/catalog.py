@@ -57,6 +57,20 @@ def q_validate_keep_dups(spark, sf):
     return routed(spark, sf, "keep").select(*ROUTE_COLS)
 
 
+STATE_TTL_SECONDS = 600
+TTL_COLS = ["event_id", "order_id", "event_type", "arrival_seq", "is_dup", "route"]
+
+
+def q_validate_ttl(spark, sf):
+    return process_events(clickstream_events(spark, sf), on_duplicate="drop",
+                          state_ttl_seconds=STATE_TTL_SECONDS).select(*TTL_COLS)
+
+
+def q_validate_ttl_keep_dups(spark, sf):
+    return process_events(clickstream_events(spark, sf), on_duplicate="keep",
+                          state_ttl_seconds=STATE_TTL_SECONDS).select(*TTL_COLS)
+
+
 def q_route_counts(spark, sf):
     return metrics.route_counts(routed(spark, sf))
 
@@ -129,10 +143,7 @@ def q_status_funnel(spark, sf):
 
 
 def q_reconcile_routes(spark, sf):
-    r = routed(spark, sf)
-    outs = {name: r.where(F.col("route") == name)
-            for name in ["valid", "invalid", "duplicate", "quarantine"]}
-    return analytics.reconcile(r, outs)
+    return analytics.reconcile_routed(routed(spark, sf))
 
 
 def q_csv_cleanup(spark, sf):

@@ -160,6 +160,31 @@ def milestones_sql(src: str) -> str:
 SLICE1_TYPES = "('ORDER_PENDING', 'ORDER_PAID', 'ORDER_SHIPPED')"
 
 
+def ttl_fold_sql(mode: str = "drop", ttl_micros: int = TTL_MICROS) -> str:
+    """Expiring-state validation as a recursive CTE, one step per event."""
+    counted = "rk IS NOT NULL AND NOT is_dup" if mode == "drop" else "rk IS NOT NULL"
+    dup_route = "WHEN r.is_dup THEN 'duplicate'" if mode == "drop" else ""
+    ok = f"(c.us - f.st_us >= {ttl_micros} OR c.rk >= f.st_rank)"
+    return f"""WITH RECURSIVE {routed_ctes(mode)},
+c AS (
+  SELECT order_id, arrival_seq, rk, epoch_us(arrival_ts) AS us,
+         row_number() OVER (PARTITION BY order_id ORDER BY arrival_ts, arrival_seq) AS i
+  FROM flagged WHERE {counted}
+),
+fold AS (
+  SELECT order_id, i, arrival_seq, true AS ok, rk AS st_rank, us AS st_us FROM c WHERE i = 1
+  UNION ALL
+  SELECT c.order_id, c.i, c.arrival_seq, {ok},
+         CASE WHEN {ok} THEN c.rk ELSE f.st_rank END,
+         CASE WHEN {ok} THEN c.us ELSE f.st_us END
+  FROM fold f JOIN c ON c.order_id = f.order_id AND c.i = f.i + 1
+)
+SELECT r.event_id, r.order_id, r.event_type, r.arrival_seq, r.is_dup,
+       CASE WHEN r.rk IS NULL THEN 'quarantine' {dup_route}
+            WHEN f.ok THEN 'valid' ELSE 'invalid' END AS route
+FROM flagged r LEFT JOIN fold f ON r.order_id = f.order_id AND r.arrival_seq = f.arrival_seq"""
+
+
 def oracle_sql() -> dict[str, str]:
     A = adapter_a_ctes()
     R = routed_ctes("drop")
@@ -179,6 +204,8 @@ SELECT event_id, order_id, arrival_ts, arrival_seq, prev_seen_ts, is_dup FROM fl
 SELECT event_id, order_id, event_type, arrival_seq FROM flagged WHERE NOT is_dup"""
     q["validate_drop_dups"] = f"WITH {R}\nSELECT {route_cols} FROM routed"
     q["validate_keep_dups"] = f"WITH {K}\nSELECT {route_cols} FROM routed"
+    q["validate_ttl"] = ttl_fold_sql("drop")
+    q["validate_ttl_keep_dups"] = ttl_fold_sql("keep")
     q["route_counts"] = f"""WITH {R}
 SELECT route, count(*) AS n, CAST(sum(CAST(is_dup AS BIGINT)) AS BIGINT) AS flagged_dups
 FROM routed GROUP BY route"""
