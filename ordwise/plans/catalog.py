@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.codec import csv_line, parse_csv_lines
 from ..operators import analytics, metrics, upsert
 from ..operators.validate import process_events
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.testdata import clickstream_events, order_lineitem_events
+from . import loader
+from .archive import write_csv_archive
 
 ROUTE_COLS = ["event_id", "order_id", "event_type", "arrival_seq", "is_dup", "prev_rank", "route"]
 ORDER_OUT = ["order_id", "latest_event_id", "order_status", "latest_event_time",
@@ -154,6 +157,67 @@ def q_csv_cleanup(spark, sf):
         "quantity", "price", "arrival_seq")
 
 
+# --- loader ------------------------------------------------------------------
+SPLIT_DAY = 15  # first load: arrival day-of-month <= 15; second: the rest
+DATASETS = ["valid", "invalid"]
+
+
+def _routed_once(spark, sf):
+    """Routed events materialised once (reliable checkpoint), so the archive
+    slices below do not each recompute dedup and validation."""
+    ensure_checkpoint_dir(spark)
+    return routed(spark, sf).checkpoint(eager=True)
+
+
+def _write_slice(r, landing, first: bool):
+    day = F.dayofmonth("arrival_ts")
+    cond = day <= SPLIT_DAY if first else day > SPLIT_DAY
+    for ds in DATASETS:
+        write_csv_archive(r.where((F.col("route") == ds) & cond), landing[ds])
+
+
+def _setup(spark, name):
+    root = scratch_path(spark, name)
+    landing = {ds: f"{root}/landing/{ds}-events" for ds in DATASETS}
+    return loader.Warehouse(spark, f"{root}/warehouse"), landing
+
+
+def q_load_pending_partitions(spark, sf):
+    r = _routed_once(spark, sf)
+    wh, landing = _setup(spark, "pending")
+    _write_slice(r, landing, first=True)
+    for ds in DATASETS:
+        loader.load(spark, wh, landing[ds], ds)
+    _write_slice(r, landing, first=False)
+    files = loader.discover(spark, landing["valid"], "valid").unionByName(
+        loader.discover(spark, landing["invalid"], "invalid"))
+    return (loader.pending_partitions(files, wh.tracker())
+            .select("dataset", "partition_key", "ready"))
+
+
+def q_load_is_idempotent(spark, sf):
+    r = _routed_once(spark, sf)
+    wh, landing = _setup(spark, "idempotent")
+    _write_slice(r, landing, first=True)
+    _write_slice(r, landing, first=False)
+    for ds in DATASETS:
+        loader.load(spark, wh, landing[ds], ds)              # load
+        loader.load(spark, wh, landing[ds], ds)              # nothing pending
+        loader.load(spark, wh, landing[ds], ds, force=True)  # full reload
+    tables = wh.events("valid").withColumn("dataset", F.lit("valid")).unionByName(
+        wh.events("invalid").withColumn("dataset", F.lit("invalid")))
+    return tables.groupBy("dataset", "partition_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_orders_from_loads(spark, sf):
+    r = _routed_once(spark, sf)
+    wh, landing = _setup(spark, "orders")
+    for first in (True, False):
+        _write_slice(r, landing, first=first)
+        loader.load(spark, wh, landing["valid"], "valid")
+    return wh.orders.current().select(*ORDER_OUT)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}

@@ -277,4 +277,15 @@ FROM routed GROUP BY 1"""
 SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price,
        arrival_seq
 FROM routed WHERE route = 'valid'"""
+    loaded = f"""WITH {R},
+ld AS (SELECT route AS dataset, strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, *
+       FROM routed WHERE route IN ('valid', 'invalid'))"""
+    q["load_pending_partitions"] = f"""{loaded}
+SELECT DISTINCT dataset, partition_key, true AS ready FROM ld WHERE day(arrival_ts) > 15"""
+    q["load_is_idempotent"] = f"""{loaded}
+SELECT dataset, partition_key, count(*) AS n FROM ld GROUP BY 1, 2"""
+    q["orders_from_loads"] = f"""WITH {R},
+{latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) <= 15)", 's1')},
+{latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) > 15)", 's2')}
+{merge_sql('s1', 's2')}"""
     return q
