@@ -55,7 +55,16 @@ def write_csv_archive(df: DataFrame, root: str, mode: str = "append",
 
 
 def write_raw_archive(wire: DataFrame, root: str, mode: str = "append",
-                      ts_col: str = "arrival_ts") -> None:
-    """Every input line unmodified (JSON text), one folder per hour."""
+                      ts_col: str = "arrival_ts", fmt: str = "text") -> None:
+    """Every input line unmodified, one folder per hour.
+
+    ``fmt="text"``: the JSON lines only. ``fmt="parquet"``: the lines with
+    their arrival columns, so a replay reproduces the arrival order exactly.
+    """
     out = with_partition_columns(wire, ts_col).repartitionByRange(ts_col)
-    out.select("value", *PARTITION_COLS).write.mode(mode).partitionBy(*PARTITION_COLS).text(root)
+    w = out.write.mode(mode).partitionBy(*PARTITION_COLS)
+    if fmt == "text":
+        w = out.select("value", *PARTITION_COLS).write.mode(mode).partitionBy(*PARTITION_COLS)
+        w.text(root)
+    else:
+        w.parquet(root)

@@ -16,7 +16,9 @@ from ..functions.codec import csv_line, parse_csv_lines
 from ..operators import analytics, metrics, upsert
 from ..operators.validate import process_events
 from ..session import ensure_checkpoint_dir, scratch_path
-from ..sources.testdata import clickstream_events, order_lineitem_events
+from ..sources.streams import read_event_stream, write_wire_files
+from ..sources.testdata import clickstream_events, clickstream_wire, order_lineitem_events, table
+from ..streaming import jobs as sjobs
 from . import loader
 from .archive import write_csv_archive
 
@@ -218,6 +220,65 @@ def q_orders_from_loads(spark, sf):
     return wh.orders.current().select(*ORDER_OUT)
 
 
+# --- streaming -----------------------------------------------------------------
+# Arrival-day slices landed one after another; each is followed by one
+# availableNow run on the same checkpoint (a restart per slice).
+SLICES = [(1, 10), (11, 20), (21, 31)]
+
+
+def _replay(spark, sf, name, start_query):
+    """Land the wire records slice by slice and run ``start_query(stream,
+    root, checkpoint)`` to completion after each slice."""
+    root = scratch_path(spark, name)
+    src, ck = f"{root}/source", f"{root}/checkpoint"
+    wire = clickstream_wire(table(spark, sf, "events"))
+    day = F.dayofmonth("arrival_ts")
+    for lo, hi in SLICES:
+        write_wire_files(wire.where(day.between(lo, hi)), src)
+        stream = read_event_stream(spark, "files", src)
+        sjobs.run_available(start_query(stream, root, ck))
+    return root
+
+
+def q_stream_validate_replay(spark, sf):
+    root = _replay(spark, sf, "stream-validate", lambda st, r, ck: sjobs.start_validation(
+        st, f"{r}/out", ck, trigger={"availableNow": True}))
+    return sjobs.read_fanout(spark, f"{root}/out").select(*ROUTE_COLS)
+
+
+def q_stream_duplicate_counts(spark, sf):
+    root = _replay(spark, sf, "stream-dups", lambda st, r, ck: sjobs.start_validation(
+        st, f"{r}/out", ck, trigger={"availableNow": True}))
+    return sjobs.read_duplicate_counts(spark, f"{root}/out")
+
+
+def q_stream_counts(spark, sf):
+    root = _replay(spark, sf, "stream-counts", lambda st, r, ck: sjobs.start_counts(
+        sjobs.count_stream(sjobs.decode_stream(st), 30), f"{r}/counts", ck,
+        trigger={"availableNow": True}))
+    return spark.read.parquet(f"{root}/counts")
+
+
+def q_stream_event_time_counts(spark, sf):
+    root = _replay(spark, sf, "stream-et-counts", lambda st, r, ck: sjobs.start_counts(
+        sjobs.count_stream(sjobs.decode_stream(st), 30, ts_col="timestamp", watermark="5 seconds"),
+        f"{r}/counts", ck, trigger={"availableNow": True}))
+    return spark.read.parquet(f"{root}/counts")
+
+
+def q_stream_raw_archive(spark, sf):
+    root = _replay(spark, sf, "stream-raw", lambda st, r, ck: sjobs.start_raw_archive(
+        st, f"{r}/raw", ck, trigger={"availableNow": True}))
+    # one more run on the same checkpoint with no new input: nothing re-emitted
+    sjobs.run_available(sjobs.start_raw_archive(
+        read_event_stream(spark, "files", f"{root}/source"), f"{root}/raw",
+        f"{root}/checkpoint", trigger={"availableNow": True}))
+    raw = spark.read.text(f"{root}/raw")
+    from .archive import key_from_path
+    return (raw.groupBy(key_from_path(F.col("_metadata.file_path")).alias("partition_key"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}

@@ -288,4 +288,15 @@ SELECT dataset, partition_key, count(*) AS n FROM ld GROUP BY 1, 2"""
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) <= 15)", 's1')},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) > 15)", 's2')}
 {merge_sql('s1', 's2')}"""
+    q["stream_validate_replay"] = q["validate_drop_dups"]
+    q["stream_duplicate_counts"] = q["dup_counts_2s"]
+    q["stream_counts"] = q["counts_tumbling_30s"]
+    q["stream_event_time_counts"] = f"""WITH {A}
+SELECT time_bucket(INTERVAL 30 SECOND, "timestamp") AS window_start,
+       time_bucket(INTERVAL 30 SECOND, "timestamp") + INTERVAL 30 SECOND AS window_end,
+       event_type, count(*) AS n
+FROM order_events GROUP BY 1, 2, 3"""
+    q["stream_raw_archive"] = f"""WITH {A}
+SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS n
+FROM order_events GROUP BY 1"""
     return q

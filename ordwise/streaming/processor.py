@@ -1,0 +1,131 @@
+"""Keyed stateful validation for Structured Streaming.
+
+One ``StatefulProcessor`` per order (``groupBy("order_id")
+.transformWithStateInPandas``), equivalent row for row to the batch
+``process_events``:
+
+* value state ``last_valid``: rank and arrival (micros) of the last valid
+  event; with ``state_ttl_seconds`` it reads as absent once older than the
+  TTL (judged on arrival time, so replays give the same answer);
+* map state ``seen_ids``: event id -> last sighting (micros). Entries that can
+  no longer flag anything (older than the dedup TTL relative to the newest
+  arrival of the order) are evicted at the end of each call, so the map stays
+  bounded by the ids of one TTL window.
+
+Rows of one order within a micro-batch are sorted by ``(arrival_ts,
+arrival_seq)``; across micro-batches the source delivers arrival order. The
+time mode is ``None`` (expiry uses arrival time, not the wall clock), which
+also lets ``availableNow`` runs terminate.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+OUTPUT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.StringType()),
+    T.StructField("order_id", T.StringType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("timestamp", T.TimestampNTZType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("product_id", T.StringType()),
+    T.StructField("quantity", T.IntegerType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("arrival_ts", T.TimestampNTZType()),
+    T.StructField("arrival_seq", T.LongType()),
+    T.StructField("rk", T.IntegerType()),
+    T.StructField("malformed", T.BooleanType()),
+    T.StructField("is_dup", T.BooleanType()),
+    T.StructField("prev_rank", T.IntegerType()),
+    T.StructField("quarantine_reason", T.StringType()),
+    T.StructField("route", T.StringType()),
+])
+
+
+def _micros(s: pd.Series) -> np.ndarray:
+    return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
+
+
+class LifecycleProcessor(StatefulProcessor):
+    def __init__(self, on_duplicate: str = "drop", dedup_ttl_seconds: int | None = 600,
+                 state_ttl_seconds: int | None = None):
+        if on_duplicate not in ("drop", "keep"):
+            raise ValueError(on_duplicate)
+        self.drop = on_duplicate == "drop"
+        self.dedup_us = None if dedup_ttl_seconds is None else int(dedup_ttl_seconds) * 1_000_000
+        self.state_us = None if state_ttl_seconds is None else int(state_ttl_seconds) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_valid", "rk int, write_us long")
+        self.seen = handle.getMapState("seen_ids", "event_id string", "seen_us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = pdf.sort_values(["arrival_ts", "arrival_seq"], kind="stable").reset_index(drop=True)
+        n = len(pdf)
+        us = _micros(pdf["arrival_ts"])
+        ids = pdf["event_id"].to_numpy(dtype=object)
+        rk = pd.to_numeric(pdf["rk"], errors="coerce").to_numpy(dtype=float)
+        malformed = pdf["malformed"].fillna(False).to_numpy(dtype=bool)
+
+        seen = {k[0]: v[0] for k, v in self.seen.iterator()} if self.seen.exists() else {}
+        before = dict(seen)
+        st = self.last.get() if self.last.exists() else None
+        st_rank, st_us = (st[0], st[1]) if st else (None, 0)
+
+        is_dup = np.zeros(n, dtype=bool)
+        prev = np.full(n, np.nan)
+        route = np.empty(n, dtype=object)
+        reason = np.full(n, None, dtype=object)
+        for i in range(n):
+            eid = ids[i]
+            if eid is not None:
+                last_seen = seen.get(eid)
+                if last_seen is not None and (self.dedup_us is None or us[i] - last_seen < self.dedup_us):
+                    is_dup[i] = True
+                seen[eid] = int(us[i])
+            alive = st_rank is not None and (self.state_us is None or us[i] - st_us < self.state_us)
+            if alive:
+                prev[i] = st_rank
+            if malformed[i] or np.isnan(rk[i]):
+                route[i] = "quarantine"
+                reason[i] = "malformed" if malformed[i] else "unknown_type"
+                continue
+            if self.drop and is_dup[i]:
+                route[i] = "duplicate"
+                continue
+            if not alive or rk[i] >= st_rank:
+                route[i] = "valid"
+                st_rank, st_us = int(rk[i]), int(us[i])
+            else:
+                route[i] = "invalid"
+
+        if st_rank is not None:
+            self.last.update((int(st_rank), int(st_us)))
+        horizon = int(us.max()) if n else 0
+        for eid, v in seen.items():
+            if self.dedup_us is not None and horizon - v >= self.dedup_us:
+                if eid in before:
+                    self.seen.removeKey((eid,))
+            elif before.get(eid) != v:
+                self.seen.updateValue((eid,), (int(v),))
+
+        out = pd.DataFrame({
+            "event_id": pdf["event_id"], "order_id": pdf["order_id"],
+            "event_type": pdf["event_type"], "timestamp": pdf["timestamp"],
+            "customer_id": pdf["customer_id"], "product_id": pdf["product_id"],
+            "quantity": pd.array(pd.to_numeric(pdf["quantity"], errors="coerce"), dtype="Int32"),
+            "price": pd.to_numeric(pdf["price"], errors="coerce"),
+            "arrival_ts": pdf["arrival_ts"], "arrival_seq": pdf["arrival_seq"].astype("int64"),
+            "rk": pd.array(np.where(np.isnan(rk), None, rk), dtype="Int32"),
+            "malformed": malformed, "is_dup": is_dup,
+            "prev_rank": pd.array(np.where(np.isnan(prev), None, prev), dtype="Int32"),
+            "quarantine_reason": reason, "route": route,
+        })
+        yield out
+
+    def close(self) -> None:
+        pass
