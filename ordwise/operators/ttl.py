@@ -19,7 +19,8 @@ Plan:
    batch boundaries, so memory per task is one batch, never a whole group.
 
 Rows that do not count (quarantined; duplicates when dropped) pass through
-with their own route and leave the state untouched.
+with their own route and leave the state untouched. ``prev_rank`` is the
+rank of the live (unexpired) state seen by each row.
 """
 
 from __future__ import annotations
@@ -52,17 +53,17 @@ def _fold(ttl_us: int):
                 if orders[i] != cur_order or start[i]:
                     cur_order = orders[i]
                     st_rank = None
-                if not counted[i]:
-                    continue
                 alive = st_rank is not None and us[i] - st_us < ttl_us
                 if alive:
                     prev[i] = st_rank
+                if not counted[i]:
+                    continue
                 if not alive or rk[i] >= st_rank:
                     valid[i] = True
                     st_rank = rk[i]
                     st_us = us[i]
             out = pdf.drop(columns=["_counted", "_seg_start", "_us"])
-            out["ttl_prev_rank"] = pd.array(np.where(np.isnan(prev), None, prev), dtype="Int32")
+            out["prev_rank"] = pd.array(np.where(np.isnan(prev), None, prev), dtype="Int32")
             out["_valid"] = valid
             yield out
     return run
@@ -110,7 +111,7 @@ def validate_with_ttl(df: DataFrame, ttl_seconds: int, on_duplicate: str = "drop
     g = (g.withColumn("_us", us)
           .sortWithinPartitions("order_id", "arrival_ts", "arrival_seq"))
     schema = T.StructType([f for f in g.schema.fields if f.name not in ("_counted", "_seg_start", "_us")]
-                          + [T.StructField("ttl_prev_rank", T.IntegerType()),
+                          + [T.StructField("prev_rank", T.IntegerType()),
                              T.StructField("_valid", T.BooleanType())])
     folded = g.mapInPandas(_fold(ttl_us), schema)
     route = F.when(quarantined, F.lit("quarantine"))

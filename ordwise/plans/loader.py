@@ -149,8 +149,11 @@ def discover(spark: SparkSession, landing_root: str, dataset: str) -> DataFrame:
 
 
 def partition_status(files: DataFrame) -> DataFrame:
-    """Per partition: file counts and the completeness gate."""
-    return files.groupBy("dataset", "partition_key", "partition_path").agg(
+    """Per hour partition: file counts and the completeness gate. An hour may
+    span several folders (e.g. one per streaming micro-batch); it is ready
+    only when all of them are."""
+    return files.groupBy("dataset", "partition_key").agg(
+        F.countDistinct("partition_path").alias("n_folders"),
         F.count(F.lit(1)).alias("n_files"),
         F.count_if(F.col("loadable")).alias("n_loadable"),
         (F.bool_and("loadable") & (F.count_if(F.col("loadable")) > 0)).alias("ready"))
