@@ -19,8 +19,9 @@ Strategy (``SkewPlan``):
   tasks as it has chunks. The in-chunk window gives the prefix within the
   chunk; a *carry* (max over all earlier chunks of the key) comes from a
   chunk-level table computed over the hot subset only, which is tiny
-  (rows = hot keys x chunks). The carry is checkpointed, counted, and only
-  broadcast below a row bound; above it a shuffle join is used.
+  (rows = hot keys x chunks). The carry is materialised in the checkpoint
+  folder, counted, and only broadcast below a row bound; above it a shuffle
+  join is used.
 
 Chunks are a monotone function of the arrival time and the arrival order
 ``(arrival_ts, arrival_seq)`` is total, so ``greatest(carry, in-chunk max)``
@@ -35,7 +36,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 DEFAULT_CHUNK_SECONDS = 600
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -118,10 +119,8 @@ def prefix_max_before(df: DataFrame, keys: Sequence[str], value: Column, out: st
     hot = df.where(plan.hot_filter())
     chunk_max = hot.groupBy(*keys, ck).agg(F.max(value).alias("_cm"))
     wk = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    ensure_checkpoint_dir(df.sparkSession)
-    carry = (chunk_max.select(*keys, ck, F.max("_cm").over(wk).alias("_carry"))
-             .where(F.col("_carry").isNotNull())
-             .checkpoint(eager=True))
+    carry = materialize(chunk_max.select(*keys, ck, F.max("_cm").over(wk).alias("_carry"))
+                        .where(F.col("_carry").isNotNull()), "carry")
     if carry.count() <= BROADCAST_MAX_ROWS:
         carry = F.broadcast(carry)
     return (res.join(carry, on=[*keys, ck], how="left")

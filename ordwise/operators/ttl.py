@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .scan import SkewPlan, prefix_max_before
 from .validate import quarantine_reason
 
@@ -80,6 +81,7 @@ def validate_with_ttl(df: DataFrame, ttl_seconds: int, on_duplicate: str = "drop
     if on_duplicate not in ("drop", "keep"):
         raise ValueError(f"on_duplicate must be 'drop' or 'keep', not {on_duplicate!r}")
     plan = plan or SkewPlan()
+    ship_package(df.sparkSession)
     df = quarantine_reason(df)
     if strict:
         df = df.withColumn("quarantine_reason", F.when(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import csv_line, parse_csv_lines
 from ..operators import analytics, metrics, upsert
 from ..operators.validate import process_events
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import materialize, scratch_path, ship_package
 from ..sources.streams import read_event_stream, write_wire_files
 from ..sources.testdata import clickstream_events, clickstream_wire, order_lineitem_events, table
 from ..streaming import jobs as sjobs
@@ -165,10 +165,9 @@ DATASETS = ["valid", "invalid"]
 
 
 def _routed_once(spark, sf):
-    """Routed events materialised once (reliable checkpoint), so the archive
-    slices below do not each recompute dedup and validation."""
-    ensure_checkpoint_dir(spark)
-    return routed(spark, sf).checkpoint(eager=True)
+    """Routed events materialised once in the checkpoint folder, so the
+    archive slices below do not each recompute dedup and validation."""
+    return materialize(routed(spark, sf), "routed")
 
 
 def _write_slice(r, landing, first: bool):
@@ -279,6 +278,14 @@ def q_stream_raw_archive(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _shipped(fn):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items()
+    return {name[2:]: _shipped(fn) for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}

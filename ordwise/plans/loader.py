@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,9 +197,12 @@ def load(spark: SparkSession, wh: Warehouse, landing_root: str, dataset: str,
     if not paths:
         return summary
 
+    # The increment is scanned three times (bad-row check, table write, orders
+    # merge): keep it for the duration of this load (memory, spilling to disk).
     raw = (spark.read.schema(RAW_CSV_SCHEMA).option("header", "false")
            .option("mode", "FAILFAST").csv(paths)
-           .withColumn("partition_key", key_from_path(F.col("_metadata.file_path"))))
+           .withColumn("partition_key", key_from_path(F.col("_metadata.file_path")))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     bad_row = ((_nonblank(F.col("quantity")) & F.trim("quantity").try_cast("int").isNull())
                | (_nonblank(F.col("price")) & F.trim("price").try_cast("double").isNull()))
     failed = [r.partition_key for r in
@@ -225,6 +229,8 @@ def load(spark: SparkSession, wh: Warehouse, landing_root: str, dataset: str,
         for key in written:
             rollback_partition(spark, target, key)
         raise
+    finally:
+        raw.unpersist()
 
     # Commit point: tracker rows for the loaded files.
     loaded_files = pfiles.where(~F.col("partition_key").isin(failed)) if failed else pfiles

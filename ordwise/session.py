@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,9 +35,43 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ordwise`` code available to Python workers (``mapInPandas``
+    folds, stateful processors) wherever the driver runs.
+
+    * functions and classes of the package are pickled by value, so a worker
+      needs no import of ``ordwise`` (this also covers the driver-side
+      runner of stateful streaming, which ignores ``addPyFile``);
+    * the package zip is registered once per application with
+      ``addPyFile`` for anything still imported by name. Spark serves it to
+      every executor; the zip on the driver is only read by ``addPyFile``.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ordwise-pkg-"), "ordwise.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
@@ -55,6 +90,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder and read it back. Unlike a reliable RDD checkpoint this computes
+    the plan once, stores it columnar, and survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

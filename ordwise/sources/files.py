@@ -33,11 +33,16 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     files and never appear."""
     p, fs = _fs(spark, root)
     rows = []
-    if fs.exists(p):
-        it = fs.listFiles(p, True)
-        while it.hasNext():
-            st = it.next()
-            rows.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+    # listStatus per folder: no block locations are fetched (listFiles with
+    # located statuses was ~7x slower on the same tree)
+    stack = [p] if fs.exists(p) else []
+    while stack:
+        for st in fs.listStatus(stack.pop()):
+            if st.isDirectory():
+                stack.append(st.getPath())
+            else:
+                rows.append((st.getPath().toString(), int(st.getLen()),
+                             int(st.getModificationTime())))
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 

@@ -21,6 +21,7 @@ from ..functions.codec import EVENT_COLUMNS, ISO_FORMAT, decode_wire, with_rank
 from ..operators import metrics
 from ..operators.validate import ROUTES
 from ..plans.archive import PARTITION_COLS, with_partition_columns
+from ..session import ship_package
 from .processor import OUTPUT_SCHEMA, LifecycleProcessor
 
 
@@ -33,6 +34,7 @@ def validation_stream(decoded: DataFrame, on_duplicate: str = "drop",
                       state_ttl_seconds: int | None = None) -> DataFrame:
     """Routed events: keyed state per order. Rows without an order id cannot
     be keyed; they are quarantined without touching state."""
+    ship_package(decoded.sparkSession)
     keyed = decoded.where(F.col("order_id").isNotNull())
     routed = keyed.groupBy("order_id").transformWithStateInPandas(
         statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds),
@@ -55,7 +57,13 @@ def fanout_batch(out_root: str, fmt: str = "parquet",
     root = out_root.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = with_partition_columns(batch).persist()
+        # Compute the micro-batch once (the stateful step must not run per
+        # write), then range-partition on arrival so each task covers a
+        # contiguous time range: few files per hour folder, and a busy hour
+        # is still spread over several tasks.
+        cached = batch.persist()
+        batch = (with_partition_columns(cached)
+                 .repartitionByRange("arrival_ts", "arrival_seq").persist())
         try:
             for r in ROUTES:
                 part = batch.where(F.col("route") == r)
@@ -70,6 +78,7 @@ def fanout_batch(out_root: str, fmt: str = "parquet",
              .write.mode("overwrite").parquet(f"{root}/_duplicate_counts/batch_id={batch_id}"))
         finally:
             batch.unpersist()
+            cached.unpersist()
     return run
 
 

@@ -71,9 +71,10 @@ class LifecycleProcessor(StatefulProcessor):
         rk = pd.to_numeric(pdf["rk"], errors="coerce").to_numpy(dtype=float)
         malformed = pdf["malformed"].fillna(False).to_numpy(dtype=bool)
 
-        seen = {k[0]: v[0] for k, v in self.seen.iterator()} if self.seen.exists() else {}
+        # two state reads per order and micro-batch; writes only for changes
+        seen = {k[0]: v[0] for k, v in self.seen.iterator()}
         before = dict(seen)
-        st = self.last.get() if self.last.exists() else None
+        st = self.last.get()
         st_rank, st_us = (st[0], st[1]) if st else (None, 0)
 
         is_dup = np.zeros(n, dtype=bool)
@@ -103,7 +104,7 @@ class LifecycleProcessor(StatefulProcessor):
             else:
                 route[i] = "invalid"
 
-        if st_rank is not None:
+        if st_rank is not None and (st is None or (st_rank, st_us) != (st[0], st[1])):
             self.last.update((int(st_rank), int(st_us)))
         horizon = int(us.max()) if n else 0
         for eid, v in seen.items():
