@@ -27,3 +27,15 @@ def flag_duplicates(df: DataFrame, ttl_seconds: int | None = DEFAULT_DEDUP_TTL_S
 
 def drop_duplicates(df: DataFrame, **kw) -> DataFrame:
     return flag_duplicates(df, **kw).where(~F.col("is_dup"))
+
+
+def drop_duplicates_within_watermark(stream: DataFrame, delay: str = "10 minutes",
+                                     ts_col: str = "timestamp") -> DataFrame:
+    """Event-time dedup mode for streams: keeps the first sighting of each
+    (order, event id) and drops repeats while the watermark has not passed
+    it. Unlike ``flag_duplicates`` a repeat does not refresh the window, so
+    this is a separate mode, not the parity path."""
+    return (stream.withColumn("_wm_ts", F.col(ts_col).cast("timestamp"))
+            .withWatermark("_wm_ts", delay)
+            .dropDuplicatesWithinWatermark(["order_id", "event_id"])
+            .drop("_wm_ts"))

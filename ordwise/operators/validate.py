@@ -30,7 +30,7 @@ def quarantine_reason(df: DataFrame) -> DataFrame:
 
 def validate_running_max(df: DataFrame, on_duplicate: str = "drop",
                          plan: SkewPlan | None = None,
-                         strict: bool = False) -> DataFrame:
+                         strict: bool = False, prior: DataFrame | None = None) -> DataFrame:
     """Route flagged events (needs ``is_dup``, ``rk``) without state expiry.
 
     Adds ``prev_rank`` (rank of the last valid event before this one) and
@@ -51,6 +51,11 @@ def validate_running_max(df: DataFrame, on_duplicate: str = "drop",
         counted = counted & ~F.col("is_dup")
     out = prefix_max_before(df, ["order_id"], F.when(counted, F.col("rk")), "prev_rank",
                             plan=plan)
+    if prior is not None:
+        # long-term state: the last valid rank of each order before this input
+        p = prior.select("order_id", F.col("prior_rank").cast("int").alias("_prior"))
+        out = (out.join(p, "order_id", "left")
+                  .withColumn("prev_rank", F.greatest("prev_rank", "_prior")).drop("_prior"))
     route = F.when(quarantined, F.lit("quarantine"))
     if on_duplicate == "drop":
         route = route.when(F.col("is_dup"), F.lit("duplicate"))
@@ -64,7 +69,7 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
                    state_ttl_seconds: int | None = None,
                    plan: SkewPlan | None = None,
                    hot_rows: int = DEFAULT_HOT_ROWS,
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = False, prior: DataFrame | None = None) -> DataFrame:
     """Dedup + validation + route for decoded, ranked events.
 
     ``state_ttl_seconds=None`` (default) validates against all history (the
@@ -72,18 +77,31 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
     Without an explicit ``plan`` hot orders are detected by sampling.
     Plan: one hash exchange on ``order_id`` (plus chunk for hot orders) feeds
     both the dedup and the validation window.
+
+    ``prior`` (``order_id, prior_rank``): last valid rank per order from
+    earlier loads (e.g. ``prior_state(orders)``), so an increment is
+    validated against the long-term state instead of its own rows only.
+    Not combined with ``state_ttl_seconds``.
     """
     if plan is None:
         plan = detect_hot_keys(df, "order_id", hot_rows=hot_rows)
     base = plan.prepare(df)
     flagged = flag_duplicates(base, dedup_ttl_seconds, plan=plan)
     if state_ttl_seconds is None:
-        routed = validate_running_max(flagged, on_duplicate, plan=plan, strict=strict)
+        routed = validate_running_max(flagged, on_duplicate, plan=plan, strict=strict,
+                                      prior=prior)
         return plan.finish(routed)
     from .ttl import validate_with_ttl
     return validate_with_ttl(flagged, state_ttl_seconds, on_duplicate, plan=plan,
                              strict=strict, prepared=True)
 
 
+def prior_state(routed: DataFrame) -> DataFrame:
+    """Long-term state from earlier routed events: the highest valid rank per
+    order (a partial aggregate; equals the last valid rank without expiry)."""
+    return (routed.where(F.col("route") == "valid").groupBy("order_id")
+            .agg(F.max("rk").alias("prior_rank")))
+
+
 def split_routes(df: DataFrame) -> dict[str, DataFrame]:
     return {r: df.where(F.col("route") == r) for r in ROUTES}

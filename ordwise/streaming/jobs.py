@@ -154,6 +154,21 @@ def start_counts(counts: DataFrame, out_path: str, checkpoint: str,
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
+def start_orders_upsert(routed: DataFrame, orders_root: str, checkpoint: str,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Streaming ``orders``: each micro-batch's valid events are upserted
+    into a new snapshot. Re-running a batch merges the same increment again,
+    which changes nothing (the upsert is idempotent)."""
+    from ..operators.upsert import merge_orders
+    from ..plans.loader import OrdersStore
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        store = OrdersStore(batch.sparkSession, orders_root)
+        store.commit(merge_orders(store.current(), batch.where(F.col("route") == "valid")))
+    return (routed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
 def run_available(query: StreamingQuery, timeout_s: int = 900) -> None:
     """Wait for an ``availableNow`` query to finish; re-raise its failure."""
     query.awaitTermination(timeout_s)

@@ -90,3 +90,15 @@ def test_single_exchange_for_dedup_and_validation(spark):
     ev = make_events(spark, ROWS)
     plan_text = process_events(ev, plan=SkewPlan())._jdf.queryExecution().executedPlan().toString()
     assert plan_text.count("Exchange hashpartitioning") == 1, plan_text
+
+
+def test_prior_state_continues_history(spark):
+    """Validating a later increment against the long-term state equals
+    validating everything at once (J3)."""
+    from ordwise.operators.validate import prior_state
+    ev = make_events(spark, ROWS)
+    full = {r.arrival_seq: r.route for r in process_events(ev, "drop").collect()}
+    first = process_events(ev.where("arrival_seq <= 6"), "drop")
+    rest = process_events(ev.where("arrival_seq > 6"), "drop", prior=prior_state(first))
+    got = {r.arrival_seq: r.route for r in first.unionByName(rest).collect()}
+    assert got == full
