@@ -19,7 +19,15 @@ from ..functions.codec import decode_wire, encode_wire, with_rank
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. A scan with fewer splits than the cluster has cores
+    (a small file with one row group) is spread round-robin so the
+    scan-side stage is not a single task; large inputs already have enough
+    splits and are left as they are (no extra shuffle at scale)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 # --- Fixed adapter parameters (shared with the SQL oracles) -----------------
@@ -48,16 +56,15 @@ def _click_event_type(n, etype, k):
 
 def clickstream_flat(events: DataFrame) -> DataFrame:
     """Adapter A as flat columns plus arrival columns (before duplication)."""
+    events = events.select("*", F.get_json_object("props", "$.k").cast("int").alias("_k"))
     n = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("_k")
     return events.select(
         n.cast("string").alias("event_id"),
         F.concat(F.lit("O"), F.col("user_id").cast("string"), F.lit("-"),
                  F.date_format("ts", "yyyyMMdd")).alias("order_id"),
         _click_event_type(n, F.col("event_type"), k).alias("event_type"),
-        (F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                          ((n * EVENT_TIME_SHIFT_MUL) % 3600).cast("decimal(18,6)"))
-         ).alias("timestamp"),
+        F.timestamp_add("SECOND", -((n * EVENT_TIME_SHIFT_MUL) % 3600), F.col("ts")).alias("timestamp"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),
         F.concat(F.lit("P"), k.cast("string")).alias("product_id"),
         (F.lit(1) + k % 5).cast("int").alias("quantity"),
@@ -77,9 +84,8 @@ def clickstream_wire(events: DataFrame) -> DataFrame:
     first = flat.select(encode_wire(flat).alias("value"), "arrival_ts", "arrival_seq")
     again = flat.where(F.col("_n") % DUP_EVERY == 0).select(
         encode_wire(flat).alias("value"),
-        (F.col("arrival_ts") + F.make_dt_interval(
-            F.lit(0), F.lit(0), (F.lit(DUP_DELAY_MIN) + F.col("_n") % 40).cast("int"))
-         ).alias("arrival_ts"),
+        F.timestamp_add("MINUTE", F.lit(DUP_DELAY_MIN) + F.col("_n") % 40,
+                        F.col("arrival_ts")).alias("arrival_ts"),
         (F.col("arrival_seq") + 1).alias("arrival_seq"))
     return first.unionByName(again)
 
