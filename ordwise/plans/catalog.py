@@ -110,8 +110,11 @@ def q_orders_upsert_incremental(spark, sf):
 
 
 def q_orders_point_lookup(spark, sf):
-    orders = upsert.merge_orders(upsert.empty_orders(spark), order_lineitem_events(spark, sf))
-    return upsert.lookup_order(orders, LOOKUP_ORDER_ID).select(*ORDER_OUT)
+    """The upsert is independent per order, so the lookup predicate is
+    applied to the events before the merge (it cannot pass the full outer
+    join's coalesced key); on a stored snapshot it reaches the parquet scan."""
+    events = upsert.lookup_order(order_lineitem_events(spark, sf), LOOKUP_ORDER_ID)
+    return upsert.merge_orders(upsert.empty_orders(spark), events).select(*ORDER_OUT)
 
 
 def q_order_milestones(spark, sf):
