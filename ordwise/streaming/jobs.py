@@ -25,6 +25,18 @@ from ..session import ship_package
 from .processor import OUTPUT_SCHEMA, LifecycleProcessor
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keyed processors with value + map state need the RocksDB state store
+    (several column families). Applies to queries started afterwards; a
+    query keeps the provider recorded in its checkpoint."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def decode_stream(wire: DataFrame) -> DataFrame:
     return with_rank(decode_wire(wire))
 
@@ -35,6 +47,7 @@ def validation_stream(decoded: DataFrame, on_duplicate: str = "drop",
     """Routed events: keyed state per order. Rows without an order id cannot
     be keyed; they are quarantined without touching state."""
     ship_package(decoded.sparkSession)
+    use_rocksdb_state(decoded.sparkSession)
     keyed = decoded.where(F.col("order_id").isNotNull())
     routed = keyed.groupBy("order_id").transformWithStateInPandas(
         statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds),
