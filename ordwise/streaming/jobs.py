@@ -43,15 +43,22 @@ def decode_stream(wire: DataFrame) -> DataFrame:
 
 def validation_stream(decoded: DataFrame, on_duplicate: str = "drop",
                       dedup_ttl_seconds: int | None = 600,
-                      state_ttl_seconds: int | None = None) -> DataFrame:
+                      state_ttl_seconds: int | None = None,
+                      prior: DataFrame | None = None) -> DataFrame:
     """Routed events: keyed state per order. Rows without an order id cannot
-    be keyed; they are quarantined without touching state."""
+    be keyed; they are quarantined without touching state.
+
+    ``prior`` (``order_id, prior_rank[, prior_arrival_ts]``, e.g.
+    ``validate.prior_state`` of earlier loads) seeds the state in the first
+    micro-batch, so the stream continues the long-term history."""
     ship_package(decoded.sparkSession)
     use_rocksdb_state(decoded.sparkSession)
     keyed = decoded.where(F.col("order_id").isNotNull())
+    init = prior.groupBy("order_id") if prior is not None else None
     routed = keyed.groupBy("order_id").transformWithStateInPandas(
         statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds),
-        outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="None")
+        outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="None",
+        initialState=init)
     orphans = decoded.where(F.col("order_id").isNull()).select(
         *[F.col(c) for c in ["event_id", "order_id", "event_type", "timestamp", "customer_id",
                              "product_id", "quantity", "price", "arrival_ts", "arrival_seq",

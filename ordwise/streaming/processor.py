@@ -128,5 +128,17 @@ class LifecycleProcessor(StatefulProcessor):
         })
         yield out
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Seed the last valid state from a prior table (``order_id,
+        prior_rank[, prior_arrival_ts]``) - the long-term state of orders
+        that started before this stream."""
+        row = initialState.iloc[-1]
+        if pd.isna(row["prior_rank"]):
+            return
+        write_us = 0
+        if "prior_arrival_ts" in initialState.columns and not pd.isna(row["prior_arrival_ts"]):
+            write_us = int(_micros(initialState["prior_arrival_ts"].iloc[-1:])[0])
+        self.last.update((int(row["prior_rank"]), write_us))
+
     def close(self) -> None:
         pass

@@ -70,3 +70,24 @@ def test_valid_ranks_never_decrease_and_routes_partition_input(spark):
         if r.route == "valid":
             assert r.rk >= by_order.get(r.order_id, 0)
             by_order[r.order_id] = r.rk
+
+
+def test_one_hot_order_is_detected_split_and_exact(spark):
+    """One order holds a third of all rows: the sampled detection finds it
+    (and only it), the plan spreads it over several chunks, and the routes
+    equal the brute-force model."""
+    rnd = random.Random(21)
+    rows, t = [], 0.0
+    for seq in range(1, 901):
+        t += rnd.choice([0, 0.5, 1, 3, 7])
+        order = "hot" if seq % 3 == 0 else f"o{rnd.randrange(40)}"
+        rows.append((seq, t, order, f"e{rnd.randrange(200)}", rnd.choice(TYPES)))
+    ev = make_events(spark, rows)
+    plan = detect_hot_keys(ev, hot_rows=150, fraction=1.0, chunk_seconds=600)
+    assert plan.hot == ["hot"]
+    chunks = plan.prepare(ev).where("order_id = 'hot'").select("_ck").distinct().count()
+    assert chunks > 5
+    for mode in ("drop", "keep"):
+        assert spark_routes(process_events(ev, mode, plan=plan)) == model(rows, mode=mode)
+    assert spark_routes(process_events(ev, "drop", state_ttl_seconds=600, plan=plan)) == \
+        model(rows, mode="drop", state_ttl_us=600_000_000)
