@@ -87,6 +87,19 @@ def strict_violations(routed: DataFrame) -> DataFrame:
                                "from_state", "to_state")
 
 
+def status_disagreement(routed: DataFrame) -> DataFrame:
+    """Orders whose latest valid state by event time differs from their last
+    valid state in arrival order (status follows event time, validity
+    follows arrival). Two partial aggregates in one pass, no window."""
+    valid = routed.where(F.col("route") == "valid")
+    by_time = F.max_by("event_type", F.struct(
+        F.col("timestamp"), F.col("event_id"), F.col("arrival_ts"), F.col("arrival_seq")))
+    by_arrival = F.max_by("event_type", F.struct(F.col("arrival_ts"), F.col("arrival_seq")))
+    agg = valid.groupBy("order_id").agg(by_time.alias("event_time_status"),
+                                        by_arrival.alias("arrival_status"))
+    return agg.where(F.col("event_time_status") != F.col("arrival_status"))
+
+
 def hourly_counts(df: DataFrame, name: str, ts_col: str = "arrival_ts") -> DataFrame:
     return df.groupBy(partition_key(ts_col).alias("partition_key")).agg(
         F.count(F.lit(1)).alias(name))

@@ -150,6 +150,10 @@ def q_status_funnel(spark, sf):
     return analytics.status_funnel(upsert.latest_per_order(valid))
 
 
+def q_status_disagreement(spark, sf):
+    return analytics.status_disagreement(routed(spark, sf))
+
+
 def q_reconcile_routes(spark, sf):
     return analytics.reconcile_routed(routed(spark, sf))
 

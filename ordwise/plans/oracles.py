@@ -267,6 +267,16 @@ WHERE from_state IS NOT NULL AND from_state <> to_state
     q["status_funnel"] = f"""WITH {R},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid')", 'latest')}
 SELECT order_status, count(*) AS n_orders FROM latest GROUP BY 1"""
+    q["status_disagreement"] = f"""WITH {R},
+v AS (SELECT * FROM routed WHERE route = 'valid'),
+t AS (SELECT order_id, event_type AS event_time_status FROM (
+        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY "timestamp" DESC NULLS LAST,
+               event_id DESC, arrival_ts DESC, arrival_seq DESC) AS rn FROM v) WHERE rn = 1),
+a AS (SELECT order_id, event_type AS arrival_status FROM (
+        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY arrival_ts DESC,
+               arrival_seq DESC) AS rn FROM v) WHERE rn = 1)
+SELECT t.order_id, event_time_status, arrival_status FROM t JOIN a USING (order_id)
+WHERE event_time_status <> arrival_status"""
     hours = ", ".join(
         f"count(*) FILTER (WHERE route = '{r}') AS {r}" for r in ["valid", "invalid", "duplicate", "quarantine"])
     q["reconcile_routes"] = f"""WITH {R}
