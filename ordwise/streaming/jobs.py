@@ -22,7 +22,8 @@ from ..operators import metrics
 from ..operators.validate import ROUTES
 from ..plans.archive import PARTITION_COLS, with_partition_columns
 from ..session import ship_package
-from .processor import OUTPUT_SCHEMA, LifecycleProcessor
+from ..functions.lifecycle import rank_of
+from .processor import OUTPUT_SCHEMA, PROCESSOR_INPUT, PROCESSOR_SCHEMA, LifecycleProcessor
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -41,31 +42,45 @@ def decode_stream(wire: DataFrame) -> DataFrame:
     return with_rank(decode_wire(wire))
 
 
-def validation_stream(decoded: DataFrame, on_duplicate: str = "drop",
+LIGHT_SCHEMA = "event_id string, order_id string, event_type string"
+
+
+def validation_stream(wire: DataFrame, on_duplicate: str = "drop",
                       dedup_ttl_seconds: int | None = 600,
                       state_ttl_seconds: int | None = None,
-                      prior: DataFrame | None = None) -> DataFrame:
-    """Routed events: keyed state per order. Rows without an order id cannot
-    be keyed; they are quarantined without touching state.
+                      prior: DataFrame | None = None, **processor_opts) -> DataFrame:
+    """Routed events from wire records: keyed state per order. Rows without
+    an order id cannot be keyed; they are quarantined without touching state.
 
     ``prior`` (``order_id, prior_rank[, prior_arrival_ts]``, e.g.
     ``validate.prior_state`` of earlier loads) seeds the state in the first
     micro-batch, so the stream continues the long-term history."""
-    ship_package(decoded.sparkSession)
-    use_rocksdb_state(decoded.sparkSession)
-    keyed = decoded.where(F.col("order_id").isNotNull())
+    spark = wire.sparkSession
+    ship_package(spark)
+    use_rocksdb_state(spark)
+    j = F.from_json("value", LIGHT_SCHEMA, {"mode": "PERMISSIVE"})
+    light = wire.select("value", "arrival_ts", "arrival_seq", j.alias("_j"))
+    light = light.select(
+        "value", "arrival_ts", "arrival_seq",
+        F.col("_j.event_id").alias("event_id"), F.col("_j.order_id").alias("order_id"),
+        rank_of(F.col("_j.event_type")).alias("rk"))
+    keyed = light.where(F.col("order_id").isNotNull()).select(
+        *[c for c in PROCESSOR_INPUT if c != "malformed"],
+        F.col("event_id").isNull().alias("malformed"))
     init = prior.groupBy("order_id") if prior is not None else None
     routed = keyed.groupBy("order_id").transformWithStateInPandas(
-        statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds),
-        outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="None",
+        statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds,
+                                             **processor_opts),
+        outputStructType=PROCESSOR_SCHEMA, outputMode="Append", timeMode="None",
         initialState=init)
-    orphans = decoded.where(F.col("order_id").isNull()).select(
-        *[F.col(c) for c in ["event_id", "order_id", "event_type", "timestamp", "customer_id",
-                             "product_id", "quantity", "price", "arrival_ts", "arrival_seq",
-                             "rk", "malformed"]],
+    orphans = light.where(F.col("order_id").isNull()).select(
+        "value", "arrival_ts", "arrival_seq",
         F.lit(False).alias("is_dup"), F.lit(None).cast("int").alias("prev_rank"),
         F.lit("malformed").alias("quarantine_reason"), F.lit("quarantine").alias("route"))
-    return routed.unionByName(orphans)
+    both = routed.select(*orphans.columns).unionByName(orphans)
+    # full decode after the stateful step (JVM-side)
+    full = with_rank(decode_wire(both))
+    return full.select(*[f.name for f in OUTPUT_SCHEMA.fields])
 
 
 def fanout_batch(out_root: str, fmt: str = "parquet",
@@ -104,7 +119,7 @@ def fanout_batch(out_root: str, fmt: str = "parquet",
 
 def start_validation(wire: DataFrame, out_root: str, checkpoint: str, fmt: str = "parquet",
                      trigger: dict | None = None, **kw) -> StreamingQuery:
-    routed = validation_stream(decode_stream(wire), **kw)
+    routed = validation_stream(wire, **kw)
     return (routed.writeStream.foreachBatch(fanout_batch(out_root, fmt))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 minute"})).start())

@@ -7,10 +7,13 @@ One ``StatefulProcessor`` per order (``groupBy("order_id")
 * value state ``last_valid``: rank and arrival (micros) of the last valid
   event; with ``state_ttl_seconds`` it reads as absent once older than the
   TTL (judged on arrival time, so replays give the same answer);
-* map state ``seen_ids``: event id -> last sighting (micros). Entries that can
-  no longer flag anything (older than the dedup TTL relative to the newest
-  arrival of the order) are evicted at the end of each call, so the map stays
-  bounded by the ids of one TTL window.
+* seen event ids -> last sighting (micros). Ids that can no longer flag
+  anything (older than the dedup TTL relative to the order's newest arrival)
+  are dropped. While an order has few live ids (``SMALL_IDS``) they are kept
+  inline in the value state, so a typical order costs one state read and one
+  write per micro-batch. An order with more live ids spills to map state
+  ``seen_ids`` (RocksDB point lookups for the ids of each batch, periodic
+  sweep of expired ids), so a hot order never loads its whole id set.
 
 Rows of one order within a micro-batch are sorted by ``(arrival_ts,
 arrival_seq)``; across micro-batches the source delivers arrival order. The
@@ -45,37 +48,77 @@ OUTPUT_SCHEMA = T.StructType([
 ])
 
 
+# The processor sees a narrow row (key, id, arrival, rank, flags and the raw
+# JSON text); the payload is decoded after the stateful step, JVM-side. Per
+# order the Python side converts fewer columns, which is its main cost.
+PROCESSOR_INPUT = ["order_id", "event_id", "value", "arrival_ts", "arrival_seq", "rk", "malformed"]
+PROCESSOR_SCHEMA = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("event_id", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("arrival_ts", T.TimestampNTZType()),
+    T.StructField("arrival_seq", T.LongType()),
+    T.StructField("rk", T.IntegerType()),
+    T.StructField("malformed", T.BooleanType()),
+    T.StructField("is_dup", T.BooleanType()),
+    T.StructField("prev_rank", T.IntegerType()),
+    T.StructField("quarantine_reason", T.StringType()),
+    T.StructField("route", T.StringType()),
+])
+PROCESSOR_COLUMNS = [f.name for f in PROCESSOR_SCHEMA.fields]
+SMALL_IDS = 64      # live ids kept inline in the value state
+SWEEP_EVERY = 16    # spilled orders: sweep expired ids every N micro-batches
+
+
 def _micros(s: pd.Series) -> np.ndarray:
     return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
 class LifecycleProcessor(StatefulProcessor):
     def __init__(self, on_duplicate: str = "drop", dedup_ttl_seconds: int | None = 600,
-                 state_ttl_seconds: int | None = None):
+                 state_ttl_seconds: int | None = None, small_ids: int = SMALL_IDS,
+                 sweep_every: int = SWEEP_EVERY):
         if on_duplicate not in ("drop", "keep"):
             raise ValueError(on_duplicate)
         self.drop = on_duplicate == "drop"
         self.dedup_us = None if dedup_ttl_seconds is None else int(dedup_ttl_seconds) * 1_000_000
         self.state_us = None if state_ttl_seconds is None else int(state_ttl_seconds) * 1_000_000
+        self.small_ids, self.sweep_every = small_ids, sweep_every
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_valid", "rk int, write_us long")
+        self.last = handle.getValueState(
+            "order_state", "rk int, write_us long, ids array<string>, seen_us array<long>, "
+                           "spilled boolean, batches long")
         self.seen = handle.getMapState("seen_ids", "event_id string", "seen_us long")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["arrival_ts", "arrival_seq"], kind="stable").reset_index(drop=True)
+        chunks = list(rows)
+        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
         n = len(pdf)
         us = _micros(pdf["arrival_ts"])
+        if n > 1:
+            order = np.lexsort((pdf["arrival_seq"].to_numpy(), us))
+            if (np.diff(order) != 1).any():
+                pdf = pdf.iloc[order].reset_index(drop=True)
+                us = us[order]
         ids = pdf["event_id"].to_numpy(dtype=object)
-        rk = pd.to_numeric(pdf["rk"], errors="coerce").to_numpy(dtype=float)
-        malformed = pdf["malformed"].fillna(False).to_numpy(dtype=bool)
+        rk = pdf["rk"].to_numpy(dtype=float, na_value=np.nan)
+        malformed = pdf["malformed"].to_numpy(dtype=bool, na_value=False)
 
-        # two state reads per order and micro-batch; writes only for changes
-        seen = {k[0]: v[0] for k, v in self.seen.iterator()}
-        before = dict(seen)
         st = self.last.get()
-        st_rank, st_us = (st[0], st[1]) if st else (None, 0)
+        st_rank, st_us, spilled, batches = None, 0, False, 0
+        seen: dict = {}
+        if st:
+            st_rank, st_us = st[0], st[1] or 0
+            spilled, batches = bool(st[4]), st[5] or 0
+            if not spilled:
+                seen = dict(zip(st[2] or [], st[3] or []))
+        if spilled:  # point lookups for this batch's ids only
+            for eid in {e for e in ids if e is not None}:
+                v = self.seen.getValue((eid,))
+                if v is not None:
+                    seen[eid] = v[0]
+        before = dict(seen)
 
         is_dup = np.zeros(n, dtype=bool)
         prev = np.full(n, np.nan)
@@ -83,15 +126,16 @@ class LifecycleProcessor(StatefulProcessor):
         reason = np.full(n, None, dtype=object)
         for i in range(n):
             eid = ids[i]
+            t = int(us[i])
             if eid is not None:
                 last_seen = seen.get(eid)
-                if last_seen is not None and (self.dedup_us is None or us[i] - last_seen < self.dedup_us):
+                if last_seen is not None and (self.dedup_us is None or t - last_seen < self.dedup_us):
                     is_dup[i] = True
-                seen[eid] = int(us[i])
-            alive = st_rank is not None and (self.state_us is None or us[i] - st_us < self.state_us)
+                seen[eid] = t
+            alive = st_rank is not None and (self.state_us is None or t - st_us < self.state_us)
             if alive:
                 prev[i] = st_rank
-            if malformed[i] or np.isnan(rk[i]):
+            if malformed[i] or rk[i] != rk[i]:
                 route[i] = "quarantine"
                 reason[i] = "malformed" if malformed[i] else "unknown_type"
                 continue
@@ -100,33 +144,40 @@ class LifecycleProcessor(StatefulProcessor):
                 continue
             if not alive or rk[i] >= st_rank:
                 route[i] = "valid"
-                st_rank, st_us = int(rk[i]), int(us[i])
+                st_rank, st_us = int(rk[i]), t
             else:
                 route[i] = "invalid"
 
-        if st_rank is not None and (st is None or (st_rank, st_us) != (st[0], st[1])):
-            self.last.update((int(st_rank), int(st_us)))
         horizon = int(us.max()) if n else 0
-        for eid, v in seen.items():
-            if self.dedup_us is not None and horizon - v >= self.dedup_us:
-                if eid in before:
-                    self.seen.removeKey((eid,))
-            elif before.get(eid) != v:
-                self.seen.updateValue((eid,), (int(v),))
-
-        out = pd.DataFrame({
-            "event_id": pdf["event_id"], "order_id": pdf["order_id"],
-            "event_type": pdf["event_type"], "timestamp": pdf["timestamp"],
-            "customer_id": pdf["customer_id"], "product_id": pdf["product_id"],
-            "quantity": pd.array(pd.to_numeric(pdf["quantity"], errors="coerce"), dtype="Int32"),
-            "price": pd.to_numeric(pdf["price"], errors="coerce"),
-            "arrival_ts": pdf["arrival_ts"], "arrival_seq": pdf["arrival_seq"].astype("int64"),
-            "rk": pd.array(np.where(np.isnan(rk), None, rk), dtype="Int32"),
-            "malformed": malformed, "is_dup": is_dup,
-            "prev_rank": pd.array(np.where(np.isnan(prev), None, prev), dtype="Int32"),
-            "quarantine_reason": reason, "route": route,
-        })
-        yield out
+        live = {e: v for e, v in seen.items()
+                if self.dedup_us is None or horizon - v < self.dedup_us}
+        if not spilled and len(live) > self.small_ids:
+            spilled = True
+            for e, v in live.items():
+                self.seen.updateValue((e,), (int(v),))
+        elif spilled:
+            for e, v in seen.items():
+                if e not in live:
+                    if e in before:
+                        self.seen.removeKey((e,))
+                elif before.get(e) != v:
+                    self.seen.updateValue((e,), (int(v),))
+            batches += 1
+            if self.dedup_us is not None and batches % self.sweep_every == 0:
+                for k, v in list(self.seen.iterator()):
+                    if horizon - v[0] >= self.dedup_us:
+                        self.seen.removeKey(k)
+        inline_ids = [] if spilled else list(live)
+        inline_us = [] if spilled else [int(live[e]) for e in inline_ids]
+        self.last.update((None if st_rank is None else int(st_rank), int(st_us),
+                          inline_ids, inline_us, spilled, int(batches)))
+
+        # input columns pass through (Arrow casts on the way out)
+        pdf["is_dup"] = is_dup
+        pdf["prev_rank"] = prev
+        pdf["quarantine_reason"] = reason
+        pdf["route"] = route
+        yield pdf[PROCESSOR_COLUMNS]
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Seed the last valid state from a prior table (``order_id,
@@ -138,7 +189,7 @@ class LifecycleProcessor(StatefulProcessor):
         write_us = 0
         if "prior_arrival_ts" in initialState.columns and not pd.isna(row["prior_arrival_ts"]):
             write_us = int(_micros(initialState["prior_arrival_ts"].iloc[-1:])[0])
-        self.last.update((int(row["prior_rank"]), write_us))
+        self.last.update((int(row["prior_rank"]), write_us, [], [], False, 0))
 
     def close(self) -> None:
         pass

@@ -20,9 +20,10 @@ def wire_of(ev):
     return ev.select(encode_wire(ev).alias("value"), "arrival_ts", "arrival_seq")
 
 
-@pytest.mark.parametrize("mode,state_ttl", [("drop", None), ("keep", 600)])
-def test_stream_equals_batch(spark, mode, state_ttl):
-    rows = random_rows(11, n=300)
+@pytest.mark.parametrize("mode,state_ttl,opts", [("drop", None, {}), ("keep", 600, {}),
+                                                 ("drop", None, {"small_ids": 2, "sweep_every": 2})])
+def test_stream_equals_batch(spark, mode, state_ttl, opts):
+    rows = random_rows(11, n=300, orders=3, ids=12)   # few orders, many live ids each
     ev = make_events(spark, rows)
     expect = {r.arrival_seq: (r.route, r.is_dup, r.prev_rank) for r in
               process_events(ev, mode, state_ttl_seconds=state_ttl).collect()}
@@ -32,7 +33,7 @@ def test_stream_equals_batch(spark, mode, state_ttl):
         write_wire_files(wire.where(f"arrival_seq > {lo} and arrival_seq <= {hi}"), f"{root}/src")
         q = jobs.start_validation(read_event_stream(spark, "files", f"{root}/src"), f"{root}/out",
                                   f"{root}/ck", trigger={"availableNow": True},
-                                  on_duplicate=mode, state_ttl_seconds=state_ttl)
+                                  on_duplicate=mode, state_ttl_seconds=state_ttl, **opts)
         jobs.run_available(q)
     got = jobs.read_fanout(spark, f"{root}/out").collect()
     assert len(got) == len(rows)
@@ -64,8 +65,7 @@ def test_stream_continues_prior_state(spark):
     # the prior state carries lifecycle ranks, not the seen-id map: a re-send
     # whose first sighting is in the earlier part is not flagged again
     write_wire_files(wire_of(ev.where("arrival_seq > 100")), f"{root}/src")
-    routed = jobs.validation_stream(jobs.decode_stream(read_event_stream(spark, "files", f"{root}/src")),
-                                    prior=prior)
+    routed = jobs.validation_stream(read_event_stream(spark, "files", f"{root}/src"), prior=prior)
     q = (routed.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
     jobs.run_available(q)
