@@ -191,8 +191,9 @@ def load(spark: SparkSession, wh: Warehouse, landing_root: str, dataset: str,
     pfiles = files.where("loadable").join(pending.select("dataset", "partition_key"),
                                           ["dataset", "partition_key"], "left_semi")
     # The driver holds the listing already; only paths of pending partitions
-    # are handed to the CSV reader.
-    paths = [r.file_path for r in pfiles.select("file_path").collect()]
+    # are handed to the CSV reader (metadata, collected once).
+    pending_rows = pfiles.select("file_path", "partition_key").collect()
+    paths = [r.file_path for r in pending_rows]
     summary = {"dataset": dataset, "partitions": 0, "files": len(paths), "failed": []}
     if not paths:
         return summary
@@ -220,8 +221,7 @@ def load(spark: SparkSession, wh: Warehouse, landing_root: str, dataset: str,
     try:
         (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).parquet(target))
-        written = sorted({r.partition_key for r in
-                          pending.where(~F.col("partition_key").isin(failed)).collect()})
+        written = sorted({r.partition_key for r in pending_rows} - set(failed))
         if update_orders if update_orders is not None else dataset == "valid":
             wh.orders.commit(merge_orders(wh.orders.current(), typed.drop("partition_key", "dt", "hr"),
                                           now))
