@@ -19,7 +19,7 @@ from ..session import materialize, scratch_path, ship_package
 from ..sources.streams import read_event_stream, write_wire_files
 from ..sources.testdata import clickstream_events, clickstream_wire, order_lineitem_events, table
 from ..streaming import jobs as sjobs
-from . import loader
+from . import analyst_sql, loader
 from .archive import write_csv_archive
 
 ROUTE_COLS = ["event_id", "order_id", "event_type", "arrival_seq", "is_dup", "prev_rank", "route"]
@@ -166,6 +166,31 @@ def q_csv_cleanup(spark, sf):
         "quantity", "price", "arrival_seq")
 
 
+# --- analyst SQL (temp views + spark.sql) -------------------------------------
+EVENT_TABLE_COLS = ["event_id", "order_id", "event_type", "timestamp", "customer_id",
+                    "product_id", "quantity", "price"]
+
+
+def q_sql_latest_order_state(spark, sf):
+    events = upsert.lookup_order(order_lineitem_events(spark, sf), LOOKUP_ORDER_ID)
+    orders = upsert.merge_orders(upsert.empty_orders(spark), events).select(*ORDER_OUT)
+    analyst_sql.register_views(spark, orders=orders)
+    return analyst_sql.run(spark, "latest_order_state", order_id=LOOKUP_ORDER_ID)
+
+
+def q_sql_avg_delivery_time(spark, sf):
+    analyst_sql.register_views(
+        spark, order_milestones=analytics.order_milestones(order_lineitem_events(spark, sf)))
+    return analyst_sql.run(spark, "avg_delivery_time")
+
+
+def q_sql_invalid_lifecycle_events(spark, sf):
+    invalid = routed(spark, sf).where(F.col("route") == "invalid").select(
+        *EVENT_TABLE_COLS, analytics.partition_key().alias("partition_key"))
+    analyst_sql.register_views(spark, invalid_order_events=invalid)
+    return analyst_sql.run(spark, "invalid_lifecycle_events")
+
+
 # --- loader ------------------------------------------------------------------
 SPLIT_DAY = 15  # first load: arrival day-of-month <= 15; second: the rest
 DATASETS = ["valid", "invalid"]

@@ -267,6 +267,12 @@ WHERE from_state IS NOT NULL AND from_state <> to_state
     q["status_funnel"] = f"""WITH {R},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid')", 'latest')}
 SELECT order_status, count(*) AS n_orders FROM latest GROUP BY 1"""
+    q["sql_latest_order_state"] = q["orders_point_lookup"]
+    q["sql_avg_delivery_time"] = q["avg_delivery_time"]
+    q["sql_invalid_lifecycle_events"] = f"""WITH {R}
+SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price,
+       strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key
+FROM routed WHERE route = 'invalid' ORDER BY "timestamp" DESC"""
     q["status_disagreement"] = f"""WITH {R},
 v AS (SELECT * FROM routed WHERE route = 'valid'),
 t AS (SELECT order_id, event_type AS event_time_status FROM (
