@@ -30,7 +30,8 @@ def quarantine_reason(df: DataFrame) -> DataFrame:
 
 def validate_running_max(df: DataFrame, on_duplicate: str = "drop",
                          plan: SkewPlan | None = None,
-                         strict: bool = False, prior: DataFrame | None = None) -> DataFrame:
+                         strict: bool = False, prior: DataFrame | None = None,
+                   prior_seen: DataFrame | None = None) -> DataFrame:
     """Route flagged events (needs ``is_dup``, ``rk``) without state expiry.
 
     Adds ``prev_rank`` (rank of the last valid event before this one) and
@@ -69,7 +70,8 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
                    state_ttl_seconds: int | None = None,
                    plan: SkewPlan | None = None,
                    hot_rows: int = DEFAULT_HOT_ROWS,
-                   strict: bool = False, prior: DataFrame | None = None) -> DataFrame:
+                   strict: bool = False, prior: DataFrame | None = None,
+                   prior_seen: DataFrame | None = None) -> DataFrame:
     """Dedup + validation + route for decoded, ranked events.
 
     ``state_ttl_seconds=None`` (default) validates against all history (the
@@ -81,8 +83,15 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
     ``prior`` (``order_id, prior_rank``): last valid rank per order from
     earlier loads (e.g. ``prior_state(orders)``), so an increment is
     validated against the long-term state instead of its own rows only.
-    Not combined with ``state_ttl_seconds``.
+    ``prior_seen`` (``order_id, event_id, last_seen_ts``, see
+    ``prior_sightings``) carries the dedup ids across loads: they join the
+    dedup window as non-output rows. Not combined with ``state_ttl_seconds``.
     """
+    if prior_seen is not None:
+        ghosts = prior_seen.select(
+            "order_id", "event_id", F.col("last_seen_ts").alias("arrival_ts"),
+            F.lit(-1).cast("long").alias("arrival_seq"), F.lit(True).alias("_ghost"))
+        df = df.withColumn("_ghost", F.lit(False)).unionByName(ghosts, allowMissingColumns=True)
     if plan is None:
         plan = detect_hot_keys(df, "order_id", hot_rows=hot_rows)
     base = plan.prepare(df)
@@ -90,6 +99,8 @@ def process_events(df: DataFrame, on_duplicate: str = "drop",
     if state_ttl_seconds is None:
         routed = validate_running_max(flagged, on_duplicate, plan=plan, strict=strict,
                                       prior=prior)
+        if prior_seen is not None:  # ghosts have no rank: never counted, then removed
+            routed = routed.where(~F.col("_ghost")).drop("_ghost")
         return plan.finish(routed)
     from .ttl import validate_with_ttl
     return validate_with_ttl(flagged, state_ttl_seconds, on_duplicate, plan=plan,
@@ -103,5 +114,19 @@ def prior_state(routed: DataFrame) -> DataFrame:
             .agg(F.max("rk").alias("prior_rank")))
 
 
+def prior_sightings(routed: DataFrame, ttl_seconds: int = DEFAULT_DEDUP_TTL_SECONDS) -> DataFrame:
+    """Dedup state to carry into the next load: the last sighting of each
+    (order, event id) that can still flag a later arrival (within the TTL of
+    the newest arrival seen). A global max (one value to the driver) bounds
+    the sightings kept; the rest is one aggregate."""
+    horizon = routed.agg(F.max("arrival_ts")).first()[0]
+    last = routed.groupBy("order_id", "event_id").agg(F.max("arrival_ts").alias("last_seen_ts"))
+    if horizon is None:
+        return last.limit(0)
+    gap = F.expr("timestampdiff(MICROSECOND, last_seen_ts, _h)")
+    return (last.withColumn("_h", F.lit(horizon).cast("timestamp_ntz"))
+            .where(gap < F.lit(int(ttl_seconds) * 1_000_000)).drop("_h"))
+
+
 def split_routes(df: DataFrame) -> dict[str, DataFrame]:
     return {r: df.where(F.col("route") == r) for r in ROUTES}

@@ -102,3 +102,18 @@ def test_prior_state_continues_history(spark):
     rest = process_events(ev.where("arrival_seq > 6"), "drop", prior=prior_state(first))
     got = {r.arrival_seq: r.route for r in first.unionByName(rest).collect()}
     assert got == full
+
+
+def test_prior_sightings_carry_dedup_across_loads(spark):
+    """Lifecycle state and dedup ids together: a split load equals one pass
+    exactly, including re-sends that straddle the split (rows 4-5 re-send
+    event b first seen in row 2)."""
+    from ordwise.operators.validate import prior_sightings, prior_state
+    ev = make_events(spark, ROWS)
+    full = {r.arrival_seq: (r.route, r.is_dup) for r in process_events(ev, "drop").collect()}
+    for cut in (2, 3, 4, 6):
+        first = process_events(ev.where(f"arrival_seq <= {cut}"), "drop")
+        rest = process_events(ev.where(f"arrival_seq > {cut}"), "drop", prior=prior_state(first),
+                              prior_seen=prior_sightings(first))
+        got = {r.arrival_seq: (r.route, r.is_dup) for r in first.unionByName(rest).collect()}
+        assert got == full, cut
