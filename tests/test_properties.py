@@ -6,7 +6,7 @@ import random
 
 import pytest
 from conftest import make_events, minutes
-from reference_model import route_all
+from brute_force_model import route_all
 
 from ordwise.operators.scan import SkewPlan, detect_hot_keys
 from ordwise.operators.validate import process_events
