@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
-__all__ = ["WORD", "column_names", "crc_mod", "labelled_sample", "lower_ascii", "materialize",
+__all__ = ["append_columns", "column_names", "crc_mod", "labelled_sample", "materialize",
            "prepare", "scratch_path", "sided", "table", "words"]
 
-#: Words: everything between the six ASCII white-space characters.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
-
 #: Rows per Arrow batch handed to a Python worker; texts can be long.
 BATCH_ROWS = 1000
 
@@ -33,13 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lower_ascii(text: str) -> str:
-    """Lower-case A-Z only."""
-    return text.translate(_ASCII_LOWER) if not text.isascii() else text.lower()
-
-
-def words(text: str | None) -> list[str]:
-    return WORD.findall(lower_ascii(text)) if text else []
+def words(text: str | None) -> list[bytes]:
+    """Words of a text as UTF-8: everything between the six ASCII white-space
+    characters, A-Z lower-cased (what ``bytes`` methods do by definition)."""
+    return text.encode().lower().split() if text else []
 
 
 def column_names(df: DataFrame, *wanted: str) -> list[str]:
@@ -84,3 +75,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     # at most max_rows plus hash noise: small enough to send to every task
     return (docs.select("doc_id", "text").join(sided(picked, 2 * max_rows), "doc_id")
             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
+
+
+def append_columns(df: DataFrame, fields: str, make, text: str = "text") -> DataFrame:
+    """``df`` with more columns made from its text column, batch by batch:
+    ``make(texts)`` gives one Arrow array per field. Other columns pass
+    through as they are, whatever their names and types."""
+    from pyspark.sql import types as T
+    schema = T.StructType(df.schema.fields + T.StructType.fromDDL(fields).fields)
+    names, at = schema.names, df.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *make(b.column(at).to_pylist())], names=names)
+
+    return df.mapInArrow(run, schema)

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
-from .common import table
+from . import ann, fingerprints, html_extract, license_scan, mixing, packing, quality, token_counts, toxicity
+from .common import scratch_path, table
 
 
 def tokenizer(name: str) -> str:
@@ -17,13 +17,61 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.predictions(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Load all documents, then a batch that deletes every tenth document,
+    cuts another tenth to its first half and moves it to a newer tokenizer
+    version; both batches are sent twice."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    third, half = F.pmod("doc_id", F.lit(10)), F.floor(F.length("text") / 2).cast("int")
+    load = docs.withColumn("op", F.lit("insert"))
+    corrections = docs.where(third.isin(3, 7)).withColumn("op", F.when(third == 3, "delete").otherwise("revise")) \
+        .withColumn("text", F.substring(F.col("text"), F.lit(1), half))
+    words, bytes_ = ("word_bpe_49k", tokenizer("word_bpe_49k.json")), ("byte_bpe_50k", tokenizer("byte_bpe_50k.tiktoken"))
+    rollup.apply("load", load, *words)
+    rollup.apply("corrections", corrections, *bytes_)
+    rollup.apply("corrections", corrections, *bytes_)
+    rollup.apply("load", load, *words)
+    return rollup.totals()
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+def op6_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.predictions(docs, quality.fit(docs, table(spark, sf, "labels")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mixing": mixing.oracle()}
