@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, html_extract, license_scan, mixing, packing, quality, token_counts, toxicity
+from . import (ann, fingerprints, html_extract, jaccard_join, license_scan, mixing, packing, quality, token_counts,
+               toxicity)
 from .common import scratch_path, table
 
 
@@ -21,6 +22,10 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf, "documents"), n_words=3, percent=90)
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.predictions(docs, toxicity.fit(docs, table(spark, sf, "labels")))
