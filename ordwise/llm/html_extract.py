@@ -54,6 +54,22 @@ LABELLED = [
     """<div><a href=1>One</a></div><div><a href=2>Two</a></div><p>Short note</p><div><a href=3>Three</a></div>""",
     """<article><h1>§ H</h1><p>§ <a href=1>LONG</a></p><p>§ A b c</p><div>§ plain part</div><table><tr><td>§ 1</td><td>§
     2</td></tr></table></article><div class="promo"><p>LONG LONG</p></div><div><p>Imprint</p></div>""",
+    """<article><h1>§ Last words</h1><p>§ LONG.</p><p>§ End</p></article>""",
+    """<article><p>§ Yes</p></article>""",
+    """<main><h2>§ List</h2><ul><li>§ one</li><li>§ two</li></ul></main>""",
+    """<div class="menu"><a href=1>Start</a></div><article><p>§ It rained</p><p>§ We left</p><p>§ LONG LONG.</p><p>§ Then home</p></article><p><a
+    href=2>Next</a></p><p>Contact</p>""",
+    """<article><h1>§ With links inside</h1><p>§ LONG LONG.</p><p>§ LONG.</p><ul><li><a href=1>One more story</a></li><li><a href=2>And
+    another story</a></li><li><a href=3>The third</a></li></ul></article><footer>Imprint</footer>""",
+    """<main><div><a href=1>Home</a> <a href=2>Culture</a></div><h1>§ Crumbs above</h1><p>§ LONG.</p><p>§ <a href=3>One source</a></p><p>§
+    LONG.</p><div><a href=4>Previous</a> <a href=5>Next</a></div></main>""",
+    """<div>All rights reserved.</div><div>Site name. Since 1990.</div><p>§ LONG LONG.</p><p>§ LONG LONG</p><p>§ He said no.</p><p>§
+    LONG LONG.</p><div>Buy now. Great shoes.</div><div>Imprint. Contact.</div>""",
+    """<div><a href=1>LONG</a></div><div><a href=2>LONG.</a></div><div>§ LONG LONG</div><div>§ LONG. LONG</div><div>§ Nothing more</div><div>§
+    LONG LONG</div><div><a href=3>LONG</a></div><div>A small site. Thank you.</div>""",
+    """<table><tr><td>Log in.</td></tr><tr><td>§ LONG LONG.</td></tr><tr><td>§ LONG</td></tr></table><div>Hits: 12.</div><div><a
+    href=1>Mail us.</a></div>""",
+    """<div>Site name</div><article><p>§ Short text</p><ul><li>§ a</li><li>§ b c</li></ul><p>§ The end</p></article><div>Imprint</div>""",
 ]
 
 

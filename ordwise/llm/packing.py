@@ -93,7 +93,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS,
     cut = materialize(pieces(docs, tokenizer_path, size), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
 
-    def place(key, b: pd.DataFrame) -> pd.DataFrame:
+    def place(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["_order", "doc_id", "piece", "ids_crc32"], kind="stable")
         bins, offsets = best_fit(b["length"].tolist(), size, open_bins)
         b["sequence_id"] = np.asarray(bins, "int64") + (int(key[0]) << 32)
