@@ -33,17 +33,6 @@ WIRE_SCHEMA = T.StructType([
 EVENT_COLUMNS = ["event_id", "order_id", "event_type", "timestamp",
                  "customer_id", "product_id", "quantity", "price"]
 
-STAGING_SCHEMA = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("order_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("timestamp", T.TimestampNTZType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("product_id", T.StringType()),
-    T.StructField("quantity", T.IntegerType()),
-    T.StructField("price", T.DoubleType()),
-])
-
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -54,9 +43,6 @@ def _try_ntz(c: Column) -> Column:
     return stripped.try_cast(T.TimestampNTZType())
 
 
-parse_timestamp = _try_ntz
-
-
 def format_timestamp(c: Column) -> Column:
     return F.date_format(c, ISO_FORMAT)
 

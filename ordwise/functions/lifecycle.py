@@ -1,12 +1,12 @@
 """Order lifecycle domain: states, ranks and the transition graph.
 
 Ranks and edges are tiny fixed dimensions; they are applied as literal maps
-(`create_map`) or broadcast VALUES tables, so they never cause a shuffle.
+(`create_map`), so they never cause a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- Fixed values (must equal the reference for identical results) ---------
@@ -33,8 +33,6 @@ EDGES = [
     ("ORDER_RETURNED", "ORDER_REFUNDED"),
     ("ORDER_PAID_CANCELLED", "ORDER_REFUNDED"),
 ]
-# Terminal states: no outgoing edge.
-TERMINAL = ["ORDER_DELIVERED", "ORDER_CANCELLED", "ORDER_REFUNDED"]
 # ---------------------------------------------------------------------------
 
 RANK_STATES = {v: k for k, v in STATE_RANKS.items()}
@@ -59,14 +57,6 @@ def state_of(rank: Column | str) -> Column:
     return _literal_map(RANK_STATES)[c]
 
 
-def ranks_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATE_RANKS.items()), "event_type string, rk int")
-
-
-def edges_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EDGES, "from_state string, to_state string")
-
-
 def is_edge(from_state: Column, to_state: Column) -> Column:
     """True when (from, to) is an edge of the graph; evaluated in-line."""
     cond = F.lit(False)

@@ -106,8 +106,8 @@ def hourly_counts(df: DataFrame, name: str, ts_col: str = "arrival_ts") -> DataF
 
 
 def reconcile_routed(routed: DataFrame, routes=("valid", "invalid", "duplicate", "quarantine")) -> DataFrame:
-    """Single-pass reconciliation of one routed frame: per arrival hour, the
-    raw count and the count of each route (one hash aggregate)."""
+    """Route counts per arrival hour of one routed frame and whether they add
+    up (one hash aggregate). ``reconcile`` compares stored tables."""
     counts = [F.count_if(F.col("route") == r).alias(r) for r in routes]
     out = routed.groupBy(partition_key().alias("partition_key")).agg(
         F.count(F.lit(1)).alias("raw"), *counts)

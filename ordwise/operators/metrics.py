@@ -35,12 +35,24 @@ def duplicate_counts(df: DataFrame, seconds: int = DUP_WINDOW_SECONDS,
                       F.col("w.end").alias("window_end"), "n"))
 
 
-def running_totals(counts: DataFrame, by: str = "event_type") -> DataFrame:
-    """Cumulative count per key across windows. Input is the per-window
-    count table (windows x types rows), not the events."""
-    w = (Window.partitionBy(by).orderBy("window_start")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return counts.withColumn("running_n", F.sum("n").over(w))
+def running_totals(counts: DataFrame, by: str | None = "event_type") -> DataFrame:
+    """Cumulative count across windows, per key or overall (``by=None``, e.g.
+    of duplicates). Input is the per-window count table, not the events. Two
+    levels: a window within each day, and the days' totals carried forward, so
+    a task holds one key's day."""
+    keys = [by] if by else []
+    daily = counts.withColumn("_day", F.to_date("window_start"))
+    within = (Window.partitionBy(*keys, "_day").orderBy("window_start")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    days = daily.groupBy(*keys, "_day").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carry = days.select(*(F.col(k).alias("_by") for k in keys), F.col("_day").alias("_d"),
+                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    same = F.col("_day").eqNullSafe(F.col("_d"))
+    if by:
+        same = same & F.col(by).eqNullSafe(F.col("_by"))
+    return (daily.join(carry, same).withColumn("running_n", F.col("_carry") + F.sum("n").over(within))
+            .select(*counts.columns, "running_n"))
 
 
 def route_counts(routed: DataFrame) -> DataFrame:

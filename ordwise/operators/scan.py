@@ -8,94 +8,100 @@ single hot order holding a third of the data would run on one core.
 
 Strategy (``SkewPlan``):
 
-* A cheap sampled count finds *hot* orders (estimated rows above a
-  threshold). Sampling only chooses the physical split; every row is still
-  processed and the result is exact whatever the sample finds.
-* No hot orders (the normal case): one ``repartition(order_id)`` serves both
-  the dedup window ``(order_id, event_id)`` and the validation window
-  ``(order_id)`` - a single exchange of the big side.
-* Hot orders are split into arrival-time chunks ``_ck``; everything is
-  partitioned by ``(order_id, _ck)``, so a hot order spreads over as many
-  tasks as it has chunks. The in-chunk window gives the prefix within the
-  chunk; a *carry* (max over all earlier chunks of the key) comes from a
-  chunk-level table computed over the hot subset only, which is tiny
-  (rows = hot keys x chunks). The carry is materialised in the checkpoint
-  folder, counted, and only broadcast below a row bound; above it a shuffle
-  join is used.
-
-Chunks are a monotone function of the arrival time and the arrival order
-``(arrival_ts, arrival_seq)`` is total, so ``greatest(carry, in-chunk max)``
-equals the single-window value on every row.
+* ``detect_hot_keys`` counts a sample of the keys (a scan of the key and
+  arrival columns) and keeps the orders above a threshold in a stored table,
+  with the arrival positions at which each is cut, so that chunks hold about
+  equal numbers of rows whatever the spread over time. The sample only
+  chooses the physical split; every row is still processed and the result is
+  exact whatever the sample finds. A caller that knows its input has no hot
+  orders passes ``SkewPlan()`` and saves that scan.
+* No hot orders (the normal case): one ``repartition`` on the order serves both
+  the dedup window ``(order, event)`` and the validation window ``(order)``.
+* Hot orders are split at their cuts into chunks ``_ck``; everything is
+  partitioned by ``(order, _ck)``, so a hot order spreads over as many tasks
+  as it has chunks. The in-chunk window gives the prefix within the chunk; a
+  *carry* (max over all earlier chunks of the key) comes from a chunk-level
+  table over the hot rows only. For validation that table has a row per hot
+  order and chunk; for dedup one per sighted id and chunk, of which only ids
+  seen in more than one chunk are kept. It is stored in the checkpoint folder
+  and joined as Spark's size statistics say.
+* Rows without an order or event id belong to no group: a number derived from
+  their arrival stands in for the missing key, so malformed lines spread over
+  all tasks and never meet in a window.
+
+The arrival order ``(arrival_ts, arrival_seq)`` is total and chunks are cut
+along it, so ``greatest(carry, in-chunk max)`` equals the single-window value
+on every row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-DEFAULT_CHUNK_SECONDS = 600
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-# A key is split when it is estimated to hold more rows than this.
+# A key is split when it is estimated to hold more rows than this, into
+# chunks of about so many rows.
 DEFAULT_HOT_ROWS = 2_000_000
+DEFAULT_CHUNK_ROWS = 500_000
 DEFAULT_SAMPLE_FRACTION = 0.01
-MAX_HOT_KEYS = 1000
-BROADCAST_MAX_ROWS = 2_000_000
 
 
-def time_chunk(ts_col: str, chunk_seconds: int) -> Column:
-    secs = F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, `{ts_col}`)")
-    return F.floor(secs / F.lit(chunk_seconds)).cast("long")
+def lone_key(col: str) -> Column:
+    """Null for a present key; for a missing one a number of the row's own."""
+    return F.when(F.col(col).isNull(), F.xxhash64("arrival_ts", "arrival_seq"))
 
 
 @dataclass
 class SkewPlan:
-    """Which orders are split, and how."""
-    hot: list = field(default_factory=list)
-    chunk_seconds: int = DEFAULT_CHUNK_SECONDS
+    """Which orders are split, and where: ``hot`` is a stored table (order,
+    sorted array of cut positions) or None."""
+    hot: DataFrame | None = None
     key: str = "order_id"
 
     @property
     def split(self) -> bool:
-        return bool(self.hot)
-
-    def hot_filter(self) -> Column | None:
-        return F.col(self.key).isin(self.hot) if self.hot else None
-
-    def chunk_col(self) -> str | None:
-        return "_ck" if self.hot else None
-
-    def prepare(self, df: DataFrame, ts_col: str = "arrival_ts") -> DataFrame:
-        """Add ``_ck`` (hot keys only) and hash-partition once on the key
-        (plus chunk); every later window on ``key[, ...][, _ck]`` reuses it."""
-        if not self.hot:
-            return df.repartition(self.key)
-        ck = F.when(self.hot_filter(), time_chunk(ts_col, self.chunk_seconds)).otherwise(F.lit(0))
-        return df.withColumn("_ck", ck.cast("long")).repartition(self.key, "_ck")
+        return self.hot is not None
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """Add ``_lone`` (missing keys) and ``_ck`` (0, or the chunk of a hot
+        order from 1) and hash-partition once on the key; every later window
+        on ``key[, ...], _lone[, _ck]`` reuses it."""
+        df = df.withColumn("_lone", lone_key(self.key))
+        if not self.split:
+            return df.repartition(self.key, "_lone")
+        hot = self.hot.select(F.col(self.key).alias("_hot_key"), "cuts")
+        position = F.struct(F.col("arrival_ts").alias("ts"), F.col("arrival_seq").alias("seq"))
+        ck = F.when(F.col("_hot_key").isNotNull(),
+                    F.size(F.filter("cuts", lambda c: c <= position)) + 1).otherwise(0)
+        return (df.join(hot, F.col(self.key) == F.col("_hot_key"), "left").withColumn("_ck", ck)
+                .drop("_hot_key", "cuts").repartition(self.key, "_lone", "_ck"))
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop("_ck") if self.hot else df
+        return df.drop("_ck", "_lone")
 
 
-def detect_hot_keys(df: DataFrame, key: str = "order_id",
-                    hot_rows: int = DEFAULT_HOT_ROWS,
+def detect_hot_keys(df: DataFrame, key: str = "order_id", hot_rows: int = DEFAULT_HOT_ROWS,
                     fraction: float = DEFAULT_SAMPLE_FRACTION,
-                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                    max_hot: int = MAX_HOT_KEYS, seed: int = 17) -> SkewPlan:
-    """Sampled heavy-hitter detection (one scan, a tiny aggregate to the
-    driver: at most ``max_hot`` keys). Keys beyond ``max_hot`` keep the
-    single-window path, which is exact too."""
-    frac = min(1.0, max(fraction, 0.0))
-    sample = df.select(key) if frac >= 1.0 else df.select(key).sample(False, frac, seed)
-    min_count = max(1, int(hot_rows * frac))
-    rows = (sample.where(F.col(key).isNotNull()).groupBy(key).count()
-            .where(F.col("count") >= min_count)
-            .orderBy(F.desc("count")).limit(max_hot).collect())
-    return SkewPlan(hot=[r[0] for r in rows], chunk_seconds=chunk_seconds, key=key)
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS, seed: int = 17) -> SkewPlan:
+    """Plan from one scan of a sample: all keys estimated above ``hot_rows``,
+    however many, each with a cut at about every ``chunk_rows`` rows (a sampled
+    position every ``chunk_rows * fraction`` sampled rows)."""
+    frac = min(1.0, max(fraction, 1e-9))
+    rows = df.select(key, F.struct(F.col("arrival_ts").alias("ts"), F.col("arrival_seq").alias("seq")).alias("at"))
+    sample = rows if frac >= 1.0 else rows.sample(False, frac, seed)
+    step = max(1, int(chunk_rows * frac))
+    # thinned before grouping: about ``1 / step`` of the sample, a few positions a chunk
+    counted = (sample.where(F.col(key).isNotNull())
+               .withColumn("_kept", F.pmod(F.xxhash64("at"), F.lit(step)) == 0)
+               .groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.array_sort(
+                   F.collect_list(F.when(F.col("_kept"), F.col("at")))).alias("cuts")))
+    hot = materialize(counted.where(F.col("n") >= max(1, int(hot_rows * frac))).select(key, "cuts"), "hot-keys")
+    return SkewPlan(key=key) if hot.isEmpty() else SkewPlan(hot=hot, key=key)
 
 
 def prefix_max_before(df: DataFrame, keys: Sequence[str], value: Column, out: str,
@@ -104,25 +110,27 @@ def prefix_max_before(df: DataFrame, keys: Sequence[str], value: Column, out: st
     """Add ``out`` = max(value) over the rows of the same key strictly before
     this row in ``order_by`` order (null when there is none).
 
-    ``df`` must come from ``plan.prepare`` when a plan with hot keys is given.
+    ``df`` must come from ``plan.prepare``; rows whose first key is missing
+    are groups of their own through ``_lone``.
     """
-    keys = list(keys)
+    keys = [*keys, "_lone"]
     order = [F.col(c).asc() for c in order_by]
-    ck = plan.chunk_col() if plan else None
-    part = keys + ([ck] if ck else [])
+    split = bool(plan and plan.split)
+    part = keys + (["_ck"] if split else [])
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     res = df.withColumn(out, F.max(value).over(w))
-    if not ck:
+    if not split:
         return res
 
-    # Carry from earlier chunks, computed over the hot subset only.
-    hot = df.where(plan.hot_filter())
-    chunk_max = hot.groupBy(*keys, ck).agg(F.max(value).alias("_cm"))
-    wk = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    carry = materialize(chunk_max.select(*keys, ck, F.max("_cm").over(wk).alias("_carry"))
+    # Carry from earlier chunks, computed over the hot rows only.
+    chunk_max = df.where(F.col("_ck") > 0).groupBy(*keys, "_ck").agg(F.max(value).alias("_cm"))
+    wk = Window.partitionBy(*keys).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
+    carry = materialize(chunk_max.select(*(F.col(k).alias(f"_c_{k}") for k in [*keys, "_ck"]),
+                                         F.max("_cm").over(wk).alias("_carry"))
                         .where(F.col("_carry").isNotNull()), "carry")
-    if carry.count() <= BROADCAST_MAX_ROWS:
-        carry = F.broadcast(carry)
-    return (res.join(carry, on=[*keys, ck], how="left")
-               .withColumn(out, F.greatest(F.col("_carry"), F.col(out)))
-               .drop("_carry"))
+    same = F.lit(True)
+    for k in [*keys, "_ck"]:
+        same = same & (F.col(k).eqNullSafe(F.col(f"_c_{k}")))
+    return (res.join(carry, same, "left")
+            .withColumn(out, F.greatest(F.col("_carry"), F.col(out)))
+            .drop("_carry", *(f"_c_{k}" for k in [*keys, "_ck"])))

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..session import ship_package
 from .scan import SkewPlan, prefix_max_before
-from .validate import quarantine_reason
+from .validate import check_mode, quarantine_reason
 
 
 def _fold(ttl_us: int):
@@ -50,10 +50,14 @@ def _fold(ttl_us: int):
             start = pdf["_seg_start"].to_numpy(dtype=bool)
             rk = pdf["rk"].to_numpy(dtype=float)
             us = pdf["_us"].to_numpy(dtype=np.int64)
+            prior_us = pdf["_prior_us"].to_numpy(dtype=float, na_value=np.nan)
+            prior_rank = pdf["_prior"].to_numpy(dtype=float, na_value=np.nan)
             for i in range(n):
                 if orders[i] != cur_order or start[i]:
                     cur_order = orders[i]
-                    st_rank = None
+                    st_rank, st_us = None, 0
+                    if prior_us[i] == prior_us[i] and us[i] - prior_us[i] < ttl_us:
+                        st_rank, st_us = prior_rank[i], int(prior_us[i])
                 alive = st_rank is not None and us[i] - st_us < ttl_us
                 if alive:
                     prev[i] = st_rank
@@ -63,7 +67,7 @@ def _fold(ttl_us: int):
                     valid[i] = True
                     st_rank = rk[i]
                     st_us = us[i]
-            out = pdf.drop(columns=["_counted", "_seg_start", "_us"])
+            out = pdf.drop(columns=["_counted", "_seg_start", "_us", "_prior", "_prior_us"])
             out["prev_rank"] = pd.array(np.where(np.isnan(prev), None, prev), dtype="Int32")
             out["_valid"] = valid
             yield out
@@ -72,34 +76,40 @@ def _fold(ttl_us: int):
 
 def validate_with_ttl(df: DataFrame, ttl_seconds: int, on_duplicate: str = "drop",
                       plan: SkewPlan | None = None, strict: bool = False,
-                      prepared: bool = False) -> DataFrame:
+                      prepared: bool = False, prior: DataFrame | None = None) -> DataFrame:
     """Route flagged events (``is_dup``, ``rk``) with an expiring state.
 
     ``prepared=True``: ``df`` already comes from ``plan.prepare`` (as inside
-    ``process_events``), so its partitioning is reused.
+    ``process_events``), so its partitioning is reused. ``prior`` (``order_id,
+    prior_rank, prior_arrival_ts``): the state each order starts from.
     """
-    if on_duplicate not in ("drop", "keep"):
-        raise ValueError(f"on_duplicate must be 'drop' or 'keep', not {on_duplicate!r}")
+    check_mode(on_duplicate)
     plan = plan or SkewPlan()
     ship_package(df.sparkSession)
-    df = quarantine_reason(df)
-    if strict:
-        df = df.withColumn("quarantine_reason", F.when(
-            F.col("quarantine_reason").isNotNull(),
-            F.raise_error(F.concat(F.lit("bad event: "), F.col("quarantine_reason")))))
+    df = quarantine_reason(df, strict)
     quarantined = F.col("quarantine_reason").isNotNull()
     counted = ~quarantined & (~F.col("is_dup") if on_duplicate == "drop" else F.lit(True))
     ttl_us = int(ttl_seconds) * 1_000_000
-    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', arrival_ts)")
+    micros = lambda c: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")
 
     base = df.withColumn("_counted", counted)
     if not prepared:
         base = plan.prepare(base)
     g = prefix_max_before(base, ["order_id"], F.when(F.col("_counted"), F.col("arrival_ts")),
                           "_prev_counted_ts", plan=plan)
+    if prior is None:
+        g = g.withColumn("_prior", F.lit(None).cast("int")).withColumn("_prior_us", F.lit(None).cast("long"))
+    else:
+        # only an order's first segment can start from the prior state; later
+        # ones begin a TTL or more after it
+        p = (prior.groupBy(F.col("order_id").alias("_prior_order"))
+             .agg(F.max(F.struct(F.col("prior_arrival_ts").alias("ts"), F.col("prior_rank").cast("int").alias("rank"))).alias("_p")))
+        g = (g.join(p, F.col("order_id") == F.col("_prior_order"), "left").withColumn("_prior", F.col("_p.rank"))
+             .withColumn("_prior_us", micros("_p.ts")).drop("_p", "_prior_order"))
     gap = F.expr("timestampdiff(MICROSECOND, _prev_counted_ts, arrival_ts)")
     g = g.withColumn("_seg_start", F.col("_counted") & (
         F.col("_prev_counted_ts").isNull() | (gap >= F.lit(ttl_us)))).drop("_prev_counted_ts")
+    # rows without an order stay spread by ``_lone``
     if plan.split:
         # segment id = arrival of the latest segment start at or before the row;
         # hot orders then spread over tasks by segment
@@ -107,12 +117,12 @@ def validate_with_ttl(df: DataFrame, ttl_seconds: int, on_duplicate: str = "drop
         g = prefix_max_before(g.withColumn("_mark", mark), ["order_id"], F.col("_mark"), "_seg",
                               plan=plan)
         g = g.withColumn("_seg", F.coalesce(F.col("_mark"), F.col("_seg"))).drop("_mark")
-        g = plan.finish(g).repartition("order_id", "_seg").drop("_seg")
-    else:
-        g = plan.finish(g)
-    g = (g.withColumn("_us", us)
+        g = g.repartition("order_id", "_lone", "_seg").drop("_seg")
+    elif prior is not None:
+        g = g.repartition("order_id", "_lone")
+    g = (g.withColumn("_us", micros("arrival_ts"))
           .sortWithinPartitions("order_id", "arrival_ts", "arrival_seq"))
-    schema = T.StructType([f for f in g.schema.fields if f.name not in ("_counted", "_seg_start", "_us")]
+    schema = T.StructType([f for f in g.schema.fields if f.name not in ("_counted", "_seg_start", "_us", "_prior", "_prior_us")]
                           + [T.StructField("prev_rank", T.IntegerType()),
                              T.StructField("_valid", T.BooleanType())])
     folded = g.mapInPandas(_fold(ttl_us), schema)

@@ -1,8 +1,10 @@
 """Latest state per order and the ``orders`` upsert.
 
 The latest event per order is a ``max_by`` aggregate: partial (map-side)
-aggregation, no sort, and a hot order collapses to one row per task before
-the shuffle. The ``row_number`` form is kept for parity.
+aggregation collapses a hot order to one row per task before the shuffle. Its
+buffers hold strings, so Spark sorts for it on both sides of the exchange. The
+``row_number`` form (one sort after the exchange, one task per order) is kept
+for parity.
 
 Upsert rules (per order, new increment ``s`` against stored row ``o``):
 
@@ -87,7 +89,8 @@ def merge_orders(orders: DataFrame, increment: DataFrame,
     by default; a literal in tests).
     """
     now = F.current_timestamp() if now is None else now
-    s = latest_per_order(increment).alias("s")
+    # a null id never equals a stored one: it would add a row with every load
+    s = latest_per_order(increment.where(F.col("order_id").isNotNull())).alias("s")
     o = orders.alias("o")
     j = o.join(s, F.col("o.order_id") == F.col("s.order_id"), "full_outer")
     stored = F.col("o.order_id").isNotNull()

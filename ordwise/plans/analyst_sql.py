@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # The average delivery time uses the milestones view: the reference's query
 # names paid/delivered columns that its orders table does not have.
 ANALYST_SQL = {
-    "latest_order_state": "SELECT * FROM orders WHERE order_id = '{order_id}'",
+    "latest_order_state": "SELECT * FROM orders WHERE order_id = :order_id",
     "avg_delivery_time": """
         SELECT count(*) AS n_orders,
                sum(timestampdiff(MICROSECOND, paid_at, delivered_at)) AS total_delivery_micros,
@@ -31,4 +31,4 @@ def register_views(spark: SparkSession, **tables: DataFrame) -> None:
 
 
 def run(spark: SparkSession, name: str, **params) -> DataFrame:
-    return spark.sql(ANALYST_SQL[name].format(**params))
+    return spark.sql(ANALYST_SQL[name], args=params)

@@ -8,10 +8,11 @@ inside a partition value would be escaped, so the reference-style key
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import EVENT_COLUMNS, ISO_FORMAT
+from ..sources.streams import WIRE_FILE_SCHEMA
 
 PARTITION_COLS = ["dt", "hr"]
 
@@ -21,11 +22,6 @@ def with_partition_columns(df: DataFrame, ts_col: str = "arrival_ts") -> DataFra
               .withColumn("hr", F.date_format(ts_col, "HH")))
 
 
-def key_from_parts(dt: Column, hr: Column) -> Column:
-    """``yyyy-MM/dd/HH`` from ``dt``/``hr``."""
-    return F.concat(F.substring(dt, 1, 7), F.lit("/"), F.substring(dt, 9, 2), F.lit("/"), hr)
-
-
 def key_from_path(path: Column) -> Column:
     """Partition key from a file path in either layout:
     ``.../dt=2024-01-05/hr=07/...`` or ``.../2024-01/05/07/...``."""
@@ -54,17 +50,6 @@ def write_csv_archive(df: DataFrame, root: str, mode: str = "append",
     w.csv(root)
 
 
-def write_raw_archive(wire: DataFrame, root: str, mode: str = "append",
-                      ts_col: str = "arrival_ts", fmt: str = "text") -> None:
-    """Every input line unmodified, one folder per hour.
-
-    ``fmt="text"``: the JSON lines only. ``fmt="parquet"``: the lines with
-    their arrival columns, so a replay reproduces the arrival order exactly.
-    """
-    out = with_partition_columns(wire, ts_col).repartitionByRange(ts_col)
-    w = out.write.mode(mode).partitionBy(*PARTITION_COLS)
-    if fmt == "text":
-        w = out.select("value", *PARTITION_COLS).write.mode(mode).partitionBy(*PARTITION_COLS)
-        w.text(root)
-    else:
-        w.parquet(root)
+def read_raw_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Wire records of a raw archive, for replay."""
+    return spark.read.schema(WIRE_FILE_SCHEMA).parquet(root).select(*WIRE_FILE_SCHEMA.names)

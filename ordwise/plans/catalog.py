@@ -12,15 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import csv_line, parse_csv_lines
+from ..functions.codec import decode_wire, format_timestamp, parse_csv_lines
 from ..operators import analytics, metrics, upsert
-from ..operators.validate import process_events
+from ..operators.validate import prior_expiring_state, prior_sightings, prior_state, process_events
 from ..session import materialize, scratch_path, ship_package
 from ..sources.streams import read_event_stream, write_wire_files
-from ..sources.testdata import clickstream_events, clickstream_wire, order_lineitem_events, table
+from ..sources.testdata import SLICES, arrival_slice, clickstream_events, clickstream_wire, order_lineitem_events, table
 from ..streaming import jobs as sjobs
+from ..streaming import validation
 from . import analyst_sql, loader
-from .archive import write_csv_archive
+from .archive import key_from_path, read_raw_archive, write_csv_archive
 
 ROUTE_COLS = ["event_id", "order_id", "event_type", "arrival_seq", "is_dup", "prev_rank", "route"]
 ORDER_OUT = ["order_id", "latest_event_id", "order_status", "latest_event_time",
@@ -92,6 +93,10 @@ def q_running_totals(spark, sf):
     return metrics.running_totals(metrics.counts_tumbling(clickstream_events(spark, sf), 30))
 
 
+def q_dup_running_totals(spark, sf):
+    return metrics.running_totals(metrics.duplicate_counts(routed(spark, sf), 2), by=None)
+
+
 def q_latest_order_state(spark, sf):
     return upsert.latest_per_order(order_lineitem_events(spark, sf))
 
@@ -109,12 +114,16 @@ def q_orders_upsert_incremental(spark, sf):
     return snap2.select(*ORDER_OUT)
 
 
+def _stored_orders(spark, sf):
+    """The orders table as loads leave it: hash buckets sorted by order id."""
+    store = loader.OrdersStore(spark, scratch_path(spark, "orders-store"))
+    store.upsert(order_lineitem_events(spark, sf))
+    return store
+
+
 def q_orders_point_lookup(spark, sf):
-    """The upsert is independent per order, so the lookup predicate is
-    applied to the events before the merge (it cannot pass the full outer
-    join's coalesced key); on a stored snapshot it reaches the parquet scan."""
-    events = upsert.lookup_order(order_lineitem_events(spark, sf), LOOKUP_ORDER_ID)
-    return upsert.merge_orders(upsert.empty_orders(spark), events).select(*ORDER_OUT)
+    """One bucket of the stored table, the id pushed to its scan."""
+    return _stored_orders(spark, sf).lookup(LOOKUP_ORDER_ID).select(*ORDER_OUT)
 
 
 def q_order_milestones(spark, sf):
@@ -159,22 +168,56 @@ def q_reconcile_routes(spark, sf):
 
 
 def q_csv_cleanup(spark, sf):
+    """CSV lines with dirty fields: blanks, padding, a bad timestamp, a 'Z', an
+    invalid UTF-8 byte."""
     valid = routed(spark, sf).where(F.col("route") == "valid")
-    lines = valid.select(csv_line(valid).alias("line"), "arrival_seq")
-    return parse_csv_lines(lines, "line").select(
+    n = F.col("arrival_seq")
+    dirty = valid.select(
+        "event_id", "order_id", "event_type",
+        F.when(n % 13 == 0, F.lit("not a time")).when(n % 5 == 0, F.concat(format_timestamp(F.col("timestamp")), F.lit("Z")))
+        .otherwise(format_timestamp(F.col("timestamp"))).alias("timestamp"),
+        F.when(n % 7 == 0, F.lit("   ")).otherwise(F.col("customer_id")).alias("customer_id"),
+        F.concat(F.lit("  "), F.col("product_id"), F.lit(" ")).alias("product_id"),
+        F.when(n % 11 == 0, F.lit(" ")).otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        F.col("price").cast("string").alias("price"), n)
+    text = F.concat_ws(",", *[c for c in dirty.columns if c != "arrival_seq"])
+    line = F.when(n % 19 == 0, F.concat(F.unhex(F.lit("FF")), text.cast("binary"))).otherwise(text.cast("binary"))
+    return parse_csv_lines(dirty.select(line.cast("string").alias("line"), "arrival_seq"), "line").select(
         "event_id", "order_id", "event_type", "timestamp", "customer_id", "product_id",
         "quantity", "price", "arrival_seq")
 
 
+def _incremental(spark, sf, state_ttl=None):
+    """Arrival slices one after another, each continued from the states the
+    slices before it left."""
+    events = materialize(arrival_slice(clickstream_events(spark, sf)), "incremental")
+    earlier = None
+    for k in range(SLICES):
+        prior = prior_seen = None
+        if earlier is not None:
+            prior = (prior_state if state_ttl is None else prior_expiring_state)(earlier)
+            prior_seen = prior_sightings(earlier)
+        out = materialize(process_events(events.where(F.col("slice") == k), "drop", state_ttl_seconds=state_ttl,
+                                         prior=prior, prior_seen=prior_seen), "incremental-slice")
+        earlier = out if earlier is None else earlier.unionByName(out)
+    return earlier
+
+
+def q_validate_incremental(spark, sf):
+    return _incremental(spark, sf).select(*ROUTE_COLS)
+
+
+def q_validate_incremental_ttl(spark, sf):
+    return _incremental(spark, sf, STATE_TTL_SECONDS).select(*TTL_COLS)
+
+
 # --- analyst SQL (temp views + spark.sql) -------------------------------------
 EVENT_TABLE_COLS = ["event_id", "order_id", "event_type", "timestamp", "customer_id",
                     "product_id", "quantity", "price"]
 
 
 def q_sql_latest_order_state(spark, sf):
-    events = upsert.lookup_order(order_lineitem_events(spark, sf), LOOKUP_ORDER_ID)
-    orders = upsert.merge_orders(upsert.empty_orders(spark), events).select(*ORDER_OUT)
-    analyst_sql.register_views(spark, orders=orders)
+    analyst_sql.register_views(spark, orders=_stored_orders(spark, sf).current().select(*ORDER_OUT))
     return analyst_sql.run(spark, "latest_order_state", order_id=LOOKUP_ORDER_ID)
 
 
@@ -228,6 +271,9 @@ def q_load_pending_partitions(spark, sf):
             .select("dataset", "partition_key", "ready"))
 
 
+EVENT_OUT = [*EVENT_TABLE_COLS, "partition_key"]
+
+
 def q_load_is_idempotent(spark, sf):
     r = _routed_once(spark, sf)
     wh, landing = _setup(spark, "idempotent")
@@ -235,11 +281,37 @@ def q_load_is_idempotent(spark, sf):
     _write_slice(r, landing, first=False)
     for ds in DATASETS:
         loader.load(spark, wh, landing[ds], ds)              # load
-        loader.load(spark, wh, landing[ds], ds)              # nothing pending
-        loader.load(spark, wh, landing[ds], ds, force=True)  # full reload
+        again = loader.load(spark, wh, landing[ds], ds)      # nothing pending
+        assert again["files"] == 0
     tables = wh.events("valid").withColumn("dataset", F.lit("valid")).unionByName(
         wh.events("invalid").withColumn("dataset", F.lit("invalid")))
-    return tables.groupBy("dataset", "partition_key").agg(F.count(F.lit(1)).alias("n"))
+    return tables.select("dataset", *EVENT_OUT)
+
+
+def q_load_late_file_after_promote(spark, sf):
+    """Every hour is loaded and promoted; then a file with the rest of its
+    rows lands in it."""
+    valid = _routed_once(spark, sf).where(F.col("route") == "valid")
+    wh, landing = _setup(spark, "late")
+    done = landing["valid"].replace("/landing/", "/loaded/")
+    late = F.pmod("arrival_seq", F.lit(5)) == 0
+    for part in (valid.where(~late), valid.where(late)):
+        write_csv_archive(part, landing["valid"])
+        loader.load(spark, wh, landing["valid"], "valid", promote_to=done)
+    return wh.events("valid").select(*EVENT_OUT)
+
+
+def q_load_retry_after_failed_snapshot(spark, sf):
+    """The orders upsert of the first try fails; the second try loads it all."""
+    valid = _routed_once(spark, sf).where(F.col("route") == "valid")
+    wh, landing = _setup(spark, "retry")
+    write_csv_archive(valid, landing["valid"])
+    try:
+        loader.load(spark, wh, landing["valid"], "valid", now=F.raise_error(F.lit("clock is down")).cast("timestamp"))
+    except Exception as ex:  # noqa: BLE001 - the failure this query is about
+        assert "clock is down" in str(ex)
+    loader.load(spark, wh, landing["valid"], "valid")
+    return wh.events("valid").select(*EVENT_OUT)
 
 
 def q_orders_from_loads(spark, sf):
@@ -252,62 +324,89 @@ def q_orders_from_loads(spark, sf):
 
 
 # --- streaming -----------------------------------------------------------------
-# Arrival-day slices landed one after another; each is followed by one
+# Arrival slices landed one after another; each is followed by one
 # availableNow run on the same checkpoint (a restart per slice).
-SLICES = [(1, 10), (11, 20), (21, 31)]
+SENTINEL = "SENTINEL"  # closes the open windows; its own window stays open
 
 
-def _replay(spark, sf, name, start_query):
+def _replay(spark, sf, name, start_query, close_windows=False):
     """Land the wire records slice by slice and run ``start_query(stream,
     root, checkpoint)`` to completion after each slice."""
     root = scratch_path(spark, name)
     src, ck = f"{root}/source", f"{root}/checkpoint"
-    wire = clickstream_wire(table(spark, sf, "events"))
-    day = F.dayofmonth("arrival_ts")
-    for lo, hi in SLICES:
-        write_wire_files(wire.where(day.between(lo, hi)), src)
-        stream = read_event_stream(spark, "files", src)
-        sjobs.run_available(start_query(stream, root, ck))
+    wire = materialize(arrival_slice(clickstream_wire(table(spark, sf, "events"))), "wire")
+    slices = [wire.where(F.col("slice") == k).drop("slice") for k in range(SLICES)]
+    if close_windows:
+        later = wire.agg((F.max("arrival_ts") + F.make_dt_interval(F.lit(2))).alias("arrival_ts"), (F.max("arrival_seq") + 10).alias("arrival_seq"))
+        slices.append(later.select(F.to_json(F.struct(
+            F.lit("end").alias("event_id"), F.lit("end").alias("order_id"), F.lit(SENTINEL).alias("event_type"),
+            format_timestamp(F.col("arrival_ts")).alias("timestamp"))).alias("value"), "arrival_ts", "arrival_seq"))
+    for part in slices:
+        write_wire_files(part, src)
+        sjobs.run_available(start_query(read_event_stream(spark, "files", src), root, ck))
     return root
 
 
+def _validated(spark, sf, name, **options):
+    return _replay(spark, sf, name, lambda st, r, ck: validation.start_validation(
+        st, f"{r}/out", ck, trigger={"availableNow": True}, **options))
+
+
 def q_stream_validate_replay(spark, sf):
-    root = _replay(spark, sf, "stream-validate", lambda st, r, ck: sjobs.start_validation(
-        st, f"{r}/out", ck, trigger={"availableNow": True}))
-    return sjobs.read_fanout(spark, f"{root}/out").select(*ROUTE_COLS)
+    root = _validated(spark, sf, "stream-validate")
+    return validation.read_fanout(spark, f"{root}/out").select(*ROUTE_COLS)
 
 
 def q_stream_duplicate_counts(spark, sf):
-    root = _replay(spark, sf, "stream-dups", lambda st, r, ck: sjobs.start_validation(
-        st, f"{r}/out", ck, trigger={"availableNow": True}))
-    return sjobs.read_duplicate_counts(spark, f"{root}/out")
+    root = _validated(spark, sf, "stream-dups")
+    return validation.read_duplicate_counts(spark, f"{root}/out")
+
+
+def q_stream_orders(spark, sf):
+    orders = scratch_path(spark, "stream-orders-store")
+    _validated(spark, sf, "stream-orders", orders_root=orders)
+    return loader.OrdersStore(spark, orders).current().select(*ORDER_OUT)
+
+
+def _stream_counts(spark, sf, name, **options):
+    root = _replay(spark, sf, name, lambda st, r, ck: sjobs.start_counts(
+        sjobs.count_stream(sjobs.decode_stream(st), 30, **options), f"{r}/counts", ck,
+        trigger={"availableNow": True}), close_windows=True)
+    return spark.read.parquet(f"{root}/counts/*")
 
 
 def q_stream_counts(spark, sf):
-    root = _replay(spark, sf, "stream-counts", lambda st, r, ck: sjobs.start_counts(
-        sjobs.count_stream(sjobs.decode_stream(st), 30), f"{r}/counts", ck,
-        trigger={"availableNow": True}))
-    return spark.read.parquet(f"{root}/counts")
+    return _stream_counts(spark, sf, "stream-counts")
 
 
 def q_stream_event_time_counts(spark, sf):
-    root = _replay(spark, sf, "stream-et-counts", lambda st, r, ck: sjobs.start_counts(
-        sjobs.count_stream(sjobs.decode_stream(st), 30, ts_col="timestamp", watermark="5 seconds"),
-        f"{r}/counts", ck, trigger={"availableNow": True}))
-    return spark.read.parquet(f"{root}/counts")
+    return _stream_counts(spark, sf, "stream-et-counts", ts_col="timestamp", watermark="5 seconds")
 
 
-def q_stream_raw_archive(spark, sf):
-    root = _replay(spark, sf, "stream-raw", lambda st, r, ck: sjobs.start_raw_archive(
-        st, f"{r}/raw", ck, trigger={"availableNow": True}))
+def _raw_archive(spark, sf):
+    start = lambda st, r, ck: sjobs.start_raw_archive(st, f"{r}/raw", ck, trigger={"availableNow": True})
+    root = _replay(spark, sf, "stream-raw", start)
     # one more run on the same checkpoint with no new input: nothing re-emitted
-    sjobs.run_available(sjobs.start_raw_archive(
-        read_event_stream(spark, "files", f"{root}/source"), f"{root}/raw",
-        f"{root}/checkpoint", trigger={"availableNow": True}))
-    raw = spark.read.text(f"{root}/raw")
-    from .archive import key_from_path
-    return (raw.groupBy(key_from_path(F.col("_metadata.file_path")).alias("partition_key"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    sjobs.run_available(start(read_event_stream(spark, "files", f"{root}/source"), root, f"{root}/checkpoint"))
+    return f"{root}/raw"
+
+
+def q_stream_raw_archive(spark, sf):
+    archive = spark.read.parquet(_raw_archive(spark, sf)).withColumn("partition_key", key_from_path(F.col("_metadata.file_path")))
+    return decode_wire(archive.select("value", "arrival_ts", "arrival_seq", "partition_key"))
+
+
+def q_replay_from_raw(spark, sf):
+    """The stored raw lines through the engine again."""
+    wire = read_raw_archive(spark, _raw_archive(spark, sf))
+    return process_events(sjobs.decode_stream(wire)).select(*ROUTE_COLS)
+
+
+def q_reconcile_stored(spark, sf):
+    """Stored raw lines against stored outputs, per arrival hour."""
+    raw = read_raw_archive(spark, _raw_archive(spark, sf))
+    out = validation.read_fanout(spark, f"{_validated(spark, sf, 'reconcile')}/out")
+    return analytics.reconcile(raw, {r: out.where(F.col("route") == r) for r in ("valid", "invalid", "duplicate", "quarantine")})
 
 
 def _shipped(fn):

@@ -1,27 +1,30 @@
 """Exactly-once batch load of archived hour partitions into event tables.
 
-One job per run, for all new partitions at once:
+One job per run, for all new files at once:
 
 1. *Discover* every file under the landing root (metadata only).
 2. *Gate*: a partition is ready when it holds at least one non-empty
    ``.csv`` file and nothing else (an in-progress, temporary or empty file
    blocks it). Checksum files and ``_SUCCESS`` markers are ignored.
-3. *Pending*: ready partitions holding a file ``(path, length, mtime)`` the
-   tracker has not recorded (a ``left_anti`` join). Tracking files rather
-   than partitions means a file that lands in an already-loaded hour is
-   picked up on the next run instead of being lost.
-4. *Load*: one multi-file CSV scan of the pending partitions; partitions
-   with unparseable numbers are reported and skipped (retried next run);
-   good partitions replace their folder in the event table by dynamic
-   partition overwrite, so a repeated load never doubles rows.
-5. *Upsert* the latest state per order into a new ``orders`` snapshot.
-6. *Commit*: append the tracker rows last. A crash before this point only
-   repeats idempotent overwrites on the next run.
+3. *Pending*: files of ready partitions ``(path, length, mtime)`` that the
+   tracker has not recorded (a ``left_anti`` join). A file that lands in an
+   hour which was loaded, or loaded and promoted, is loaded alone.
+4. *Load*: one multi-file CSV scan of the pending files. An hour with a line
+   that is too short or long, a bad number or a bad timestamp fails alone:
+   it is reported and retried in the next run. Rows without an order id go to
+   the quarantine table. All other rows are appended under
+   ``load_id=<id>/dt=/hr=``, a folder of this run's own.
+5. *Upsert* the latest state per order (``plans.orders_store``).
+6. *Commit*: the tracker rows, which name the ``load_id``, are written last in
+   one file. Readers see committed loads only, so a run that dies before this
+   point leaves nothing visible, and undoing a load removes its folder and no
+   other row. The orders upsert before it is idempotent.
 7. Optionally *promote* loaded files from the landing root to a loaded root.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -30,9 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codec import EVENT_COLUMNS, RAW_CSV_SCHEMA, clean_staging
-from ..operators.upsert import ORDERS_SCHEMA, empty_orders, merge_orders
-from ..sources.files import delete_path, list_dirs, list_files, move_file, path_exists
+from ..sources.files import delete_path, list_files, move_files, path_exists
 from .archive import PARTITION_COLS, key_from_path
+from .orders_store import OrdersStore
 
 TRACKER_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()),
@@ -40,6 +43,7 @@ TRACKER_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()),
     T.StructField("mtime", T.LongType()),
     T.StructField("partition_key", T.StringType()),
+    T.StructField("load_id", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("loaded_at", T.TimestampType()),
 ])
@@ -54,6 +58,7 @@ EVENT_TABLE_SCHEMA = T.StructType([
     T.StructField("quantity", T.IntegerType()),
     T.StructField("price", T.DoubleType()),
     T.StructField("partition_key", T.StringType()),
+    T.StructField("load_id", T.StringType()),
     T.StructField("dt", T.StringType()),
     T.StructField("hr", T.StringType()),
 ])
@@ -66,45 +71,14 @@ def _name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
-class OrdersStore:
-    """``orders`` as numbered parquet snapshots; the newest complete one
-    (having ``_SUCCESS``) is current. Writing a new snapshot never touches the
-    one being read, and a half-written snapshot is never current."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.root):
-            if name.startswith("snapshot-") and path_exists(
-                    self.spark, f"{self.root}/{name}/_SUCCESS"):
-                out.append(int(name.removeprefix("snapshot-")))
-        return sorted(out)
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/snapshot-{version:08d}"
-
-    def current(self) -> DataFrame:
-        v = self.versions()
-        if not v:
-            return empty_orders(self.spark)
-        return self.spark.read.schema(ORDERS_SCHEMA).parquet(self.path(v[-1]))
-
-    def commit(self, df: DataFrame) -> int:
-        v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
-        df.select(*[f.name for f in ORDERS_SCHEMA.fields]).write.mode("error").parquet(self.path(nxt))
-        return nxt
-
-
 @dataclass
 class Warehouse:
     """Locations of the event tables, the tracker and the orders store."""
     spark: SparkSession
     root: str
     tables: dict = field(default_factory=lambda: {"valid": "order_events",
-                                                  "invalid": "invalid_order_events"})
+                                                  "invalid": "invalid_order_events",
+                                                  "quarantine": "quarantined_order_events"})
 
     def table_path(self, dataset: str) -> str:
         return f"{self.root.rstrip('/')}/{self.tables[dataset]}"
@@ -125,13 +99,18 @@ class Warehouse:
             p = self.table_path(ds)
             if not path_exists(self.spark, p):
                 (self.spark.createDataFrame([], EVENT_TABLE_SCHEMA)
-                 .write.partitionBy(*PARTITION_COLS).parquet(p))
+                 .write.partitionBy("load_id", *PARTITION_COLS).parquet(p))
 
     def tracker(self) -> DataFrame:
-        return self.spark.read.schema(TRACKER_SCHEMA).parquet(self.tracker_path)
+        """Rows of the loads that count: committed and not undone."""
+        log = self.spark.read.schema(TRACKER_SCHEMA).parquet(self.tracker_path)
+        undone = log.where("status = 'UNDONE'").select("load_id").distinct()
+        return log.where("status = 'SUCCESS'").join(undone, "load_id", "left_anti").select(*TRACKER_SCHEMA.names)
 
     def events(self, dataset: str = "valid") -> DataFrame:
-        return self.spark.read.schema(EVENT_TABLE_SCHEMA).parquet(self.table_path(dataset))
+        """Rows of committed loads."""
+        rows = self.spark.read.schema(EVENT_TABLE_SCHEMA).parquet(self.table_path(dataset))
+        return rows.join(self.tracker().select("load_id").distinct(), "load_id", "left_semi").select(*EVENT_TABLE_SCHEMA.names)
 
 
 def discover(spark: SparkSession, landing_root: str, dataset: str) -> DataFrame:
@@ -160,107 +139,115 @@ def partition_status(files: DataFrame) -> DataFrame:
         (F.bool_and("loadable") & (F.count_if(F.col("loadable")) > 0)).alias("ready"))
 
 
+def pending_files(files: DataFrame, tracker: DataFrame) -> DataFrame:
+    """Loadable files of ready partitions that the tracker has not seen."""
+    ready = partition_status(files).where("ready").select("dataset", "partition_key")
+    return (files.where("loadable").join(ready, ["dataset", "partition_key"], "left_semi")
+            .join(tracker.select("dataset", "file_path", "length", "mtime"),
+                  ["dataset", "file_path", "length", "mtime"], "left_anti"))
+
+
 def pending_partitions(files: DataFrame, tracker: DataFrame) -> DataFrame:
     """Ready partitions with at least one file the tracker has not seen."""
-    status = partition_status(files).where("ready")
-    new = (files.where("loadable")
-           .join(tracker.select("dataset", "file_path", "length", "mtime"),
-                 ["dataset", "file_path", "length", "mtime"], "left_anti")
-           .select("dataset", "partition_key").distinct())
-    return status.join(new, ["dataset", "partition_key"], "left_semi")
+    new = pending_files(files, tracker).select("dataset", "partition_key").distinct()
+    return partition_status(files).join(new, ["dataset", "partition_key"], "left_semi")
 
 
 def _nonblank(c: Column) -> Column:
-    return F.trim(c) != ""
+    return F.coalesce(F.trim(c) != "", F.lit(False))
+
+
+def read_landed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Raw CSV rows of landed files with ``partition_key`` and ``bad_line``:
+    a line with too few or too many fields, or with text where a number or a
+    timestamp belongs."""
+    raw = (spark.read.schema(f"{RAW_CSV_SCHEMA}, _corrupt string").option("header", "false")
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(paths)
+           .withColumn("partition_key", key_from_path(F.col("_metadata.file_path"))))
+    typed = clean_staging(raw.select("*", *(F.col(c).alias(f"_raw_{c}") for c in ("quantity", "price", "timestamp"))), strict=False)
+    bad = F.col("_corrupt").isNotNull()
+    for c in ("quantity", "price", "timestamp"):
+        bad = bad | (_nonblank(F.col(f"_raw_{c}")) & F.col(c).isNull())
+    return typed.withColumn("bad_line", bad).select(*EVENT_COLUMNS, "partition_key", "bad_line")
 
 
 def load(spark: SparkSession, wh: Warehouse, landing_root: str, dataset: str,
          update_orders: bool | None = None, now: Column | None = None,
-         force: bool = False, promote_to: str | None = None) -> dict:
-    """Load every pending partition of ``landing_root`` into the event table
-    of ``dataset`` (``valid`` or ``invalid``). Returns a summary.
-
-    ``force=True`` ignores the tracker (a full, still idempotent, reload).
-    """
+         promote_to: str | None = None) -> dict:
+    """Load every pending file of ``landing_root`` into the event table of
+    ``dataset`` (``valid`` or ``invalid``). Returns a summary with the
+    ``load_id`` (None when nothing was loaded)."""
     wh.setup()
     files = discover(spark, landing_root, dataset)
-    tracker = wh.tracker().where(F.col("dataset") == dataset)
-    if force:
-        tracker = tracker.limit(0)
-    pending = pending_partitions(files, tracker)
-    pfiles = files.where("loadable").join(pending.select("dataset", "partition_key"),
-                                          ["dataset", "partition_key"], "left_semi")
-    # The driver holds the listing already; only paths of pending partitions
-    # are handed to the CSV reader (metadata, collected once).
-    pending_rows = pfiles.select("file_path", "partition_key").collect()
-    paths = [r.file_path for r in pending_rows]
-    summary = {"dataset": dataset, "partitions": 0, "files": len(paths), "failed": []}
-    if not paths:
+    pending = pending_files(files, wh.tracker().where(F.col("dataset") == dataset)).persist()
+    # the driver listed these files; only the paths of the pending ones are
+    # handed to the CSV reader
+    pending_rows = pending.select("file_path", "partition_key").collect()
+    summary = {"dataset": dataset, "load_id": None, "partitions": 0, "files": len(pending_rows), "failed": []}
+    if not pending_rows:
         return summary
 
-    # The increment is scanned three times (bad-row check, table write, orders
-    # merge): keep it for the duration of this load (memory, spilling to disk).
-    raw = (spark.read.schema(RAW_CSV_SCHEMA).option("header", "false")
-           .option("mode", "FAILFAST").csv(paths)
-           .withColumn("partition_key", key_from_path(F.col("_metadata.file_path")))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    bad_row = ((_nonblank(F.col("quantity")) & F.trim("quantity").try_cast("int").isNull())
-               | (_nonblank(F.col("price")) & F.trim("price").try_cast("double").isNull()))
-    failed = [r.partition_key for r in
-              raw.where(bad_row).select("partition_key").distinct().collect()]
-    summary["failed"] = sorted(failed)
-    good = raw.where(~F.col("partition_key").isin(failed)) if failed else raw
-    typed = clean_staging(good, strict=False).select(
-        *EVENT_COLUMNS, "partition_key",
-        F.concat(F.substring("partition_key", 1, 7), F.lit("-"),
-                 F.substring("partition_key", 9, 2)).alias("dt"),
-        F.substring("partition_key", 12, 2).alias("hr"))
-
-    target = wh.table_path(dataset)
-    written = []
+    # The increment is scanned for bad lines, the table write and the orders
+    # merge: keep it for the duration of this load (memory, spilling to disk).
+    rows = read_landed(spark, [r.file_path for r in pending_rows]).persist(StorageLevel.MEMORY_AND_DISK)
+    load_id = uuid.uuid4().hex[:16]
     try:
-        (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITION_COLS).parquet(target))
-        written = sorted({r.partition_key for r in pending_rows} - set(failed))
+        # one row per hour of the run
+        failed = sorted(r.partition_key for r in rows.where("bad_line").select("partition_key").distinct().collect())
+        summary["failed"] = failed
+        done = sorted({r.partition_key for r in pending_rows} - set(failed))
+        if not done:
+            return summary
+        hours = spark.createDataFrame([(k,) for k in failed], "partition_key string")
+        good = rows.join(hours, "partition_key", "left_anti") if failed else rows
+        typed = good.select(
+            *EVENT_COLUMNS, "partition_key",
+            F.concat(F.substring("partition_key", 1, 7), F.lit("-"),
+                     F.substring("partition_key", 9, 2)).alias("dt"),
+            F.substring("partition_key", 12, 2).alias("hr"))
+        keyed = F.col("order_id").isNotNull()
+        for part, where in ((dataset, keyed), ("quarantine", ~keyed)):
+            typed.where(where).write.partitionBy(*PARTITION_COLS).parquet(f"{wh.table_path(part)}/load_id={load_id}")
         if update_orders if update_orders is not None else dataset == "valid":
-            wh.orders.commit(merge_orders(wh.orders.current(), typed.drop("partition_key", "dt", "hr"),
-                                          now))
+            wh.orders.upsert(typed.drop("partition_key", *PARTITION_COLS), now)
+
+        # Commit point: tracker rows for the loaded files, in one file.
+        loaded = pending.join(hours, "partition_key", "left_anti") if failed else pending
+        (loaded.select("dataset", "file_path", "length", "mtime", "partition_key", F.lit(load_id).alias("load_id"),
+                       F.lit("SUCCESS").alias("status"), F.current_timestamp().alias("loaded_at"))
+         .coalesce(1).write.mode("append").parquet(wh.tracker_path))
+        summary |= {"partitions": len(done), "load_id": load_id}
+        if promote_to:
+            skip = set(failed)
+            promote(spark, [r.file_path for r in pending_rows if r.partition_key not in skip], landing_root, promote_to)
     except Exception:
-        for key in written:
-            rollback_partition(spark, target, key)
+        for part in (dataset, "quarantine"):
+            if load_id not in {r.load_id for r in wh.tracker().select("load_id").distinct().collect()}:
+                delete_path(spark, f"{wh.table_path(part)}/load_id={load_id}")
         raise
     finally:
-        raw.unpersist()
-
-    # Commit point: tracker rows for the loaded files.
-    loaded_files = pfiles.where(~F.col("partition_key").isin(failed)) if failed else pfiles
-    (loaded_files.select("dataset", "file_path", "length", "mtime", "partition_key",
-                         F.lit("SUCCESS").alias("status"),
-                         F.current_timestamp().alias("loaded_at"))
-     .write.mode("append").parquet(wh.tracker_path))
-    summary["partitions"] = len(written)
-
-    if promote_to:
-        promote(spark, loaded_files, landing_root, promote_to)
+        rows.unpersist()
+        pending.unpersist()
     return summary
 
 
-def rollback_partition(spark: SparkSession, table_root: str, partition_key: str) -> bool:
-    """Drop one hour partition (``yyyy-MM/dd/HH``) from an event table."""
-    dt = partition_key[:7] + "-" + partition_key[8:10]
-    return delete_path(spark, f"{table_root.rstrip('/')}/dt={dt}/hr={partition_key[11:13]}")
+def undo_load(spark: SparkSession, wh: Warehouse, load_id: str) -> None:
+    """Take back one load's event rows: recorded first, then its folders go.
+    Rows of other loads, in the same hours too, stay. Its files are pending
+    again wherever they are found. ``orders`` keeps what it learnt."""
+    gone = wh.tracker().where(F.col("load_id") == load_id).withColumn("status", F.lit("UNDONE"))
+    gone.coalesce(1).write.mode("append").parquet(wh.tracker_path)
+    for dataset in wh.tables:
+        delete_path(spark, f"{wh.table_path(dataset)}/load_id={load_id}")
 
 
-def promote(spark: SparkSession, files: DataFrame, landing_root: str, loaded_root: str) -> int:
+def promote(spark: SparkSession, paths: list[str], landing_root: str, loaded_root: str) -> int:
     """Move loaded files from the landing root to the loaded root, keeping
-    their relative paths (metadata operations, one per file)."""
+    their relative paths (metadata operations)."""
     src_root = landing_root.rstrip("/")
-    moved = 0
-    for r in files.select("file_path").collect():
-        p = r.file_path
+    moves = []
+    for p in paths:
         if src_root not in p:
             raise ValueError(f"{p} is not below {landing_root}")
-        rel = p[p.find(src_root) + len(src_root):]
-        if move_file(spark, p, loaded_root.rstrip("/") + rel):
-            moved += 1
-    return moved
+        moves.append((p, loaded_root.rstrip("/") + p[p.find(src_root) + len(src_root):]))
+    return move_files(spark, moves)

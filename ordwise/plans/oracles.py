@@ -9,8 +9,8 @@ chunked scans, ``max_by`` and literal maps used on the Spark side. Tables
 from __future__ import annotations
 
 from ..functions.lifecycle import STATE_RANKS, edges_values_sql, rank_case_sql, state_case_sql
-from ..sources.testdata import (CLICK_TYPES, DUP_DELAY_MIN, DUP_EVERY, ERROR_TYPES,
-                                EVENT_TIME_SHIFT_MUL, UNKNOWN_EVERY)
+from ..sources.testdata import (BAD_PAYLOAD_EVERY, CLICK_TYPES, DUP_DELAY_MIN, DUP_EVERY, ERROR_TYPES,
+                                EVENT_TIME_SHIFT_MUL, NO_ID_EVERY, SLICES, TRUNCATED_EVERY, UNKNOWN_EVERY)
 
 TTL_MICROS = 600_000_000
 
@@ -30,7 +30,7 @@ a_src AS (
          CAST(json_extract(props, '$.k') AS INTEGER) AS k
   FROM events
 ),
-a_flat AS (
+a_good AS (
   SELECT CAST(n AS VARCHAR) AS event_id,
          'O' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS order_id,
          {_click_type_case()} AS event_type,
@@ -44,12 +44,29 @@ a_flat AS (
          n
   FROM a_src
 ),
+a_fault AS (
+  SELECT *, n % {TRUNCATED_EVERY} = 0 AS cut, n % {TRUNCATED_EVERY} <> 0 AND n % {BAD_PAYLOAD_EVERY} = 0 AS word,
+         n % {TRUNCATED_EVERY} <> 0 AND n % {BAD_PAYLOAD_EVERY} <> 0 AND n % {NO_ID_EVERY} = 0 AS noid
+  FROM a_good
+),
+a_flat AS (
+  SELECT CASE WHEN NOT cut AND NOT noid THEN event_id END AS event_id,
+         CASE WHEN NOT cut THEN order_id END AS order_id,
+         CASE WHEN NOT cut THEN event_type END AS event_type,
+         CASE WHEN NOT cut THEN "timestamp" END AS "timestamp",
+         CASE WHEN NOT cut THEN customer_id END AS customer_id,
+         CASE WHEN NOT cut THEN product_id END AS product_id,
+         CASE WHEN NOT cut AND NOT word THEN quantity END AS quantity,
+         CASE WHEN NOT cut THEN price END AS price,
+         arrival_ts, arrival_seq, cut OR word OR noid AS malformed, n
+  FROM a_fault
+),
 a_wire AS (
   SELECT * EXCLUDE (n) FROM a_flat
   UNION ALL
   SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price,
          arrival_ts + to_minutes(CAST({DUP_DELAY_MIN} + n % 40 AS BIGINT)) AS arrival_ts,
-         arrival_seq + 1 AS arrival_seq
+         arrival_seq + 1 AS arrival_seq, malformed
   FROM a_flat WHERE n % {DUP_EVERY} = 0
 ),
 order_events AS (
@@ -59,12 +76,13 @@ order_events AS (
 
 def routed_ctes(mode: str = "drop") -> str:
     """CTEs ``flagged`` and ``routed`` on top of ``order_events``."""
-    counted = "rk IS NOT NULL AND NOT is_dup" if mode == "drop" else "rk IS NOT NULL"
+    counted = "NOT malformed AND rk IS NOT NULL" + (" AND NOT is_dup" if mode == "drop" else "")
     dup_route = "WHEN is_dup THEN 'duplicate'" if mode == "drop" else ""
     return f"""{adapter_a_ctes()},
 seen AS (
-  SELECT *, lag(arrival_ts) OVER (PARTITION BY order_id, event_id
-                                  ORDER BY arrival_ts, arrival_seq) AS prev_seen_ts
+  SELECT *, CASE WHEN order_id IS NOT NULL AND event_id IS NOT NULL THEN
+              lag(arrival_ts) OVER (PARTITION BY order_id, event_id
+                                    ORDER BY arrival_ts, arrival_seq) END AS prev_seen_ts
   FROM order_events
 ),
 flagged AS (
@@ -73,13 +91,13 @@ flagged AS (
   FROM seen
 ),
 ranked AS (
-  SELECT *, max(CASE WHEN {counted} THEN rk END) OVER (
+  SELECT *, CASE WHEN order_id IS NOT NULL THEN max(CASE WHEN {counted} THEN rk END) OVER (
               PARTITION BY order_id ORDER BY arrival_ts, arrival_seq
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_rank
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS prev_rank
   FROM flagged
 ),
 routed AS (
-  SELECT *, CASE WHEN rk IS NULL THEN 'quarantine' {dup_route}
+  SELECT *, CASE WHEN malformed OR rk IS NULL THEN 'quarantine' {dup_route}
                  WHEN prev_rank IS NULL OR rk >= prev_rank THEN 'valid'
                  ELSE 'invalid' END AS route
   FROM ranked
@@ -162,7 +180,7 @@ SLICE1_TYPES = "('ORDER_PENDING', 'ORDER_PAID', 'ORDER_SHIPPED')"
 
 def ttl_fold_sql(mode: str = "drop", ttl_micros: int = TTL_MICROS) -> str:
     """Expiring-state validation as a recursive CTE, one step per event."""
-    counted = "rk IS NOT NULL AND NOT is_dup" if mode == "drop" else "rk IS NOT NULL"
+    counted = "NOT malformed AND rk IS NOT NULL" + (" AND NOT is_dup" if mode == "drop" else "")
     dup_route = "WHEN r.is_dup THEN 'duplicate'" if mode == "drop" else ""
     ok = f"(c.us - f.st_us >= {ttl_micros} OR c.rk >= f.st_rank)"
     return f"""WITH RECURSIVE {routed_ctes(mode)},
@@ -180,7 +198,7 @@ fold AS (
   FROM fold f JOIN c ON c.order_id = f.order_id AND c.i = f.i + 1
 )
 SELECT r.event_id, r.order_id, r.event_type, r.arrival_seq, r.is_dup,
-       CASE WHEN r.rk IS NULL THEN 'quarantine' {dup_route}
+       CASE WHEN r.malformed OR r.rk IS NULL THEN 'quarantine' {dup_route}
             WHEN f.ok THEN 'valid' ELSE 'invalid' END AS route
 FROM flagged r LEFT JOIN fold f ON r.order_id = f.order_id AND r.arrival_seq = f.arrival_seq"""
 
@@ -196,7 +214,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price,
        arrival_ts, arrival_seq, rk FROM order_events"""
     q["quarantine_unknown"] = f"""WITH {R}
-SELECT event_id, order_id, event_type, arrival_seq, 'unknown_type' AS quarantine_reason
+SELECT event_id, order_id, event_type, arrival_seq, CASE WHEN malformed THEN 'malformed' ELSE 'unknown_type' END AS quarantine_reason
 FROM routed WHERE route = 'quarantine'"""
     q["duplicate_flags"] = f"""WITH {R}
 SELECT event_id, order_id, arrival_ts, arrival_seq, prev_seen_ts, is_dup FROM flagged"""
@@ -285,34 +303,58 @@ SELECT t.order_id, event_time_status, arrival_status FROM t JOIN a USING (order_
 WHERE event_time_status <> arrival_status"""
     hours = ", ".join(
         f"count(*) FILTER (WHERE route = '{r}') AS {r}" for r in ["valid", "invalid", "duplicate", "quarantine"])
-    q["reconcile_routes"] = f"""WITH {R}
-SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS raw, {hours},
-       true AS balanced
-FROM routed GROUP BY 1"""
+    q["reconcile_routes"] = f"""WITH {R},
+h AS (SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS raw, {hours} FROM routed GROUP BY 1)
+SELECT *, raw = valid + invalid + duplicate + quarantine AS balanced FROM h"""
+    q["reconcile_stored"] = f"""WITH {R},
+r AS (SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS raw FROM order_events GROUP BY 1),
+h AS (SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, {hours} FROM routed GROUP BY 1)
+SELECT *, raw = valid + invalid + duplicate + quarantine AS balanced FROM r FULL JOIN h USING (partition_key)"""
     q["csv_cleanup"] = f"""WITH {R}
-SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price,
-       arrival_seq
+SELECT CASE WHEN arrival_seq % 19 = 0 THEN chr(65533) || event_id ELSE event_id END AS event_id, order_id, event_type,
+       CASE WHEN arrival_seq % 13 = 0 THEN NULL ELSE "timestamp" END AS "timestamp",
+       CASE WHEN arrival_seq % 7 = 0 THEN NULL ELSE customer_id END AS customer_id, product_id,
+       CASE WHEN arrival_seq % 11 = 0 THEN NULL ELSE quantity END AS quantity, price, arrival_seq
 FROM routed WHERE route = 'valid'"""
     loaded = f"""WITH {R},
 ld AS (SELECT route AS dataset, strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, *
        FROM routed WHERE route IN ('valid', 'invalid'))"""
     q["load_pending_partitions"] = f"""{loaded}
 SELECT DISTINCT dataset, partition_key, true AS ready FROM ld WHERE day(arrival_ts) > 15"""
-    q["load_is_idempotent"] = f"""{loaded}
-SELECT dataset, partition_key, count(*) AS n FROM ld GROUP BY 1, 2"""
+    event_cols = 'event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price, partition_key'
+    q["load_is_idempotent"] = f"{loaded}\nSELECT dataset, {event_cols} FROM ld"
+    q["load_late_file_after_promote"] = f"{loaded}\nSELECT {event_cols} FROM ld WHERE dataset = 'valid'"
+    q["load_retry_after_failed_snapshot"] = q["load_late_file_after_promote"]
     q["orders_from_loads"] = f"""WITH {R},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) <= 15)", 's1')},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) > 15)", 's2')}
 {merge_sql('s1', 's2')}"""
-    q["stream_validate_replay"] = q["validate_drop_dups"]
+    for name in ("stream_validate_replay", "validate_incremental", "replay_from_raw"):
+        q[name] = q["validate_drop_dups"]
+    q["validate_incremental_ttl"] = q["validate_ttl"]
     q["stream_duplicate_counts"] = q["dup_counts_2s"]
     q["stream_counts"] = q["counts_tumbling_30s"]
-    q["stream_event_time_counts"] = f"""WITH {A}
-SELECT time_bucket(INTERVAL 30 SECOND, "timestamp") AS window_start,
-       time_bucket(INTERVAL 30 SECOND, "timestamp") + INTERVAL 30 SECOND AS window_end,
-       event_type, count(*) AS n
-FROM order_events GROUP BY 1, 2, 3"""
+    q["dup_running_totals"] = f"""WITH {R},
+c AS (SELECT time_bucket(INTERVAL 2 SECOND, arrival_ts) AS window_start,
+             time_bucket(INTERVAL 2 SECOND, arrival_ts) + INTERVAL 2 SECOND AS window_end, count(*) AS n
+      FROM flagged WHERE is_dup GROUP BY 1, 2)
+SELECT window_start, window_end, n, CAST(sum(n) OVER (ORDER BY window_start) AS BIGINT) AS running_n FROM c"""
+    sliced = f"""sl AS (
+  SELECT *, CAST(floor((epoch_us(arrival_ts) - lo) * {SLICES} / CAST(hi - lo + 1 AS DOUBLE)) AS INTEGER) AS slice
+  FROM routed, (SELECT min(epoch_us(arrival_ts)) AS lo, max(epoch_us(arrival_ts)) AS hi FROM order_events))"""
+    # a slice's rows are late when their window ended 5 s or more before the
+    # newest event time of the slices before
+    q["stream_event_time_counts"] = f"""WITH {R}, {sliced},
+w AS (SELECT *, time_bucket(INTERVAL 30 SECOND, "timestamp") AS window_start FROM sl WHERE "timestamp" IS NOT NULL),
+marks AS (SELECT s, (SELECT max(epoch_ms("timestamp")) FROM w WHERE slice < s) - 5000 AS mark FROM range({SLICES}) t(s))
+SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, event_type, count(*) AS n
+FROM w JOIN marks ON slice = s
+WHERE mark IS NULL OR epoch_ms(window_start + INTERVAL 30 SECOND) > mark GROUP BY 1, 2, 3"""
+    q["stream_orders"] = f"""WITH {R}, {sliced},
+""" + ",\n".join(latest_sql(f"(SELECT * FROM sl WHERE route = 'valid' AND slice = {i})", f"s{i}").strip() for i in range(3)) + f""",
+m AS ({merge_sql('s0', 's1')})
+{merge_sql('m', 's2')}"""
     q["stream_raw_archive"] = f"""WITH {A}
-SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS n
-FROM order_events GROUP BY 1"""
+SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price, malformed, arrival_ts, arrival_seq,
+       strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key FROM order_events"""
     return q

@@ -75,8 +75,8 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
+    leave it unset (tests): then a private folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -85,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="ordwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

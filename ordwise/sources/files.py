@@ -1,4 +1,4 @@
-"""File listings and staged CSV reads.
+"""File listings and metadata operations.
 
 Listing goes through the Hadoop ``FileSystem`` API of the session, so the
 same code works on local disk, HDFS and object stores. The listing carries
@@ -8,12 +8,11 @@ Spark tasks.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.codec import RAW_CSV_SCHEMA, clean_staging
-
 LISTING_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("length", T.LongType()),
@@ -51,11 +50,36 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
-def move_file(spark: SparkSession, src: str, dst: str) -> bool:
+def move_files(spark: SparkSession, moves: list[tuple[str, str]], threads: int = 16) -> int:
+    """Rename files (metadata operations), several at a time."""
+    def one(move: tuple[str, str]) -> bool:
+        s, fs = _fs(spark, move[0])
+        d, _ = _fs(spark, move[1])
+        fs.mkdirs(d.getParent())
+        return bool(fs.rename(s, d))
+    with ThreadPoolExecutor(threads) as pool:
+        return sum(pool.map(one, moves))
+
+
+def rename_new(spark: SparkSession, src: str, dst: str) -> bool:
+    """Publish ``src`` as ``dst``; False if ``dst`` exists."""
     s, fs = _fs(spark, src)
     d, _ = _fs(spark, dst)
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
+    return not fs.exists(d) and bool(fs.rename(s, d))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    n = fs.getFileStatus(p).getLen()
+    data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(fs.open(p), n)
+    return bytes(data).decode()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -63,23 +87,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_dirs(spark: SparkSession, root: str) -> list[str]:
+def list_names(spark: SparkSession, root: str, dirs: bool = False) -> list[str]:
+    """Names of the files (or folders) directly in ``root``."""
     p, fs = _fs(spark, root)
     if not fs.exists(p):
         return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-
-
-def read_staged_csv(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
-    """Bulk read of staged CSV files (no header, comma) in one scan.
-
-    Text fields are trimmed, blank fields become null, invalid UTF-8 bytes
-    become U+FFFD, timestamps parse leniently. ``_file`` keeps the source
-    path for partition keys and bookkeeping.
-    """
-    raw = (spark.read.schema(RAW_CSV_SCHEMA)
-           .option("header", "false").option("sep", ",")
-           .option("mode", "FAILFAST").option("encoding", "UTF-8")
-           .csv(paths)
-           .withColumn("_file", F.col("_metadata.file_path")))
-    return clean_staging(raw, strict=strict)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() == dirs]
+
+
+def list_dirs(spark: SparkSession, root: str) -> list[str]:
+    return list_names(spark, root, dirs=True)

@@ -60,11 +60,6 @@ def kafka_to_wire(df: DataFrame) -> DataFrame:
     )
 
 
-def read_event_files(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of the same wire files (replay)."""
-    return spark.read.schema(WIRE_FILE_SCHEMA).parquet(path)
-
-
 def write_wire_files(wire: DataFrame, path: str, mode: str = "append") -> None:
     """Land wire records as parquet files, range-partitioned on arrival so
     each file covers a contiguous arrival range."""

@@ -19,21 +19,17 @@ from ..functions.codec import decode_wire, encode_wire, with_rank
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A scan with fewer splits than the cluster has cores
-    (a small file with one row group) is spread round-robin so the
-    scan-side stage is not a single task; large inputs already have enough
-    splits and are left as they are (no extra shuffle at scale)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- Fixed adapter parameters (shared with the SQL oracles) -----------------
 UNKNOWN_EVERY = 97          # every 97th event gets an unknown type
 DUP_EVERY = 20              # every 20th event is sent a second time
 DUP_DELAY_MIN = 5           # ... 5 + (n % 40) minutes later
+TRUNCATED_EVERY = 101       # every 101st event's JSON text is cut in half
+BAD_PAYLOAD_EVERY = 103     # every 103rd event's quantity is a word
+NO_ID_EVERY = 107           # every 107th event has no event id
 EVENT_TIME_SHIFT_MUL = 7919  # event time = arrival - (n * 7919 % 3600) s
 CLICK_TYPES = {
     "signup": "ORDER_PENDING",
@@ -89,11 +85,28 @@ def clickstream_wire(events: DataFrame) -> DataFrame:
             F.timestamp_add("MINUTE", F.lit(DUP_DELAY_MIN) + F.col("_n") % 40,
                             F.col("arrival_ts")).alias("ts"),
             (F.col("arrival_seq") + 1).alias("seq"))))
-    return (flat.select(encode_wire(flat).alias("value"), F.explode(arrivals).alias("_a"))
+    n, text = F.col("_n"), encode_wire(flat)
+    value = (F.when(n % TRUNCATED_EVERY == 0, F.substring(text, F.lit(1), (F.length(text) / 2).cast("int")))
+             .when(n % BAD_PAYLOAD_EVERY == 0, F.regexp_replace(text, r'"quantity":\d+', '"quantity":"many"'))
+             .when(n % NO_ID_EVERY == 0, F.regexp_replace(text, r'"event_id":"[^"]*",', ""))
+             .otherwise(text))
+    return (flat.select(value.alias("value"), F.explode(arrivals).alias("_a"))
             .where(F.col("_a").isNotNull())
             .select("value", F.col("_a.ts").alias("arrival_ts"), F.col("_a.seq").alias("arrival_seq")))
 
 
+SLICES = 3
+
+
+def arrival_slice(wire: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Add ``slice`` (0, 1, ...): equal parts of the time from the first to the
+    last arrival, in arrival order whatever the span."""
+    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', arrival_ts)")
+    span = wire.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    lo, width = span["lo"] or 0, (span["hi"] or 0) - (span["lo"] or 0) + 1
+    return wire.withColumn("slice", F.floor((us - F.lit(lo)) * slices / F.lit(width)).cast("int"))
+
+
 def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded, ranked order events of adapter A (the engine's input frame)."""
     wire = clickstream_wire(table(spark, sf_dir, "events"))

@@ -1,156 +1,33 @@
-"""Streaming jobs: validation fan-out, raw archive, windowed counters.
+"""Streaming jobs beside validation: raw archive and windowed counts.
 
-Batch and streaming share the decode and metric transforms; only the
-stateful step differs (``transformWithStateInPandas`` instead of windows).
-
-Exactly-once: every query has its own checkpoint. File sinks commit through
-their manifest. ``foreachBatch`` alone is at-least-once, so the fan-out
-writes each micro-batch into its own ``batch_id=N`` folder in overwrite
-mode: a retried batch replaces exactly its own output.
+Batch and streaming share the decode and metric transforms. Exactly-once:
+every query has its own checkpoint; file sinks commit through their manifest,
+and ``foreachBatch`` sinks write each micro-batch into its own ``batch_id=N``
+folder in overwrite mode, so a retried batch replaces exactly its own output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.codec import EVENT_COLUMNS, ISO_FORMAT, decode_wire, with_rank
+from ..functions.codec import decode_wire, with_rank
 from ..operators import metrics
-from ..operators.validate import ROUTES
 from ..plans.archive import PARTITION_COLS, with_partition_columns
-from ..session import ship_package
-from ..functions.lifecycle import rank_of
-from .processor import OUTPUT_SCHEMA, PROCESSOR_INPUT, PROCESSOR_SCHEMA, LifecycleProcessor
-
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keyed processors with value + map state need the RocksDB state store
-    (several column families). Applies to queries started afterwards; a
-    query keeps the provider recorded in its checkpoint."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
 def decode_stream(wire: DataFrame) -> DataFrame:
     return with_rank(decode_wire(wire))
 
 
-LIGHT_SCHEMA = "event_id string, order_id string, event_type string"
-
-
-def validation_stream(wire: DataFrame, on_duplicate: str = "drop",
-                      dedup_ttl_seconds: int | None = 600,
-                      state_ttl_seconds: int | None = None,
-                      prior: DataFrame | None = None, **processor_opts) -> DataFrame:
-    """Routed events from wire records: keyed state per order. Rows without
-    an order id cannot be keyed; they are quarantined without touching state.
-
-    ``prior`` (``order_id, prior_rank[, prior_arrival_ts]``, e.g.
-    ``validate.prior_state`` of earlier loads) seeds the state in the first
-    micro-batch, so the stream continues the long-term history."""
-    spark = wire.sparkSession
-    ship_package(spark)
-    use_rocksdb_state(spark)
-    j = F.from_json("value", LIGHT_SCHEMA, {"mode": "PERMISSIVE"})
-    light = wire.select("value", "arrival_ts", "arrival_seq", j.alias("_j"))
-    light = light.select(
-        "value", "arrival_ts", "arrival_seq",
-        F.col("_j.event_id").alias("event_id"), F.col("_j.order_id").alias("order_id"),
-        rank_of(F.col("_j.event_type")).alias("rk"))
-    keyed = light.where(F.col("order_id").isNotNull()).select(
-        *[c for c in PROCESSOR_INPUT if c != "malformed"],
-        F.col("event_id").isNull().alias("malformed"))
-    init = prior.groupBy("order_id") if prior is not None else None
-    routed = keyed.groupBy("order_id").transformWithStateInPandas(
-        statefulProcessor=LifecycleProcessor(on_duplicate, dedup_ttl_seconds, state_ttl_seconds,
-                                             **processor_opts),
-        outputStructType=PROCESSOR_SCHEMA, outputMode="Append", timeMode="None",
-        initialState=init)
-    orphans = light.where(F.col("order_id").isNull()).select(
-        "value", "arrival_ts", "arrival_seq",
-        F.lit(False).alias("is_dup"), F.lit(None).cast("int").alias("prev_rank"),
-        F.lit("malformed").alias("quarantine_reason"), F.lit("quarantine").alias("route"))
-    both = routed.select(*orphans.columns).unionByName(orphans)
-    # full decode after the stateful step (JVM-side)
-    full = with_rank(decode_wire(both))
-    return full.select(*[f.name for f in OUTPUT_SCHEMA.fields])
-
-
-def fanout_batch(out_root: str, fmt: str = "parquet",
-                 dup_window_seconds: int = metrics.DUP_WINDOW_SECONDS
-                 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: one write per route into
-    ``<out_root>/<route>-events/batch_id=N/dt=../hr=..`` plus per-batch
-    duplicate counts; the micro-batch is cached once for all writes."""
-    root = out_root.rstrip("/")
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        # Compute the micro-batch once (the stateful step must not run per
-        # write), then range-partition on arrival so each task covers a
-        # contiguous time range: few files per hour folder, and a busy hour
-        # is still spread over several tasks.
-        cached = batch.persist()
-        batch = (with_partition_columns(cached)
-                 .repartitionByRange("arrival_ts", "arrival_seq").persist())
-        try:
-            for r in ROUTES:
-                part = batch.where(F.col("route") == r)
-                dest = f"{root}/{r}-events/batch_id={batch_id}"
-                if fmt == "csv":
-                    (part.select(*EVENT_COLUMNS, *PARTITION_COLS).write.mode("overwrite")
-                     .partitionBy(*PARTITION_COLS).option("header", "false")
-                     .option("timestampNTZFormat", ISO_FORMAT).csv(dest))
-                else:
-                    part.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(dest)
-            (metrics.duplicate_counts(batch, dup_window_seconds)
-             .write.mode("overwrite").parquet(f"{root}/_duplicate_counts/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
-            cached.unpersist()
-    return run
-
-
-def start_validation(wire: DataFrame, out_root: str, checkpoint: str, fmt: str = "parquet",
-                     trigger: dict | None = None, **kw) -> StreamingQuery:
-    routed = validation_stream(wire, **kw)
-    return (routed.writeStream.foreachBatch(fanout_batch(out_root, fmt))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 minute"})).start())
-
-
-FANOUT_SCHEMA = (", ".join(f"{f.name} {f.dataType.simpleString()}" for f in OUTPUT_SCHEMA.fields)
-                 + ", batch_id long, dt string, hr string")
-
-
-def read_fanout(spark: SparkSession, out_root: str, routes=tuple(ROUTES)) -> DataFrame:
-    """All committed batches of the given routes (parquet fan-out)."""
-    parts = [spark.read.schema(FANOUT_SCHEMA).parquet(f"{out_root.rstrip('/')}/{r}-events")
-             for r in routes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def read_duplicate_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    """Per-window duplicate counts summed over micro-batches (a window can
-    span batches, so partial counts are added)."""
-    parts = spark.read.parquet(f"{out_root.rstrip('/')}/_duplicate_counts")
-    return parts.groupBy("window_start", "window_end").agg(F.sum("n").alias("n"))
-
-
-def start_raw_archive(wire: DataFrame, root: str, checkpoint: str, fmt: str = "text",
+def start_raw_archive(wire: DataFrame, root: str, checkpoint: str, fmt: str = "parquet",
                       trigger: dict | None = None,
                       max_records_per_file: int | None = None) -> StreamingQuery:
     """Every input line, unmodified, into ``dt=/hr=`` folders (file sink:
-    exactly once through its manifest and the checkpoint)."""
+    exactly once through its manifest and the checkpoint). ``parquet`` keeps
+    the arrival columns, so a replay sees the arrival order; ``text`` keeps the
+    lines only."""
     out = with_partition_columns(wire)
     out = out.select("value", *PARTITION_COLS) if fmt == "text" else out
     w = (out.writeStream.format(fmt).partitionBy(*PARTITION_COLS)
@@ -161,11 +38,9 @@ def start_raw_archive(wire: DataFrame, root: str, checkpoint: str, fmt: str = "t
 
 
 def count_stream(decoded: DataFrame, seconds: int = metrics.COUNT_WINDOW_SECONDS,
-                 ts_col: str = "arrival_ts", watermark: str | None = None) -> DataFrame:
-    """Tumbling counts by event type; ``watermark`` (e.g. ``"5 seconds"``)
-    bounds the state for append/update output."""
-    if not watermark:
-        return metrics.counts_tumbling(decoded, seconds, ts_col)
+                 ts_col: str = "arrival_ts", watermark: str = "0 seconds") -> DataFrame:
+    """Tumbling counts by event type. The watermark closes windows, which
+    bounds the state, and drops rows of closed windows as late."""
     # Watermarks need TIMESTAMP; event columns are TIMESTAMP_NTZ. Count on a
     # shadow column and give the window bounds back as NTZ.
     src = (decoded.withColumn("_wm_ts", F.col(ts_col).cast("timestamp"))
@@ -176,39 +51,18 @@ def count_stream(decoded: DataFrame, seconds: int = metrics.COUNT_WINDOW_SECONDS
 
 
 def start_counts(counts: DataFrame, out_path: str, checkpoint: str,
-                 output_mode: str = "complete", trigger: dict | None = None) -> StreamingQuery:
-    """Counts sink. ``complete``: each batch rewrites the whole table;
-    ``append``/``update``: each batch writes its rows under ``batch_id=N``."""
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Append the windows each micro-batch closes, under ``batch_id=N``."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if output_mode == "complete":
-            batch.write.mode("overwrite").parquet(out_path)
-        else:
-            batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-    return (counts.writeStream.outputMode(output_mode).foreachBatch(sink)
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{out_path}/batch_id={batch_id}"))
+    return (counts.writeStream.outputMode("append").foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
-def start_orders_upsert(routed: DataFrame, orders_root: str, checkpoint: str,
-                        trigger: dict | None = None) -> StreamingQuery:
-    """Streaming ``orders``: each micro-batch's valid events are upserted
-    into a new snapshot. Re-running a batch merges the same increment again,
-    which changes nothing (the upsert is idempotent)."""
-    from ..operators.upsert import merge_orders
-    from ..plans.loader import OrdersStore
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        store = OrdersStore(batch.sparkSession, orders_root)
-        store.commit(merge_orders(store.current(), batch.where(F.col("route") == "valid")))
-    return (routed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 minute"})).start())
-
-
-def run_available(query: StreamingQuery, timeout_s: int = 900) -> None:
+def run_available(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming query did not finish")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

@@ -1,12 +1,10 @@
 """Brute-force, row-at-a-time model of dedup + validation semantics, used
 only by tests to check the Spark plans (closed-form windows, chunked scans,
-segmented fold, stateful processor)."""
+segmented fold, streamed batches)."""
 
 from __future__ import annotations
 
-RANKS = {"ORDER_PENDING": 1, "ORDER_PAID": 2, "ORDER_SHIPPED": 3, "ORDER_DELIVERED": 4,
-         "ORDER_CANCELLED": 5, "ORDER_PAID_CANCELLED": 6, "ORDER_RETURNED": 7,
-         "ORDER_REFUNDED": 8}
+from ordwise.functions.lifecycle import STATE_RANKS as RANKS
 
 
 def route_all(events, mode="drop", dedup_ttl_us=600_000_000, state_ttl_us=None):

@@ -43,7 +43,7 @@ def test_running_max_matches_model(spark, seed, mode):
     ev = make_events(spark, rows)
     expect = model(rows, mode=mode)
     assert spark_routes(process_events(ev, mode, plan=SkewPlan())) == expect
-    split = detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_seconds=420)
+    split = detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_rows=9)
     assert split.split
     assert spark_routes(process_events(ev, mode, plan=split)) == expect
 
@@ -55,7 +55,7 @@ def test_ttl_fold_matches_model(spark, seed, mode):
     ev = make_events(spark, rows)
     expect = model(rows, mode=mode, state_ttl_us=600_000_000)
     assert spark_routes(process_events(ev, mode, state_ttl_seconds=600, plan=SkewPlan())) == expect
-    split = detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_seconds=420)
+    split = detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_rows=9)
     assert spark_routes(process_events(ev, mode, state_ttl_seconds=600, plan=split)) == expect
 
 
@@ -83,8 +83,8 @@ def test_one_hot_order_is_detected_split_and_exact(spark):
         order = "hot" if seq % 3 == 0 else f"o{rnd.randrange(40)}"
         rows.append((seq, t, order, f"e{rnd.randrange(200)}", rnd.choice(TYPES)))
     ev = make_events(spark, rows)
-    plan = detect_hot_keys(ev, hot_rows=150, fraction=1.0, chunk_seconds=600)
-    assert plan.hot == ["hot"]
+    plan = detect_hot_keys(ev, hot_rows=150, fraction=1.0, chunk_rows=30)
+    assert [r.order_id for r in plan.hot.collect()] == ["hot"]
     chunks = plan.prepare(ev).where("order_id = 'hot'").select("_ck").distinct().count()
     assert chunks > 5
     for mode in ("drop", "keep"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import make_events
+from pyspark.sql import functions as F
 
 from ordwise.operators.scan import SkewPlan, detect_hot_keys
 from ordwise.operators.validate import process_events
@@ -43,7 +44,7 @@ def _routes(df):
 PLANS = {
     "single": lambda ev: SkewPlan(),
     # every order "hot": exercises chunking + carry on tiny data
-    "split": lambda ev: detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_seconds=300),
+    "split": lambda ev: detect_hot_keys(ev, hot_rows=1, fraction=1.0, chunk_rows=2),
 }
 
 
@@ -117,3 +118,34 @@ def test_prior_sightings_carry_dedup_across_loads(spark):
                               prior_seen=prior_sightings(first))
         got = {r.arrival_seq: (r.route, r.is_dup) for r in first.unionByName(rest).collect()}
         assert got == full, cut
+
+
+def test_prior_combinations(spark):
+    """Prior state with expiry, with ``strict``, and with several rows an order."""
+    from ordwise.operators.validate import prior_expiring_state, prior_sightings, prior_state
+    ev = make_events(spark, [r for r in ROWS if r[4] != "ORDER_LOST"])
+    for ttl in (None, 600):
+        full = {r.arrival_seq: (r.route, r.is_dup) for r in process_events(ev, "drop", state_ttl_seconds=ttl).collect()}
+        for cut in (3, 6, 9):
+            first = process_events(ev.where(f"arrival_seq <= {cut}"), "drop", state_ttl_seconds=ttl)
+            prior = (prior_state if ttl is None else prior_expiring_state)(first)
+            stale = prior.withColumn("prior_rank", F.lit(0))
+            if ttl is not None:
+                stale = stale.withColumn("prior_arrival_ts", F.col("prior_arrival_ts") - F.expr("interval 1 day"))
+            rest = process_events(ev.where(f"arrival_seq > {cut}"), "drop", state_ttl_seconds=ttl, strict=True,
+                                  prior=prior.unionByName(stale), prior_seen=prior_sightings(first))
+            assert rest.columns == first.columns
+            got = {r.arrival_seq: (r.route, r.is_dup) for r in first.unionByName(rest).collect()}
+            assert got == full, (ttl, cut)
+    with pytest.raises(ValueError, match="prior_arrival_ts"):
+        process_events(ev, state_ttl_seconds=600, prior=prior_state(process_events(ev)))
+
+
+def test_rows_without_ids_are_quarantined_and_never_duplicates(spark):
+    rows = [(1, 0, None, None, "ORDER_PAID"), (2, 0, None, None, "ORDER_PAID"), (3, 1, "X", None, "ORDER_PAID"),
+            (4, 1, "X", None, "ORDER_PAID"), (5, 2, "X", "a", "ORDER_PENDING")]
+    ev = make_events(spark, rows)
+    for plan in (None, *(make(ev) for make in PLANS.values())):
+        for ttl in (None, 600):
+            got = {r.arrival_seq: (r.route, r.is_dup) for r in process_events(ev, state_ttl_seconds=ttl, plan=plan).collect()}
+            assert got == {**{i: ("quarantine", False) for i in (1, 2, 3, 4)}, 5: ("valid", False)}
