@@ -22,7 +22,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column_names, prepare, words
@@ -145,6 +145,21 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def _rank(value: Column, cuts: list[int], fan: int = 64) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``, by a search tree
+    of arrays: ``fan`` comparisons a level."""
+    levels = [cuts]
+    while len(levels[0]) > fan:
+        levels.insert(0, levels[0][::fan])
+    at = F.lit(0)
+    for k, level in enumerate(levels):
+        # the last entry at most ``value`` one level up begins this level's stretch
+        start = F.greatest(at - 1, F.lit(0)) * fan if k else F.lit(0)
+        part = F.slice(F.array(*map(F.lit, level)).cast("array<long>"), start + 1, F.lit(fan))
+        at = start + F.size(F.filter(part, lambda c: c <= value))
+    return at.cast("int")
+
+
 _FIELDS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
            "edited_fingerprint string, near_edited double, near_next double")
 
@@ -176,25 +191,18 @@ def with_edits(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
     cuts = sorted(set(ids.agg(F.percentile_approx("doc_id", steps, 10_000)).first()[0] or []))
 
     # range r holds cuts[r-1] <= doc_id < cuts[r]; null ids go below all others
-    cut_col = F.array(*map(F.lit, cuts)).cast("array<long>")
-    at = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(cut_col, lambda c: c <= F.col("doc_id")))).cast("int") if cuts else \
-        F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0))
+    at = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_rank(F.col("doc_id"), cuts))
     # one row per range: a bounded table whatever the input
     heads = sorted((r["r"], r["head"]) for r in ids.select(at.alias("r"), "doc_id").groupBy("r")
                    .agg(F.max("doc_id").alias("head")).collect())
     if not heads:
         return spark.createDataFrame([], _FIELDS)
     # the head of a range also closes the next higher one; the topmost closes the lowest
-    closes = {lower: heads[(i + 1) % len(heads)][0] for i, (lower, _) in enumerate(heads)}
-    head_id = dict(heads)
-    copies = F.lit(None).cast("int")
-    for lower, upper in closes.items():
-        is_head = F.col("doc_id").isNull() if head_id[lower] is None else F.col("doc_id") == F.lit(head_id[lower])
-        copies = F.when(is_head, F.lit(upper)).otherwise(copies)
+    closes = spark.createDataFrame([(head, heads[(i + 1) % len(heads)][0]) for i, (_, head) in enumerate(heads)],
+                                   "head long, r int")
     dealt = rows.withColumn("r", at)
-    spare = (dealt.where(F.col("doc_id").isNull() | F.col("doc_id").isin([h for _, h in heads if h is not None]))
-             .withColumn("r", copies).withColumn("tail", F.lit(1)))
+    spare = rows.join(F.broadcast(closes), F.col("doc_id").eqNullSafe(F.col("head"))).select(
+        "doc_id", "text", "r", F.lit(1).alias("tail"))
     ranged = (dealt.withColumn("tail", F.lit(0)).unionByName(spare)
               .repartition(parts, "r")
               .sortWithinPartitions("r", "tail", F.col("doc_id").desc_nulls_last(), "text"))

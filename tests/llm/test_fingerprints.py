@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 from edge_rows import LONG, docs, empty
+from pyspark.sql import functions as F
 
 from ordwise.llm import fingerprints as fp
 from ordwise.llm import queries
@@ -65,3 +66,13 @@ def test_packing_round_trip_and_short_sets():
         assert (fp.unpack(fp.pack(sig)) == sig).all() and fp.likeness(sig, make(text.upper())) == 1.0
     assert make("") is None and make(" \n") is None and fp.pack(None) == "" and fp.unpack("") is None
     assert fp.likeness(None, None) == 1.0 and fp.likeness(None, make("a")) == 0.0
+
+
+def test_rank_among_cuts_and_many_ranges(spark, monkeypatch):
+    cuts = sorted({(i * 37) % 10007 for i in range(5000)})
+    got = spark.range(0, 10100, 7).select("id", fp._rank(F.col("id"), cuts, fan=8).alias("r")).collect()
+    assert all(r.r == sum(c <= r.id for c in cuts) for r in got)
+    assert spark.range(2).select(fp._rank(F.col("id"), []).alias("r")).first().r == 0
+    monkeypatch.setattr(fp, "RANGES_PER_PARTITION", 300)
+    rows = [(i * 3, f"text {i} " * 6, "en", "a") for i in range(1500)]
+    assert sorted(tuple(r) for r in fp.with_edits(docs(spark, rows)).collect()) == sorted(brute([r[:2] for r in rows]))
