@@ -8,7 +8,7 @@ Batch and streaming share the same ``DataFrame -> DataFrame`` transforms:
 * ``operators`` - dedup, validation, routing, upsert, metrics, analytics.
 * ``plans``     - multi-step jobs: date/hour archive, partition loader,
                   the registered query catalog and its SQL oracles.
-* ``streaming`` - stateful processor and ``foreachBatch`` fan-out.
+* ``streaming`` - stateful validation sink, raw archive, windowed counts.
 """
 
 __version__ = "0.1.0"

@@ -44,7 +44,7 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``ordwise`` code available to Python workers (``mapInPandas``
-    folds, stateful processors) wherever the driver runs.
+    folds) wherever the driver runs.
 
     * functions and classes of the package are pickled by value, so a worker
       needs no import of ``ordwise`` (this also covers the driver-side
