@@ -37,7 +37,7 @@ MIN_SHARE, MIN_TEXTS = 0.01, 3
 ODDS = 8.0
 #: A weak entry may be this much (in log probability) likelier to be chance than a strong one.
 WEAKER = 5.0
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
 CACHE_WORDS = 300_000
 
 # Second-person words of the four languages.
@@ -52,7 +52,7 @@ _NON_LETTER = re.compile(r"[\W\d_]+")
 def spelling(token: str) -> tuple[str, bool]:
     """A token's plain spelling, and whether letters were replaced or parted."""
     core = token.casefold().strip(_EDGE)
-    if core.isalpha() or not core:
+    if not core or core.isalpha() and token[0] not in "$@":
         return core, False
     plain = _NON_LETTER.sub("", token.casefold().translate(_LEET).strip(_EDGE))
     return plain, len(plain) >= 3 and not core.isdigit() and any(c.isalpha() for c in core)
