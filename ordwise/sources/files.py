@@ -26,22 +26,30 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, threads: int = 16) -> DataFrame:
     """Every file below ``root`` (recursive), including empty and hidden
     ones, as ``(file_path, length, mtime)``. Folder placeholders are not
-    files and never appear."""
+    files and never appear. Folders are listed level by level, several at a
+    time."""
     p, fs = _fs(spark, root)
-    rows = []
-    # listStatus per folder: no block locations are fetched (listFiles with
-    # located statuses was ~7x slower on the same tree)
-    stack = [p] if fs.exists(p) else []
-    while stack:
-        for st in fs.listStatus(stack.pop()):
+
+    def ls(folder) -> tuple[list, list]:
+        # listStatus per folder: no block locations are fetched (listFiles with
+        # located statuses was ~7x slower on the same tree)
+        dirs, files = [], []
+        for st in fs.listStatus(folder):
             if st.isDirectory():
-                stack.append(st.getPath())
+                dirs.append(st.getPath())
             else:
-                rows.append((st.getPath().toString(), int(st.getLen()),
-                             int(st.getModificationTime())))
+                files.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+        return dirs, files
+
+    rows, level = [], [p] if fs.exists(p) else []
+    with ThreadPoolExecutor(threads) as pool:
+        while level:
+            found = list(pool.map(ls, level))
+            rows += [f for _, files in found for f in files]
+            level = [d for dirs, _ in found for d in dirs]
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 

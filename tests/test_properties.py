@@ -91,3 +91,24 @@ def test_one_hot_order_is_detected_split_and_exact(spark):
         assert spark_routes(process_events(ev, mode, plan=plan)) == model(rows, mode=mode)
     assert spark_routes(process_events(ev, "drop", state_ttl_seconds=600, plan=plan)) == \
         model(rows, mode="drop", state_ttl_us=600_000_000)
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_hot_order_without_gaps_is_folded_over_chunks(spark, seed):
+    """No gap of a TTL anywhere: high ranks that expire, runs of low ranks that
+    go over whole chunks, with and without a state to start from."""
+    rnd = random.Random(seed)
+    rows, t = [], 0.0
+    for seq in range(1, 500):
+        t += rnd.choice([0, 0.2, 0.5, 1, 2])
+        etype = rnd.choice(["ORDER_PENDING"] * 12 + ["ORDER_LOST"] * 2 + TYPES) if seq % 60 else "ORDER_REFUNDED"
+        rows.append((seq, t, "hot", f"e{seq}", etype))
+    ev = make_events(spark, rows)
+    want = model(rows, mode="drop", state_ttl_us=600_000_000)
+    plan = detect_hot_keys(ev, hot_rows=100, fraction=1.0, chunk_rows=12)
+    assert plan.split and plan.prepare(ev).select("_ck").distinct().count() > 15
+    assert spark_routes(process_events(ev, "drop", state_ttl_seconds=600, plan=plan)) == want
+    from ordwise.operators.validate import prior_expiring_state
+    first = process_events(ev.where("arrival_seq <= 200"), "drop", state_ttl_seconds=600)
+    rest = process_events(ev.where("arrival_seq > 200"), "drop", state_ttl_seconds=600, plan=plan, prior=prior_expiring_state(first))
+    assert spark_routes(first.unionByName(rest)) == want
