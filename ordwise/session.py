@@ -102,7 +102,19 @@ def materialize(df, name: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordwise/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ordwise/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder of this application under the shared checkpoint
+    folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders. For a caller that has used
+    the results: a returned DataFrame may still read them."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-from ordwise.session import build_session  # noqa: E402
+from ordwise.session import build_session, drop_scratch  # noqa: E402
 
 T0 = dt.datetime(2025, 11, 22, 10, 0, 0)
 
@@ -23,6 +23,7 @@ EVENT_DDL = ("event_id string, order_id string, event_type string, timestamp tim
 def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, driver_memory="4g")
     yield s
+    drop_scratch(s)
     s.stop()
 
 
