@@ -17,8 +17,12 @@ Large groups. Each document is first checked against one leader: the document
 that leads most of its posting lists (the one that has the token earliest,
 which in a group of near copies is the one with the fewest changes). Links
 found this way are contracted; after that only pairs of different components
-are candidates. A group of any size costs links in proportion to its members,
-and every pair that could connect two components is still checked.
+are candidates. Documents that still share tokens with another component get
+their prefixes lengthened once more, by a tenth of their size: what remains of
+a group of copies then needs so many shared tokens that few documents have
+them, and those need to be listed under their few rarest ones only. A group of
+any size costs links in proportion to its members, and every pair that could
+connect two components is still checked.
 """
 
 from __future__ import annotations
@@ -40,8 +44,12 @@ from .fingerprints import WordHashes, shingles
 FREQUENT_TOKENS = 1 << 18
 #: Shingles counted together in a task before its repeated ones are sent on.
 COUNT_CHUNK = 2_000_000
-#: Longest lengthening of a prefix.
+#: Longest lengthening of a prefix for the index.
 MAX_MATCH = 4
+#: One part in so many of a set lengthens the prefix of a costly document.
+LONG_PART = 10
+#: Rounds that drop documents without enough tokens shared with other components.
+OPEN_ROUNDS = 3
 #: Cost of verifying a candidate, in steps along a posting list.
 VERIFY_COST = 20
 #: Documents whose texts are fetched by broadcast of their ids, at most.
@@ -94,7 +102,7 @@ def frequent(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(docs: DataFrame, n_words: int, percent: int, ranks) -> DataFrame:
-    """``doc_id, h1, h2`` (128-bit hash of the set), ``n`` and the longest prefix."""
+    """``doc_id, h1, h2`` (128-bit hash of the set), ``n`` and the lengthened prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
@@ -113,7 +121,7 @@ def _sets(docs: DataFrame, n_words: int, percent: int, ranks) -> DataFrame:
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     weight = np.where(known[at] == s, count[at], 0)
                     s = s[np.lexsort((s, weight))]
-                prefixes.append(s[:min(n, n - _need(n, percent) + MAX_MATCH)].view("int64"))
+                prefixes.append(s[:min(n, n - _need(n, percent) + max(MAX_MATCH, -(-n // LONG_PART)))].view("int64"))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype("int32")
             flat = np.concatenate(prefixes) if prefixes else np.array([], "int64")
             yield pa.RecordBatch.from_arrays(
@@ -126,13 +134,13 @@ def _sets(docs: DataFrame, n_words: int, percent: int, ranks) -> DataFrame:
 def _postings(classes: DataFrame, percent: int) -> DataFrame:
     """Tokens that several classes file themselves under: ``token, cid, pos, n,
     p, leader`` with each class's prefix length ``p`` chosen by cost."""
-    rows = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "token"))
+    base = F.col("n") - _least_overlap(F.col("n"), percent)
+    rows = classes.select("cid", "n", F.posexplode(F.slice("prefix", F.lit(1), (base + MAX_MATCH).cast("int"))).alias("pos", "token"))
     by_token = Window.partitionBy("token")
     shared = (rows.withColumn("len", F.count(F.lit(1)).over(by_token))
               .withColumn("leader", F.min(F.struct("pos", "cid")).over(by_token)["cid"])
               .where(F.col("len") > 1))
     shared = materialize(shared.select("token", "cid", "pos", "n", "len", "leader"), "jaccard-postings")
-    base = F.col("n") - F.ceil(F.col("n") * percent / 100)
     costs = shared.groupBy("cid", "n").agg(*(
         F.sum(F.when(F.col("pos") < base + m, F.col("len") - 1).otherwise(0)).alias(f"s{m}") for m in range(1, MAX_MATCH + 1)))
     best = F.array_min(F.array(*(F.struct((F.col(f"s{m}") * (1 + VERIFY_COST / m)).alias("cost"), F.lit(m).alias("m"))
@@ -142,6 +150,71 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
                        .select("token", "cid", "pos", "n", "p", "leader"), "jaccard-index")
 
 
+def _least_overlap(n: Column, percent: int) -> Column:
+    """Least overlap with any similar set: ceil(t n)."""
+    return F.ceil(n * percent / 100)
+
+
+def _overlap(n1: Column, n2: Column, percent: int) -> Column:
+    """Overlap that makes two sets similar: ceil(t / (1 + t) * (n1 + n2))."""
+    return F.ceil((n1 + n2) * percent / (100 + percent))
+
+
+def _fewest_needed(n: Column, rest: Column, lo: Column, hi: Column, rest_of, percent: int) -> Column:
+    """The fewest prefix tokens that a set of ``n``, with ``rest`` tokens
+    outside its prefix, shares with any similar set of ``lo`` to ``hi`` tokens."""
+    sizes = F.sequence(F.greatest(lo, _least_overlap(n, percent)), F.least(hi, F.floor(n * 100 / percent)))
+    return F.greatest(F.lit(1), F.array_min(F.transform(sizes, lambda m: _overlap(n, m, percent) - F.greatest(rest, rest_of(m)))))
+
+
+def _between_parts(rows: DataFrame) -> DataFrame:
+    """Rows of tokens that different parts share, with the list's length and
+    the smallest and largest set size in it."""
+    by_token = Window.partitionBy("token")
+    return (rows.withColumn("p_lo", F.min("part").over(by_token)).withColumn("p_hi", F.max("part").over(by_token))
+            .withColumn("lo", F.min("n").over(by_token)).withColumn("hi", F.max("n").over(by_token))
+            .withColumn("len", F.count(F.lit(1)).over(by_token)).where(F.col("p_lo") != F.col("p_hi")).drop("p_lo", "p_hi"))
+
+
+def _open_documents(rows: DataFrame, rest: Column, rest_of, percent: int) -> DataFrame:
+    """``cid, n, part, s, r`` of the documents that share enough tokens (``s``)
+    with other components to be similar to any document there (``r``)."""
+    met = rows.groupBy("cid", "n", "part").agg(F.count(F.lit(1)).alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                               F.first(rest).alias("rest"))
+    r = _fewest_needed(F.col("n"), F.col("rest"), F.col("lo"), F.col("hi"), rest_of, percent)
+    return met.withColumn("r", r).where(F.col("s") >= F.col("r")).select("cid", "n", "part", "s", "r")
+
+
+def _candidates(index: DataFrame, classes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of classes in different components that may be similar."""
+    parts = (index.join(label, index["cid"] == label["node"], "left")
+             .select("token", "cid", "n", "p", F.coalesce("root", "cid").alias("part")))
+    left = materialize(_open_documents(_between_parts(parts), F.col("n") - F.col("p"),
+                                       lambda m: _least_overlap(m, percent) - 1, percent), "jaccard-open")
+
+    # the same with lengthened prefixes, among the documents that are left;
+    # each round drops documents and with them tokens of others
+    rest_of = lambda m: F.greatest(_least_overlap(m, percent) - F.greatest(F.lit(MAX_MATCH), F.ceil(m / LONG_PART)), F.lit(0))
+    held = classes.select("cid", "prefix").join(left.select("cid", "n", "part"), "cid")
+    for _ in range(OPEN_ROUNDS):
+        rows = _between_parts(held.join(left.select("cid"), "cid").select("cid", "n", "part", F.explode("prefix").alias("token")))
+        left = materialize(_open_documents(rows, rest_of(F.col("n")), rest_of, percent), "jaccard-open")
+    # of s tokens in one order, two sets that share r have one among the first s - r + 1
+    rows = rows.join(left.select("cid", "s", "r"), "cid").withColumn(
+        "k", F.row_number().over(Window.partitionBy("cid").orderBy("len", "token")))
+    short = materialize(rows.where(F.col("k") <= F.col("s") - F.col("r") + 1).select("token", "cid", "n", "part"), "jaccard-short")
+    x = short.select("token", *(F.col(c).alias(f"{c}1") for c in ("cid", "n", "part")))
+    y = short.select("token", *(F.col(c).alias(f"{c}2") for c in ("cid", "n", "part")))
+    pairs = x.join(y, (x["token"] == y["token"]) & (F.col("cid1") < F.col("cid2")) & (F.col("part1") != F.col("part2"))
+                   & _similar_size(F.col("n1"), F.col("n2"), percent)).select("cid1", "cid2", "n1", "n2").distinct()
+    first = held.select(F.col("cid").alias("cid1"), F.col("prefix").alias("prefix1"))
+    second = held.select(F.col("cid").alias("cid2"), F.col("prefix").alias("prefix2"))
+    need = _overlap(F.col("n1"), F.col("n2"), percent) - F.greatest(rest_of(F.col("n1")), rest_of(F.col("n2")))
+    return (pairs.join(first, "cid1").join(second, "cid2")
+            .where(F.size(F.array_intersect("prefix1", "prefix2")) >= need)
+            .select(F.col("cid1").alias("a"), F.col("cid2").alias("b")))
+
+
 def _similar_size(n1: Column, n2: Column, percent: int) -> Column:
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
 
@@ -214,21 +287,7 @@ def join(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_i
     first = _verify(stars.select(F.col("leader").alias("a"), F.col("cid").alias("b")), classes, docs, n_words, percent)
     label = materialize(connected(first), "jaccard-labels")
 
-    # candidates between different components
-    parts = (index.join(label, index["cid"] == label["node"], "left")
-             .select("token", "cid", "n", "p", F.coalesce("root", "cid").alias("part")))
-    by_token = Window.partitionBy("token")
-    mixed = materialize(parts.withColumn("lo", F.min("part").over(by_token)).withColumn("hi", F.max("part").over(by_token))
-                        .where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "jaccard-mixed")
-    x = mixed.select("token", *(F.col(c).alias(f"{c}1") for c in ("cid", "n", "p", "part")))
-    y = mixed.select("token", *(F.col(c).alias(f"{c}2") for c in ("cid", "n", "p", "part")))
-    met = x.join(y, (x["token"] == y["token"]) & (F.col("cid1") < F.col("cid2")) & (F.col("part1") != F.col("part2"))
-                 & _similar_size(F.col("n1"), F.col("n2"), percent))
-    alpha = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent))
-    least = alpha - F.greatest(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
-    pairs = (met.groupBy("cid1", "cid2", "n1", "n2", "p1", "p2").agg(F.count(F.lit(1)).alias("c"))
-             .where(F.col("c") >= least).select(F.col("cid1").alias("a"), F.col("cid2").alias("b")))
-    second = _verify(pairs, classes, docs, n_words, percent)
+    second = _verify(_candidates(index, classes, label, percent), classes, docs, n_words, percent)
 
     # documents whose rows have different texts tie their classes together
     owned = members.join(classes.select("h1", "h2", "cid"), ["h1", "h2"]).select("doc_id", "cid")
