@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
 __all__ = ["append_columns", "column_names", "crc_mod", "labelled_sample", "materialize",
-           "prepare", "scratch_path", "sided", "table", "words"]
+           "prepare", "release", "scratch_path", "sided", "table", "words"]
 
 #: Rows per Arrow batch handed to a Python worker; texts can be long.
 BATCH_ROWS = 1000
@@ -22,6 +22,15 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release(*stored: DataFrame) -> None:
+    """Delete the folders of materialised tables that no later step reads."""
+    for df in stored:
+        files = df.inputFiles()
+        if files:
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -33,4 +33,5 @@ def connected(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
             .select("e.*").where(F.col("u") != F.col("v")).distinct()
-        edges = materialize(small, "components")
+        old, edges = edges, materialize(small, "components")
+        release(old, large)

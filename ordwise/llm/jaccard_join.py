@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column_names, materialize, prepare, sided, words
+from .common import column_names, materialize, prepare, release, sided, words
 from .components import connected
 from .fingerprints import WordHashes, shingles
 
@@ -98,6 +98,7 @@ def frequent(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     rows = seen.where(F.floor(F.log2("n") * 4) >= low).toPandas() if low is not None else pd.DataFrame({"token": [], "n": []})
     token, n = rows["token"].to_numpy("int64").view("uint64"), rows["n"].to_numpy("int64")
     order = np.argsort(token)
+    release(seen)
     return token[order], n[order]
 
 
@@ -146,8 +147,10 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
     best = F.array_min(F.array(*(F.struct((F.col(f"s{m}") * (1 + VERIFY_COST / m)).alias("cost"), F.lit(m).alias("m"))
                                  for m in range(1, MAX_MATCH + 1))))["m"]
     chosen = costs.select("cid", F.least(F.col("n"), base + best).cast("long").alias("p"))
-    return materialize(shared.join(chosen, "cid").where(F.col("pos") < F.col("p"))
-                       .select("token", "cid", "pos", "n", "p", "leader"), "jaccard-index")
+    index = materialize(shared.join(chosen, "cid").where(F.col("pos") < F.col("p"))
+                        .select("token", "cid", "pos", "n", "p", "leader"), "jaccard-index")
+    release(shared)
+    return index
 
 
 def _least_overlap(n: Column, percent: int) -> Column:
@@ -200,18 +203,20 @@ def _candidates(index: DataFrame, classes: DataFrame, label: DataFrame, percent:
         rows = _between_parts(held.join(left.select("cid"), "cid").select("cid", "n", "part", F.explode("prefix").alias("token")))
         left = materialize(_open_documents(rows, rest_of(F.col("n")), rest_of, percent), "jaccard-open")
     # of s tokens in one order, two sets that share r have one among the first s - r + 1
-    rows = rows.join(left.select("cid", "s", "r"), "cid").withColumn(
-        "k", F.row_number().over(Window.partitionBy("cid").orderBy("len", "token")))
+    rows = materialize(rows.join(left.select("cid", "s", "r"), "cid").withColumn(
+        "k", F.row_number().over(Window.partitionBy("cid").orderBy("len", "token"))), "jaccard-rows")
     short = materialize(rows.where(F.col("k") <= F.col("s") - F.col("r") + 1).select("token", "cid", "n", "part"), "jaccard-short")
     x = short.select("token", *(F.col(c).alias(f"{c}1") for c in ("cid", "n", "part")))
     y = short.select("token", *(F.col(c).alias(f"{c}2") for c in ("cid", "n", "part")))
     pairs = x.join(y, (x["token"] == y["token"]) & (F.col("cid1") < F.col("cid2")) & (F.col("part1") != F.col("part2"))
                    & _similar_size(F.col("n1"), F.col("n2"), percent)).select("cid1", "cid2", "n1", "n2").distinct()
-    first = held.select(F.col("cid").alias("cid1"), F.col("prefix").alias("prefix1"))
-    second = held.select(F.col("cid").alias("cid2"), F.col("prefix").alias("prefix2"))
+    # tokens that no other component has are in no shared prefix: a few per document remain to compare
+    shared = rows.groupBy("cid").agg(F.collect_list("token").alias("tokens"))
+    first = shared.select(F.col("cid").alias("cid1"), F.col("tokens").alias("tokens1"))
+    second = shared.select(F.col("cid").alias("cid2"), F.col("tokens").alias("tokens2"))
     need = _overlap(F.col("n1"), F.col("n2"), percent) - F.greatest(rest_of(F.col("n1")), rest_of(F.col("n2")))
     return (pairs.join(first, "cid1").join(second, "cid2")
-            .where(F.size(F.array_intersect("prefix1", "prefix2")) >= need)
+            .where(F.size(F.array_intersect("tokens1", "tokens2")) >= need)
             .select(F.col("cid1").alias("a"), F.col("cid2").alias("b")))
 
 
@@ -225,7 +230,8 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int,
     pairs = materialize(pairs.select("a", "b"), "jaccard-pairs")
     named = classes.select("cid", F.col("rep").alias("doc_id"), "h1", "h2")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(named, "cid")
-    texts = materialize(docs.select("doc_id", "text").join(sided(materialize(wanted, "jaccard-wanted"), BROADCAST_DOCS), "doc_id")
+    wanted = materialize(wanted, "jaccard-wanted")
+    texts = materialize(docs.select("doc_id", "text").join(sided(wanted, BROADCAST_DOCS), "doc_id")
                         .select("cid", "text", "h1", "h2"), "jaccard-texts")
     left = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
     right = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
@@ -255,8 +261,10 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int,
                     got_b.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], names=["a", "b"])
 
-    return materialize(both.select("a", "b", "ta", "a1", "a2", "tb", "b1", "b2").mapInArrow(run, "a long, b long").distinct(),
-                       "jaccard-links")
+    links = materialize(both.select("a", "b", "ta", "a1", "a2", "tb", "b1", "b2").mapInArrow(run, "a long, b long").distinct(),
+                        "jaccard-links")
+    release(pairs, wanted, texts)
+    return links
 
 
 def join(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
