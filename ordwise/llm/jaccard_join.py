@@ -328,3 +328,28 @@ def one_of_each(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFra
     twice = kept.join(sided(again, BROADCAST_DOCS), F.col("doc_id").cast("long") == F.col(gone), "left_semi")
     single = kept.join(sided(again, BROADCAST_DOCS), F.col("doc_id").cast("long") == F.col(gone), "left_anti")
     return single.unionByName(twice.dropDuplicates(["doc_id"]))
+
+
+def oracle(n_words: int, percent: int) -> str:
+    """``join`` over ``documents`` as DuckDB SQL: all pairs that share a shingle
+    are counted, so it is for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {n_words} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i:i + {n_words - 1}], ' ') FOR i IN range(1, len(ws) - {n_words - 2})]) END AS s FROM w),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+tokens AS (SELECT doc_id, unnest(s) AS token FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y, c = p.n AND c = q.n AS same FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= {percent} * (p.n + q.n - c)),
+reach(d, r) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT reach.d, links.y FROM reach JOIN links ON reach.r = links.x),
+least_of AS (SELECT d, min(r) AS component_id FROM reach GROUP BY d),
+twins AS (SELECT x, min(y) AS y FROM links WHERE same GROUP BY x)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, least(doc_id, coalesce(y, doc_id)) AS class_id
+FROM sizes JOIN least_of ON d = doc_id LEFT JOIN twins ON x = doc_id"""

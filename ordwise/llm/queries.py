@@ -79,4 +79,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mixing": mixing.oracle()}
+    return {"op2_ngram_jaccard_join": jaccard_join.oracle(3, 90), "op6_source_mixing": mixing.oracle()}
