@@ -23,6 +23,11 @@ a group of copies then needs so many shared tokens that few documents have
 them, and those need to be listed under their few rarest ones only. A group of
 any size costs links in proportion to its members, and every pair that could
 connect two components is still checked.
+
+All links. Linked documents are in one component, so ``links`` compares all
+pairs of classes of each component: the classes are dealt to blocks and every
+two blocks meet in one cell, where shared tokens are counted by matrix products
+and only sums leave the cell. This part grows with the square of a component.
 """
 
 from __future__ import annotations
@@ -54,6 +59,10 @@ OPEN_ROUNDS = 3
 VERIFY_COST = 20
 #: Documents whose texts are fetched by broadcast of their ids, at most.
 BROADCAST_DOCS = 200_000
+#: Tokens and classes in a block of a component, about.
+BLOCK_TOKENS, BLOCK_CLASSES = 400_000, 2048
+#: Tokens that one matrix product counts.
+TOKEN_COLUMNS = 2048
 
 
 def _need(n, percent: int):
@@ -267,6 +276,129 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int,
     return links
 
 
+def _class_tokens(wanted: DataFrame, docs: DataFrame, n_words: int) -> DataFrame:
+    """``cid, tokens``: the whole set of each of the classes ``cid, doc_id, h1, h2``."""
+    texts = docs.join(sided(wanted, BROADCAST_DOCS), "doc_id").select("cid", "text", "h1", "h2")
+
+    def run(batches):
+        hashes = WordHashes()
+        for b in batches:
+            cids, tokens = [], []
+            for cid, text, h1, h2 in zip(*(b.column(i).to_pylist() for i in range(4))):
+                data = shingles(hashes(words(text)), n_words).tobytes()
+                digest = xxhash.xxh3_128_digest(data)
+                # else another text with the same id
+                if (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)) == (h1, h2):
+                    cids.append(cid)
+                    tokens.append(data)
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(tokens, pa.binary())], names=["cid", "tokens"])
+
+    return texts.mapInArrow(run, "cid long, tokens binary")
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets on the left have the wanted similarity to which on the right."""
+    n1, n2 = np.array([len(s) for s in left], "int64"), np.array([len(s) for s in right], "int64")
+    t1, t2 = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(t1, t2)
+    sides = []
+    for n, t in ((n1, t1), (n2, t2)):
+        row, at = np.repeat(np.arange(len(n)), n), np.minimum(np.searchsorted(both, t), max(0, len(both) - 1))
+        held = both[at] == t if len(both) else np.zeros(len(t), bool)
+        row, at = row[held], at[held]
+        order = np.argsort(at, kind="stable")
+        sides.append((row[order], at[order]))
+    inter = np.zeros((len(n1), len(n2)), "int64")
+    for start in range(0, len(both), TOKEN_COLUMNS):
+        part = []
+        for n, (row, at) in zip((n1, n2), sides):
+            lo, hi = np.searchsorted(at, [start, start + TOKEN_COLUMNS])
+            x = np.zeros((len(n), min(TOKEN_COLUMNS, len(both) - start)), "float32")
+            x[row[lo:hi], at[lo:hi] - start] = 1
+            part.append(x)
+        inter += (part[0] @ part[1].T).astype("int64")
+    return 100 * inter >= percent * (n1[:, None] + n2[None, :] - inter)
+
+
+def _neighbours(cells: DataFrame, percent: int) -> DataFrame:
+    """Per cell of two blocks, ``a, s``: the weight ``s`` of the classes there
+    that class ``a`` is similar to, itself included; and as ``a, b`` the pairs
+    in which either class is marked."""
+    per_cell = cells.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "cid")
+
+    def cell(rows):
+        blocks = [[], []]
+        for r in rows:
+            blocks[r[3] != r[1]].append(r)
+        lo, hi = blocks[0], blocks[1] if rows[0][1] != rows[0][2] else blocks[0]
+        if not lo or not hi:
+            return
+        m = similar(*([np.frombuffer(r[7], "uint64") for r in side] for side in (lo, hi)), percent)
+        c1, c2 = (np.array([r[4] for r in side], "int64") for side in (lo, hi))
+        w1, w2 = (np.array([r[5] for r in side], "int64") for side in (lo, hi))
+        f1, f2 = (np.array([r[6] for r in side], bool) for side in (lo, hi))
+        ways = [(m, c1, c2, w2, f1, f2)] + ([(m.T, c2, c1, w1, f2, f1)] if lo is not hi else [])
+        for k, own, other, weight, f, g in ways:
+            s = np.where(k, weight[None, :], 0).sum(1)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.nulls(len(own), pa.int64()), pa.array(s)], names=["a", "b", "s"])
+            for i in np.flatnonzero((k & (f[:, None] | g[None, :])).any(1)):
+                to = other[k[i] & (f[i] | g)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(to), own[i])), pa.array(to), pa.nulls(len(to), pa.int64())],
+                                                 names=["a", "b", "s"])
+
+    def run(batches):
+        held, last = [], None
+        for b in batches:
+            for r in zip(*(b.column(i).to_pylist() for i in range(8))):
+                if r[:3] != last:
+                    if held:
+                        yield from cell(held)
+                    held, last = [], r[:3]
+                if not held or held[-1][4] != r[4]:  # a repeated row gives its class again
+                    held.append(r)
+        if held:
+            yield from cell(held)
+
+    return per_cell.select("root", "lo", "hi", "block", "cid", "w", "marked", "tokens").mapInArrow(run, "a long, b long, s long")
+
+
+def _count_links(docs: DataFrame, owned: DataFrame, classes: DataFrame, root: DataFrame, n_words: int,
+                 percent: int) -> tuple[DataFrame, DataFrame]:
+    """``cid, own_links`` of the documents of one class, ``doc_id, all_links``
+    of those whose rows have different texts."""
+    owned = materialize(owned.distinct(), "jaccard-owned")
+    several = materialize(owned.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "jaccard-several")
+    several_in = materialize(owned.join(several, "doc_id"), "jaccard-several-in")
+    marked = several_in.select("cid").distinct().withColumn("marked", F.lit(True))
+    w = owned.join(several, "doc_id", "left_anti").groupBy("cid").agg(F.count(F.lit(1)).alias("w"))
+    weights = materialize(classes.select("cid", "n", "rep", "h1", "h2").join(w, "cid", "left").join(marked, "cid", "left").select(
+        "cid", "n", "rep", "h1", "h2", F.coalesce("w", F.lit(0)).alias("w"), F.coalesce("marked", F.lit(False)).alias("marked")), "jaccard-weights")
+
+    grouped = weights.join(root, weights["cid"] == root["node"])
+    blocks = grouped.groupBy("root").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_TOKENS), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES)).alias("blocks"))
+    blocks = materialize(blocks.where(F.col("blocks") > 1), "jaccard-blocks")
+    placed = grouped.join(sided(blocks, BROADCAST_DOCS), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = materialize(placed.select("root", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), "cid",
+                                       F.col("rep").alias("doc_id"), "h1", "h2", "w", "marked"), "jaccard-placed")
+    tokens = materialize(_class_tokens(placed.select("cid", "doc_id", "h1", "h2"), docs, n_words), "jaccard-tokens")
+    cells = placed.join(tokens, "cid").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.withColumn("lo", F.least("block", "with")).withColumn("hi", F.greatest("block", "with"))
+    found = materialize(_neighbours(cells, percent), "jaccard-neighbours")
+    release(placed, tokens)
+
+    pairs = found.where(F.col("b").isNotNull()).select("a", "b")
+    sums = found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("s").alias("s"))
+    # documents of several classes count once however many of those are similar
+    met = pairs.join(several_in, pairs["b"] == several_in["cid"]).groupBy("a").agg(F.countDistinct("doc_id").alias("met"))
+    own = weights.join(sums, weights["cid"] == sums["a"], "left").drop("a").join(met, weights["cid"] == met["a"], "left").select(
+        "cid", (F.coalesce("s", "w") + F.coalesce("met", F.lit(0)) - 1).alias("own_links"))
+    around = several_in.join(pairs, several_in["cid"] == pairs["a"]).select("doc_id", F.col("b").alias("cid")).distinct()
+    single = around.join(weights.select("cid", "w"), "cid").groupBy("doc_id").agg(F.sum("w").alias("singles"))
+    others = several_in.select("cid", F.col("doc_id").alias("other"))
+    multiple = around.join(others, "cid").groupBy("doc_id").agg(F.countDistinct("other").alias("others"))
+    return own, single.join(multiple, "doc_id").select("doc_id", (F.col("singles") + F.col("others") - 1).alias("all_links"))
+
+
 def join(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` per row of ``docs``.
 
@@ -277,6 +409,18 @@ def join(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_i
     Null and empty texts and texts without words have no shingles and link
     with nothing; rows with a null id neither, and have null components.
     Rows that repeat an id are one document. Other columns are left out."""
+    return _join(docs, n_words, percent, key, text, False)
+
+
+def links(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``join`` with ``n_links``: the number of other documents that the row's
+    document links with, members of its own class included. A document whose
+    rows have different texts links by any of them. 0 for rows without
+    shingles or id."""
+    return _join(docs, n_words, percent, key, text, True)
+
+
+def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, count: bool) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -303,14 +447,19 @@ def join(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_i
     tied = owned.join(split, "doc_id").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"))
     root = materialize(connected(first.unionByName(second).unionByName(tied)), "jaccard-roots")
     placed = classes.join(root, classes["cid"] == root["node"], "left").select(
-        "h1", "h2", "rep", F.coalesce("root", "cid").alias("root"))
+        "h1", "h2", "cid", "rep", F.coalesce("root", "cid").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
-    placed = placed.join(smallest, "root").select("h1", "h2", F.col("rep").alias("class"), "component")
+    placed = placed.join(smallest, "root").select("h1", "h2", "cid", F.col("rep").alias("class"), "component")
     none = (F.col("n") == 0) | F.col("doc_id").isNull()
-    return sets.select("doc_id", "h1", "h2", "n").join(placed, ["h1", "h2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(none, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        F.when(none, F.col("doc_id")).otherwise(F.col("class")).alias("class_id"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"),
+               F.when(none, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+               F.when(none, F.col("doc_id")).otherwise(F.col("class")).alias("class_id")]
+    rows = sets.select("doc_id", "h1", "h2", "n")
+    if not count:
+        return rows.join(placed.drop("cid"), ["h1", "h2"], "left").select(*columns)
+    own, several = _count_links(docs, owned, classes, root, n_words, percent)
+    return rows.join(placed.join(own, "cid"), ["h1", "h2"], "left").join(several, "doc_id", "left").select(
+        *columns, F.when(none, F.lit(0)).otherwise(F.coalesce("all_links", "own_links")).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:

@@ -26,6 +26,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf, "documents"), n_words=3, percent=90)
 
 
+def op2_ngram_jaccard_links(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.links(table(spark, sf, "documents"), n_words=3, percent=90)
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.predictions(docs, toxicity.fit(docs, table(spark, sf, "labels")))

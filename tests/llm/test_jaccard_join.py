@@ -149,3 +149,30 @@ def test_components(spark):
     linked = {x for a, b in links if a is not None and b is not None and a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def brute_links(rows, n_words, percent):
+    """``{doc_id: number of other ids that it links with}`` by comparing all pairs."""
+    sets = defaultdict(set)
+    for i, t in rows:
+        w = words(t)
+        if w and i is not None:
+            sets[i].add(frozenset(tuple(w[j:j + n_words]) for j in range(max(1, len(w) - n_words + 1))))
+    return {i: sum(any(100 * len(s & t) >= percent * len(s | t) for s in sets[i] for t in sets[k]) for k in sets if k != i) for i in sets}
+
+
+@pytest.mark.parametrize("bounds", [(400_000, 2048, 2048), (700, 3, 50)])
+def test_links_inside_groups_are_counted(spark, monkeypatch, bounds):
+    """Members that share a leader count their links with one another, in one block or several."""
+    for name, value in zip(("BLOCK_TOKENS", "BLOCK_CLASSES", "TOKEN_COLUMNS"), bounds):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = near_copies(random.Random(7), [f"w{i}" for i in range(4000)], groups=6)
+    # ids with two texts, repeated rows, rows without text or id
+    rows += [(1, rows[5][1], "en", "a"), (4, rows[20][1], "en", "a"), rows[3], rows[3], (9000, "", "en", "a"), (None, rows[3][1], "en", "a")]
+    got = jaccard_join.links(docs(spark, rows), 3, 90)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "class_id", "n_links"]
+    want = brute_links([r[:2] for r in rows], 3, 90)
+    assert max(want.values()) > 3
+    assert {(r.doc_id, r.n_links) for r in got.collect()} == {(i, want.get(i, 0)) for i, *_ in rows}
+    plain = jaccard_join.join(docs(spark, rows), 3, 90)
+    assert sorted(map(str, got.drop("n_links").collect())) == sorted(map(str, plain.collect()))
