@@ -3,8 +3,9 @@
 A source with share ``w`` of the target mixture and ``n`` of the ``N``
 documents has mean repetition rate ``rate = w * N / n``. Each document's
 number of copies inverts the Poisson distribution of that rate at a uniform
-number hashed from the seed and its id, so a rerun or a lost executor gives
-the same mixture and no source is ever gathered. Copies come from
+number hashed from the seed and its id (without an id: from its content and
+its number among equal rows), so a rerun or a lost executor gives the same
+mixture and no source is ever gathered. Copies come from
 ``explode``; a second hash of (id, copy) deals them to partitions and orders
 them inside: a global shuffle in one exchange.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column_names, materialize, prepare, sided
@@ -70,6 +71,26 @@ def rates(docs: DataFrame, weights: dict | None = None, source: str = "source")
     return with_rate.select("source", "n", "rate", poisson_cdf(F.col("rate"), last).alias("cdf"))
 
 
+def _identified(docs: DataFrame, key: str, ident: str) -> DataFrame:
+    """``docs`` with ``ident``, what a row draws by: its id, or for a null id
+    the digest of the row and its number among equal rows. Those are numbered
+    inside the partitions they were stored by, so no task gets all of them."""
+    named = docs.where(F.col(key).isNotNull()).withColumn(ident, F.col(key).cast("string"))
+    nameless = docs.where(F.col(key).isNull())
+    if nameless.isEmpty():
+        return named
+    digest, part, n, before = column_names(named, "mix_digest", "mix_part", "mix_n", "mix_before")
+    stored = materialize(nameless.withColumn(digest, F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))), 256))
+                         .withColumn(part, F.spark_partition_id()), "mix-nameless")
+    counts = stored.groupBy(digest, part).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.partitionBy(digest).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0))).drop(n)
+    number = F.col(before) + F.row_number().over(Window.partitionBy(digest, part).orderBy(part))
+    numbered = stored.join(counts, [digest, part]).withColumn(
+        ident, F.concat_ws(":", F.lit("no id"), F.col(digest), number.cast("string")))
+    return named.unionByName(numbered.drop(digest, part, before))
+
+
 def mix(docs: DataFrame, weights: dict | None = None, seed: int = 17, source: str = "source",
         key: str = "doc_id", partitions: int | None = None) -> DataFrame:
     """The mixture: every column of ``docs`` plus ``mix_rate, copy`` (from 1)
@@ -77,24 +98,25 @@ def mix(docs: DataFrame, weights: dict | None = None, seed: int = 17, source: st
 
     Documents of null or unweighted sources get no copy (with equal weights a
     null source is a source like any other). Rows of one id draw the same
-    number; a null id draws as the text ''. Empty tables give no rows. New
+    number; rows without an id draw one each. Empty tables give no rows. New
     columns get leading underscores where names clash."""
     prepare(docs.sparkSession)
-    rate, copy, order, cdf, src = column_names(docs, "mix_rate", "copy", "mix_order", "mix_cdf", "mix_source")
+    rate, copy, order, cdf, src, own = column_names(docs, "mix_rate", "copy", "mix_order", "mix_cdf", "mix_source", "mix_ident")
     table = sided(materialize(rates(docs, weights, source), "mix-rates").select(
         F.col("source").alias(src), F.round("rate", 9).alias(rate), F.col("cdf").alias(cdf)), BROADCAST_SOURCES)
-    joined = docs.join(table, F.col(source).eqNullSafe(F.col(src)))
-    ident = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    joined = _identified(docs, key, own).join(table, F.col(source).eqNullSafe(F.col(src)))
+    ident = F.col(own)
     draw = uniform(F.lit(f"copies:{seed}"), ident)
     count = F.size(F.filter(F.col(cdf), lambda p: p <= draw))
     drawn = joined.withColumn(copy, F.explode(F.when(count > 0, F.sequence(F.lit(1), count)))).drop(src, cdf)
-    placed = drawn.withColumn(order, uniform(F.lit(f"order:{seed}"), ident, F.col(copy).cast("string")))
+    placed = drawn.withColumn(order, uniform(F.lit(f"order:{seed}"), ident, F.col(copy).cast("string"))).drop(own)
     n = partitions or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return placed.repartition(n, F.col(order)).sortWithinPartitions(order)
 
 
 def oracle(weighted_equally_seed: int = 17) -> str:
-    """The same mixture with equal weights as DuckDB SQL over ``documents``."""
+    """The same mixture with equal weights as DuckDB SQL over ``documents``.
+    It holds for tables without null ids: here those draw as the text ''."""
     s = weighted_equally_seed
     number = "CAST(('0x' || substr(md5({}), 1, 13)) AS BIGINT) / 4503599627370496.0"
     draw = number.format(f"concat('copies:{s}:', coalesce(CAST(doc_id AS VARCHAR), ''))")

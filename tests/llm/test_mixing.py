@@ -62,3 +62,18 @@ def test_counts_are_poisson_and_weights_are_met(spark):
 def test_large_rates_do_not_underflow(spark):
     cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(2000.0), F.lit(2600)).alias("c")).first().c
     assert cdf[-1] == pytest.approx(1.0, abs=1e-9) and cdf[2000] == pytest.approx(0.506, abs=0.002)
+
+
+def test_rows_without_an_id_draw_each_for_themselves(spark):
+    """Production seed: distinct and equal rows without ids meet their source's weight and spread over partitions."""
+    rows = [(None, f"text {i}", "en", "a") for i in range(1000)] + [(None, "the same text", "en", "a")] * 1000
+    rows += [(i, f"other {i}", "en", "b") for i in range(4000)]
+    df = docs(spark, rows)
+    got = mixing.mix(df.repartition(3)).collect()
+    own = [r for r in got if r.doc_id is None]
+    assert len(own) == pytest.approx(3000, rel=0.05)  # rate 1.5
+    same = [r for r in own if r.text == "the same text"]
+    assert len(same) == pytest.approx(1500, rel=0.1)
+    assert len({r.mix_order for r in own}) == len(own)
+    again = mixing.mix(df.coalesce(1), partitions=7).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
