@@ -100,8 +100,10 @@ def detect_hot_keys(df: DataFrame, key: str = "order_id", hot_rows: int = DEFAUL
                .withColumn("_kept", F.pmod(F.xxhash64("at"), F.lit(step)) == 0)
                .groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.array_sort(
                    F.collect_list(F.when(F.col("_kept"), F.col("at")))).alias("cuts")))
-    hot = materialize(counted.where(F.col("n") >= max(1, int(hot_rows * frac))).select(key, "cuts"), "hot-keys")
-    return SkewPlan(key=key) if hot.isEmpty() else SkewPlan(hot=hot, key=key)
+    hot = counted.where(F.col("n") >= max(1, int(hot_rows * frac))).select(key, "cuts")
+    if hot.select(key).isEmpty():  # the usual case: counts alone, nothing is written
+        return SkewPlan(key=key)
+    return SkewPlan(hot=materialize(hot, "hot-keys"), key=key)
 
 
 def prefix_max_before(df: DataFrame, keys: Sequence[str], value: Column, out: str,

@@ -8,6 +8,8 @@ inside a partition value would be escaped, so the reference-style key
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,10 @@ def write_csv_archive(df: DataFrame, root: str, mode: str = "append",
     w.csv(root)
 
 
-def read_raw_archive(spark: SparkSession, root: str) -> DataFrame:
-    """Wire records of a raw archive, for replay."""
-    return spark.read.schema(WIRE_FILE_SCHEMA).parquet(root).select(*WIRE_FILE_SCHEMA.names)
+def read_raw_archive(spark: SparkSession, root: str, since: dt.datetime | None = None) -> DataFrame:
+    """Wire records of a raw archive, for replay; with ``since`` those that
+    arrived then or later, from the folders of that day on."""
+    raw = spark.read.schema(WIRE_FILE_SCHEMA).parquet(root)
+    if since is not None:
+        raw = raw.where((F.col("dt").cast("date") >= F.lit(since.date())) & (F.col("arrival_ts") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")))
+    return raw.select(*WIRE_FILE_SCHEMA.names)

@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_wire, format_timestamp, parse_csv_lines
-from ..operators import analytics, metrics, upsert
+from ..operators import analytics, fingerprint, metrics, replay, upsert
 from ..operators.validate import prior_expiring_state, prior_sightings, prior_state, process_events
 from ..session import materialize, scratch_path, ship_package
+from ..sources.files import list_files
 from ..sources.streams import read_event_stream, write_wire_files
 from ..sources.testdata import SLICES, arrival_slice, clickstream_events, clickstream_wire, order_lineitem_events, table
 from ..streaming import jobs as sjobs
-from ..streaming import validation
-from . import analyst_sql, loader
-from .archive import key_from_path, read_raw_archive, write_csv_archive
+from ..streaming import keyed, validation, windows
+from . import analyst_sql, compaction, loader
+from .archive import PARTITION_COLS, key_from_path, read_raw_archive, with_partition_columns, write_csv_archive
+from .state_table import StateTable
+from .tables import Tables
 
 ROUTE_COLS = ["event_id", "order_id", "event_type", "arrival_seq", "is_dup", "prev_rank", "route"]
 ORDER_OUT = ["order_id", "latest_event_id", "order_status", "latest_event_time",
@@ -329,9 +332,10 @@ def q_orders_from_loads(spark, sf):
 SENTINEL = "SENTINEL"  # closes the open windows; its own window stays open
 
 
-def _replay(spark, sf, name, start_query, close_windows=False):
+def _replay(spark, sf, name, start_query, close_windows=False, archive=False):
     """Land the wire records slice by slice and run ``start_query(stream,
-    root, checkpoint)`` to completion after each slice."""
+    root, checkpoint)`` to completion after each slice. ``archive``: the source
+    moves files it is done with."""
     root = scratch_path(spark, name)
     src, ck = f"{root}/source", f"{root}/checkpoint"
     wire = materialize(arrival_slice(clickstream_wire(table(spark, sf, "events"))), "wire")
@@ -343,7 +347,8 @@ def _replay(spark, sf, name, start_query, close_windows=False):
             format_timestamp(F.col("arrival_ts")).alias("timestamp"))).alias("value"), "arrival_ts", "arrival_seq"))
     for part in slices:
         write_wire_files(part, src)
-        sjobs.run_available(start_query(read_event_stream(spark, "files", src), root, ck))
+        stream = read_event_stream(spark, "files", src, archive_dir=f"{root}/done" if archive else None)
+        sjobs.run_available(start_query(stream, root, ck))
     return root
 
 
@@ -409,6 +414,123 @@ def q_reconcile_stored(spark, sf):
     return analytics.reconcile(raw, {r: out.where(F.col("route") == r) for r in ("valid", "invalid", "duplicate", "quarantine")})
 
 
+def q_stream_validate_keyed(spark, sf):
+    """Validation in Spark's state store, a restart per slice."""
+    root = _replay(spark, sf, "stream-keyed", lambda st, r, ck: keyed.start_keyed_validation(
+        st, f"{r}/out", ck, trigger={"availableNow": True}))
+    return spark.read.parquet(f"{root}/out").select(*ROUTE_COLS)
+
+
+def q_stream_running_totals(spark, sf):
+    """Totals of closed windows, carried over a restart per slice."""
+    root = _replay(spark, sf, "stream-totals", lambda st, r, ck: windows.start_running_totals(
+        sjobs.count_stream(sjobs.decode_stream(st), 30), f"{r}/totals", ck, trigger={"availableNow": True}), close_windows=True)
+    return spark.read.parquet(f"{root}/totals")
+
+
+def q_stream_late_events(spark, sf):
+    """Counts per event-time window, and the rows that came too late for theirs."""
+    root = _replay(spark, sf, "stream-late", lambda st, r, ck: windows.start_counts_with_late(
+        sjobs.decode_stream(st), f"{r}/counts", ck, trigger={"availableNow": True}), close_windows=True)
+    counted = windows.read_counts(spark, f"{root}/counts").select(
+        F.lit("counted").alias("kind"), "window_start", "event_type", "n", F.lit(None).cast("long").alias("arrival_seq"))
+    late = windows.read_late(spark, f"{root}/counts").select(
+        "kind", "window_start", "event_type", F.lit(1).cast("long").alias("n"), "arrival_seq")
+    return counted.unionByName(late)
+
+
+def q_stream_clean_source(spark, sf):
+    """The raw archive from a source that moves the files it has read: a
+    restart reads what is new, and all lines are archived once."""
+    root = _replay(spark, sf, "stream-clean", lambda st, r, ck: sjobs.start_raw_archive(
+        st, f"{r}/raw", ck, trigger={"availableNow": True}), archive=True)
+    assert list_files(spark, f"{root}/done").where(F.col("file_path").endswith(".parquet")).count() > 0
+    archive = spark.read.parquet(f"{root}/raw").withColumn("partition_key", key_from_path(F.col("_metadata.file_path")))
+    return decode_wire(archive.select("value", "arrival_ts", "arrival_seq", "partition_key"))
+
+
+def q_replay_from_point(spark, sf):
+    """The last slice of the raw archive once more, from the states as of its
+    start, beside what the first run had stored before it."""
+    root = scratch_path(spark, "replay-from")
+    wire = clickstream_wire(table(spark, sf, "events"))
+    with_partition_columns(wire).repartitionByRange("arrival_ts").write.partitionBy(*PARTITION_COLS).parquet(f"{root}/raw")
+    first = _routed_once(spark, sf)
+    start = arrival_slice(wire).where(F.col("slice") == SLICES - 1).agg(F.min("arrival_ts")).first()[0]
+    again = replay.replay_from(sjobs.decode_stream(read_raw_archive(spark, f"{root}/raw", start)), first, start)
+    return first.where(F.col("arrival_ts") < F.lit(start)).select(*ROUTE_COLS).unionByName(again.select(*ROUTE_COLS))
+
+
+SWAPPED_EVERY = 997  # rows whose stored copy is another one
+
+
+def q_reconcile_content(spark, sf):
+    """Stored routes against the raw events, by content: here and there a
+    stored row has been exchanged, which counts cannot tell."""
+    raw = clickstream_events(spark, sf)
+    swapped = F.pmod("arrival_seq", F.lit(SWAPPED_EVERY)) == 0
+    stored = _routed_once(spark, sf).withColumn("customer_id", F.when(swapped, F.lit("C-other")).otherwise(F.col("customer_id")))
+    return fingerprint.reconcile_content(raw, stored)
+
+
+def q_validate_incremental_indexed(spark, sf):
+    """Arrival slices one after another; each finds its orders' long-term state
+    and its ids' last sightings in tables indexed by key."""
+    root = scratch_path(spark, "state")
+    ranks = StateTable(spark, f"{root}/ranks", ["order_id"], "prior_rank", "int")
+    seen = StateTable(spark, f"{root}/seen", ["order_id", "event_id"], "last_seen_ts", "timestamp_ntz")
+    events = materialize(arrival_slice(clickstream_events(spark, sf)), "incremental")
+    out = None
+    for k in range(SLICES):
+        part = events.where(F.col("slice") == k)
+        done = materialize(process_events(part, "drop", prior=ranks.lookup(part.select("order_id"), k),
+                                          prior_seen=seen.lookup(part.select("order_id", "event_id"), k)), "indexed-slice")
+        ranks.append(prior_state(done), k)
+        seen.append(done.where(F.col("event_id").isNotNull()).withColumn("last_seen_ts", F.col("arrival_ts")), k)
+        ranks.compact(k, min_files=2)
+        out = done if out is None else out.unionByName(done)
+    return out.select(*ROUTE_COLS)
+
+
+def q_load_then_compact(spark, sf):
+    """Two loads of small files, merged into one load of sized files."""
+    r = _routed_once(spark, sf)
+    wh, landing = _setup(spark, "compact")
+    for first in (True, False):
+        _write_slice(r, landing, first=first)
+        for ds in DATASETS:
+            loader.load(spark, wh, landing[ds], ds)
+    for ds in DATASETS:
+        compaction.compact_loads(spark, wh, ds)
+        assert loader.load(spark, wh, landing[ds], ds)["files"] == 0   # still known as loaded
+    out = wh.events("valid").withColumn("dataset", F.lit("valid")).unionByName(wh.events("invalid").withColumn("dataset", F.lit("invalid")))
+    return out.select("dataset", *EVENT_OUT)
+
+
+def _tables(spark, name):
+    where = scratch_path(spark, name)
+    tables = Tables(spark, "ordwise_" + where.rsplit("-", 1)[1], where)
+    tables.create_tables()
+    return tables
+
+
+def q_orders_upsert_bucketed(spark, sf):
+    """Two increments merged into the bucketed table of the catalog."""
+    tables, ev = _tables(spark, "orders-tables"), order_lineitem_events(spark, sf)
+    tables.upsert_orders(ev.where(F.col("event_type").isin(SLICE1_TYPES)))
+    tables.upsert_orders(ev.where(~F.col("event_type").isin(SLICE1_TYPES)))
+    return tables.orders().select(*ORDER_OUT)
+
+
+def q_sql_invalid_events_of_a_day(spark, sf):
+    """Analyst SQL on the stored, partitioned table: only the day's folders are read."""
+    tables = _tables(spark, "event-tables")
+    tables.insert_events("invalid_order_events", routed(spark, sf).where(F.col("route") == "invalid"))
+    return spark.sql(f"""SELECT event_id, order_id, event_type, timestamp, hr, partition_key
+        FROM {tables.name('invalid_order_events')} WHERE dt = (SELECT max(dt) FROM {tables.name('invalid_order_events')})
+        ORDER BY timestamp DESC""")
+
+
 def _shipped(fn):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ship_package(spark)

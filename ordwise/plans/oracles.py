@@ -13,6 +13,7 @@ from ..sources.testdata import (BAD_PAYLOAD_EVERY, CLICK_TYPES, DUP_DELAY_MIN, D
                                 EVENT_TIME_SHIFT_MUL, NO_ID_EVERY, SLICES, TRUNCATED_EVERY, UNKNOWN_EVERY)
 
 TTL_MICROS = 600_000_000
+SWAPPED_EVERY = 997  # stored rows of reconcile_content that are another's
 
 
 def _click_type_case() -> str:
@@ -329,8 +330,29 @@ SELECT DISTINCT dataset, partition_key, true AS ready FROM ld WHERE day(arrival_
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) <= 15)", 's1')},
 {latest_sql("(SELECT * FROM routed WHERE route = 'valid' AND day(arrival_ts) > 15)", 's2')}
 {merge_sql('s1', 's2')}"""
-    for name in ("stream_validate_replay", "validate_incremental", "replay_from_raw"):
+    for name in ("stream_validate_replay", "stream_validate_keyed", "validate_incremental", "validate_incremental_indexed",
+                 "replay_from_raw", "replay_from_point"):
         q[name] = q["validate_drop_dups"]
+    q["load_then_compact"] = q["load_is_idempotent"]
+    q["orders_upsert_bucketed"] = q["orders_upsert_incremental"]
+    q["stream_running_totals"] = q["running_totals"]
+    q["sql_invalid_events_of_a_day"] = f"""WITH {R}, i AS (SELECT * FROM routed WHERE route = 'invalid')
+SELECT event_id, order_id, event_type, "timestamp", strftime(arrival_ts, '%H') AS hr,
+       strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key
+FROM i WHERE CAST(arrival_ts AS DATE) = (SELECT max(CAST(arrival_ts AS DATE)) FROM i)"""
+    text = ("event_id", "order_id", "event_type", "CAST(epoch_us(\"timestamp\") AS VARCHAR)", "{}", "product_id",
+            "CAST(quantity AS VARCHAR)", "CAST(CAST(round(price * 10000) AS BIGINT) AS VARCHAR)", "CAST(arrival_seq AS VARCHAR)")
+
+    def content(customer: str) -> str:
+        told = " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in (x.format(customer) for x in text))
+        return f"sum(CAST(('0x' || substr(md5({told}), 1, 15)) AS BIGINT))"
+
+    swapped = f"(CASE WHEN arrival_seq % {SWAPPED_EVERY} = 0 THEN 'C-other' ELSE customer_id END)"
+    q["reconcile_content"] = f"""WITH {R},
+h AS (SELECT strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key, count(*) AS raw, {hours},
+             {content('customer_id')} AS a, {content(swapped)} AS b FROM routed GROUP BY 1)
+SELECT partition_key, raw, valid, invalid, duplicate, quarantine, CAST(a AS VARCHAR) AS raw_fingerprint,
+       CAST(b AS VARCHAR) AS out_fingerprint, true AS counts_agree, a = b AS balanced FROM h"""
     q["validate_incremental_ttl"] = q["validate_ttl"]
     q["stream_duplicate_counts"] = q["dup_counts_2s"]
     q["stream_counts"] = q["counts_tumbling_30s"]
@@ -350,6 +372,14 @@ marks AS (SELECT s, (SELECT max(epoch_ms("timestamp")) FROM w WHERE slice < s) -
 SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, event_type, count(*) AS n
 FROM w JOIN marks ON slice = s
 WHERE mark IS NULL OR epoch_ms(window_start + INTERVAL 30 SECOND) > mark GROUP BY 1, 2, 3"""
+    q["stream_late_events"] = f"""WITH {R}, {sliced},
+w AS (SELECT *, time_bucket(INTERVAL 30 SECOND, "timestamp") AS window_start FROM sl WHERE "timestamp" IS NOT NULL),
+marks AS (SELECT s, (SELECT max(epoch_ms("timestamp")) FROM w WHERE slice < s) - 5000 AS mark FROM range({SLICES}) t(s)),
+told AS (SELECT *, mark IS NULL OR epoch_ms(window_start + INTERVAL 30 SECOND) > mark AS in_time FROM w JOIN marks ON slice = s)
+SELECT 'counted' AS kind, window_start, event_type, count(*) AS n, CAST(NULL AS BIGINT) AS arrival_seq
+FROM told WHERE in_time GROUP BY 2, 3
+UNION ALL SELECT 'late', window_start, event_type, 1, arrival_seq FROM told WHERE NOT in_time
+UNION ALL SELECT 'untimed', NULL, event_type, 1, arrival_seq FROM order_events WHERE "timestamp" IS NULL"""
     q["stream_orders"] = f"""WITH {R}, {sliced},
 """ + ",\n".join(latest_sql(f"(SELECT * FROM sl WHERE route = 'valid' AND slice = {i})", f"s{i}").strip() for i in range(3)) + f""",
 m AS ({merge_sql('s0', 's1')})
@@ -357,4 +387,5 @@ m AS ({merge_sql('s0', 's1')})
     q["stream_raw_archive"] = f"""WITH {A}
 SELECT event_id, order_id, event_type, "timestamp", customer_id, product_id, quantity, price, malformed, arrival_ts, arrival_seq,
        strftime(arrival_ts, '%Y-%m/%d/%H') AS partition_key FROM order_events"""
+    q["stream_clean_source"] = q["stream_raw_archive"]
     return q

@@ -29,9 +29,14 @@ PARTITION_BITS = 40  # arrival_seq = partition << 40 | offset
 def read_event_stream(spark: SparkSession, kind: str = "files", path: str | None = None,
                       bootstrap_servers: str | None = None, topic: str = KAFKA_TOPIC,
                       max_files_per_trigger: int | None = None,
-                      max_offsets_per_trigger: int | None = None) -> DataFrame:
+                      max_offsets_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """``archive_dir``: the source itself moves the files of a committed batch
+    there (below their own path) while a later batch runs, so a long-lived
+    landing folder stays short to list."""
     if kind == "files":
         r = spark.readStream.schema(WIRE_FILE_SCHEMA)
+        if archive_dir:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.parquet(path)

@@ -85,16 +85,18 @@ class ValidationSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = with_rank(decode_wire(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        # a row without an arrival has no place in the order: quarantined, no state
+        events = with_rank(decode_wire(batch)).withColumn(
+            "malformed", F.col("malformed") | F.col("arrival_ts").isNull()).persist(StorageLevel.MEMORY_AND_DISK)
         routed = None
         try:
-            span = events.agg(F.min("arrival_ts").alias("lo"), F.max("arrival_ts").alias("hi")).first()
-            if span["lo"] is None:
+            span = events.agg(F.min("arrival_ts").alias("lo"), F.max("arrival_ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+            if not span["n"]:
                 return
             done = [c for c in committed(spark, self.root) if c["batch_id"] < batch_id]
             ranks = self._state(spark, done, "ranks", RANKS, self.prior)
             seen = self._state(spark, done, "sightings", SIGHTINGS, self.prior_seen)
-            if seen is not None and self.dedup_ttl is not None:
+            if seen is not None and self.dedup_ttl is not None and span["lo"] is not None:
                 seen = seen.where(F.col("last_seen_ts") > F.lit(span["lo"]).cast("timestamp_ntz")
                                   - F.make_dt_interval(secs=F.lit(self.dedup_ttl)))
             here = events.select("order_id").where(F.col("order_id").isNotNull()).distinct()
@@ -133,10 +135,10 @@ class ValidationSink:
         last = prior_expiring_state(routed) if self.state_ttl is not None else \
             prior_state(routed).withColumn("prior_arrival_ts", F.lit(None).cast("timestamp_ntz"))
         last.write.mode("overwrite").parquet(f"{at}/ranks")
-        (routed.where(F.col("order_id").isNotNull() & F.col("event_id").isNotNull()).groupBy("order_id", "event_id")
+        (routed.where(F.col("order_id").isNotNull() & F.col("event_id").isNotNull() & F.col("arrival_ts").isNotNull()).groupBy("order_id", "event_id")
          .agg(F.max("arrival_ts").alias("last_seen_ts")).write.mode("overwrite").parquet(f"{at}/sightings"))
         base = max((c["base"] for c in done), default=-1)
-        if batch_id - base >= self.compact_every:
+        if batch_id - base >= self.compact_every and newest is not None:
             self._compact(spark, [*done, {"batch_id": batch_id, "base": base}], batch_id, newest)
             base = batch_id
         commit(spark, self.root, {"batch_id": batch_id, "base": base})
