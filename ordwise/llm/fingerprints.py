@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,6 @@ from .common import column_names, prepare, words
 BINS = 512
 BITS = 4
 SHINGLE_WORDS = 5
-CACHE_WORDS = 300_000
 #: Id ranges per shuffle partition when successors are sought.
 RANGES_PER_PARTITION = 4
 
@@ -44,23 +42,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words, cached."""
-
-    def __init__(self):
-        self._cache: dict[bytes, int] = {}
-
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        cache = self._cache
-        got = list(map(cache.get, tokens))
-        if None in got:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-            for i, h in enumerate(got):
-                if h is None:
-                    w = tokens[i]
-                    got[i] = cache[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array(got, "uint64")
+def word_hashes(tokens: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words (hashing a short word costs less than a look-up)."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, tokens)), ">u8").astype("uint64")
 
 
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -132,10 +116,10 @@ def likeness(a: np.ndarray | None, b: np.ndarray | None) -> float:
 
 class Fingerprinter:
     def __init__(self, n: int = SHINGLE_WORDS):
-        self.n, self._hash = n, WordHashes()
+        self.n = n
 
     def __call__(self, text: str) -> np.ndarray | None:
-        return signature(shingles(self._hash(words(text)), self.n))
+        return signature(shingles(word_hashes(words(text)), self.n))
 
 
 def edited(text: str, following: str) -> str:
@@ -168,12 +152,14 @@ def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, fingerprint`` of every row's whole text (null: empty)."""
     prepare(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
         make = Fingerprinter(n)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fingerprint": [pack(make(t or "")) for t in b["text"]]})
+            made = pa.array([pack(make(t or "")) for t in b.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), made], names=["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, fingerprint string")
 
 
@@ -207,12 +193,13 @@ def with_edits(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
               .repartition(parts, "r")
               .sortWithinPartitions("r", "tail", F.col("doc_id").desc_nulls_last(), "text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = Fingerprinter(n)
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        make, kinds = Fingerprinter(n), (pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())
 
         def stream():
             for b in batches:
-                yield from zip(b["r"].tolist(), b["tail"].tolist(), b["doc_id"].tolist(), b["text"].tolist())
+                yield from zip(*(b.column(k).to_pylist() for k in range(4)))
 
         def pairs():
             held = None
@@ -226,13 +213,11 @@ def with_edits(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
             doc_id, text, sig = own
             new = edited(text, following)
             new_sig = make(new)
-            return (None if pd.isna(doc_id) else int(doc_id), len(text),
-                    hashlib.sha256(new.encode()).hexdigest(),
-                    pack(sig), pack(new_sig), likeness(sig, new_sig), likeness(sig, next_sig))
+            return (doc_id, len(text), hashlib.sha256(new.encode()).hexdigest(), pack(sig), pack(new_sig), likeness(sig, new_sig), likeness(sig, next_sig))
 
         todo = (row(*p) for p in pairs())
         while part := list(islice(todo, 500)):
-            out = pd.DataFrame(part, columns=[f.split()[0] for f in _FIELDS.split(", ")])
-            yield out.astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*part), kinds)],
+                                             names=[f.split()[0] for f in _FIELDS.split(", ")])
 
-    return ranged.mapInPandas(run, _FIELDS)
+    return ranged.select("r", "tail", "doc_id", "text").mapInArrow(run, _FIELDS)

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import column_names, materialize, prepare, release, sided, words
 from .components import connected
-from .fingerprints import WordHashes, shingles
+from .fingerprints import shingles, word_hashes
 
 #: Bound of the table of frequent tokens that shapes the global order.
 FREQUENT_TOKENS = 1 << 18
@@ -76,7 +76,7 @@ def frequent(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     in a chunk of a task is not counted there."""
 
     def count(batches):
-        hashes, held, size = WordHashes(), [], 0
+        held, size = [], 0
 
         def flush():
             token, n = np.unique(np.concatenate(held), return_counts=True)
@@ -85,7 +85,7 @@ def frequent(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
 
         for b in batches:
             for text in b.column(0).to_pylist():
-                s = shingles(hashes(words(text)), n_words)
+                s = shingles(word_hashes(words(text)), n_words)
                 held.append(s)
                 size += len(s)
                 if size >= COUNT_CHUNK:
@@ -116,12 +116,11 @@ def _sets(docs: DataFrame, n_words: int, percent: int, ranks) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
-        hashes = WordHashes()
         known, count = shared.value
         for b in batches:
             h1, h2, ns, prefixes = [], [], [], []
             for text in b.column(1).to_pylist():
-                s = shingles(hashes(words(text)), n_words)
+                s = shingles(word_hashes(words(text)), n_words)
                 n = len(s)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 h1.append(int.from_bytes(digest[:8], "little", signed=True))
@@ -197,22 +196,30 @@ def _open_documents(rows: DataFrame, rest: Column, rest_of, percent: int) -> Dat
     return met.withColumn("r", r).where(F.col("s") >= F.col("r")).select("cid", "n", "part", "s", "r")
 
 
-def _candidates(index: DataFrame, classes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of classes in different components that may be similar."""
+def _candidates(index: DataFrame, classes: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs ``a, b`` of classes in different components that may be similar,
+    and the tables that they are read from; ``index`` and ``classes`` are used
+    up here."""
     parts = (index.join(label, index["cid"] == label["node"], "left")
              .select("token", "cid", "n", "p", F.coalesce("root", "cid").alias("part")))
     left = materialize(_open_documents(_between_parts(parts), F.col("n") - F.col("p"),
                                        lambda m: _least_overlap(m, percent) - 1, percent), "jaccard-open")
+    release(index)
 
     # the same with lengthened prefixes, among the documents that are left;
     # each round drops documents and with them tokens of others
     rest_of = lambda m: F.greatest(_least_overlap(m, percent) - F.greatest(F.lit(MAX_MATCH), F.ceil(m / LONG_PART)), F.lit(0))
-    held = classes.select("cid", "prefix").join(left.select("cid", "n", "part"), "cid")
+    rows = (classes.select("cid", "prefix").join(left.select("cid", "n", "part"), "cid")
+            .select("cid", "n", "part", F.explode("prefix").alias("token")))
+    kept = None
     for _ in range(OPEN_ROUNDS):
-        rows = _between_parts(held.join(left.select("cid"), "cid").select("cid", "n", "part", F.explode("prefix").alias("token")))
-        left = materialize(_open_documents(rows, rest_of(F.col("n")), rest_of, percent), "jaccard-open")
+        # a token that one part has alone stays so: the next round starts from what this one keeps
+        stored, kept = kept, materialize(_between_parts(rows), "jaccard-rows")
+        release(left, stored or classes)
+        left = materialize(_open_documents(kept, rest_of(F.col("n")), rest_of, percent), "jaccard-open")
+        rows = kept.select("cid", "n", "part", "token").join(left.select("cid"), "cid")
     # of s tokens in one order, two sets that share r have one among the first s - r + 1
-    rows = materialize(rows.join(left.select("cid", "s", "r"), "cid").withColumn(
+    rows = materialize(kept.join(left.select("cid", "s", "r"), "cid").withColumn(
         "k", F.row_number().over(Window.partitionBy("cid").orderBy("len", "token"))), "jaccard-rows")
     short = materialize(rows.where(F.col("k") <= F.col("s") - F.col("r") + 1).select("token", "cid", "n", "part"), "jaccard-short")
     x = short.select("token", *(F.col(c).alias(f"{c}1") for c in ("cid", "n", "part")))
@@ -224,9 +231,10 @@ def _candidates(index: DataFrame, classes: DataFrame, label: DataFrame, percent:
     first = shared.select(F.col("cid").alias("cid1"), F.col("tokens").alias("tokens1"))
     second = shared.select(F.col("cid").alias("cid2"), F.col("tokens").alias("tokens2"))
     need = _overlap(F.col("n1"), F.col("n2"), percent) - F.greatest(rest_of(F.col("n1")), rest_of(F.col("n2")))
+    release(kept, left)
     return (pairs.join(first, "cid1").join(second, "cid2")
             .where(F.size(F.array_intersect("tokens1", "tokens2")) >= need)
-            .select(F.col("cid1").alias("a"), F.col("cid2").alias("b")))
+            .select(F.col("cid1").alias("a"), F.col("cid2").alias("b"))), [rows, short]
 
 
 def _similar_size(n1: Column, n2: Column, percent: int) -> Column:
@@ -247,11 +255,11 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int,
     both = pairs.join(right, "b").join(left, "a")
 
     def run(batches):
-        hashes, last = WordHashes(), (None, None)
+        last = (None, None)
 
         def own_set(text, h1, h2):
             """The set, or None if the row is another text with the same id."""
-            s = shingles(hashes(words(text)), n_words)
+            s = shingles(word_hashes(words(text)), n_words)
             digest = xxhash.xxh3_128_digest(s.tobytes())
             same = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)) == (h1, h2)
             return s if same else None
@@ -281,11 +289,10 @@ def _class_tokens(wanted: DataFrame, docs: DataFrame, n_words: int) -> DataFrame
     texts = docs.join(sided(wanted, BROADCAST_DOCS), "doc_id").select("cid", "text", "h1", "h2")
 
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
             cids, tokens = [], []
             for cid, text, h1, h2 in zip(*(b.column(i).to_pylist() for i in range(4))):
-                data = shingles(hashes(words(text)), n_words).tobytes()
+                data = shingles(word_hashes(words(text)), n_words).tobytes()
                 digest = xxhash.xxh3_128_digest(data)
                 # else another text with the same id
                 if (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)) == (h1, h2):
@@ -420,16 +427,24 @@ def links(docs: DataFrame, n_words: int = 5, percent: int = 80, key: str = "doc_
     return _join(docs, n_words, percent, key, text, True)
 
 
-def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, count: bool) -> DataFrame:
+def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, count: bool,
+          spent: list[DataFrame] | None = None) -> DataFrame:
+    """``join`` or ``links``; the tables that the result is read from are
+    appended to ``spent``."""
     spark: SparkSession = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = materialize(_sets(docs, n_words, percent, frequent(docs, n_words)), "jaccard-sets")
-    members = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = (members.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-               .withColumn("cid", F.monotonically_increasing_id()))
-    classes = materialize(classes, "jaccard-classes")
-    index = _postings(classes, percent)
+    found = (sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("h1", "h2")
+             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+             .withColumn("cid", F.monotonically_increasing_id()))
+    found = materialize(found, "jaccard-found")
+    # from here on only the classes carry prefixes, and those only to the candidates
+    rows, classes = sets.select("doc_id", "h1", "h2", "n"), found.drop("prefix")
+    rows, classes = materialize(rows, "jaccard-members"), materialize(classes, "jaccard-classes")
+    release(sets)
+    members = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    index = _postings(found, percent)
 
     # one leader each: the one that leads most of a class's posting lists
     votes = index.where(F.col("leader") != F.col("cid")).groupBy("cid", "n", "leader").agg(F.count(F.lit(1)).alias("votes"))
@@ -439,13 +454,16 @@ def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, coun
     first = _verify(stars.select(F.col("leader").alias("a"), F.col("cid").alias("b")), classes, docs, n_words, percent)
     label = materialize(connected(first), "jaccard-labels")
 
-    second = _verify(_candidates(index, classes, label, percent), classes, docs, n_words, percent)
+    pairs, held = _candidates(index, found, label, percent)
+    second = _verify(pairs, classes, docs, n_words, percent)
+    release(label, *held)
 
     # documents whose rows have different texts tie their classes together
     owned = members.join(classes.select("h1", "h2", "cid"), ["h1", "h2"]).select("doc_id", "cid")
     split = owned.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where(F.col("a") != F.col("z"))
     tied = owned.join(split, "doc_id").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"))
     root = materialize(connected(first.unionByName(second).unionByName(tied)), "jaccard-roots")
+    release(first, second)
     placed = classes.join(root, classes["cid"] == root["node"], "left").select(
         "h1", "h2", "cid", "rep", F.coalesce("root", "cid").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
@@ -454,7 +472,8 @@ def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, coun
     columns = ["doc_id", F.col("n").alias("n_shingles"),
                F.when(none, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
                F.when(none, F.col("doc_id")).otherwise(F.col("class")).alias("class_id")]
-    rows = sets.select("doc_id", "h1", "h2", "n")
+    if spent is not None:
+        spent += [rows, classes, root]
     if not count:
         return rows.join(placed.drop("cid"), ["h1", "h2"], "left").select(*columns)
     own, several = _count_links(docs, owned, classes, root, n_words, percent)
@@ -462,21 +481,38 @@ def _join(docs: DataFrame, n_words: int, percent: int, key: str, text: str, coun
         *columns, F.when(none, F.lit(0)).otherwise(F.coalesce("all_links", "own_links")).cast("long").alias("n_links"))
 
 
+#: Keys of rows that their id does not name start here, above usual ids.
+SURROGATE_KEYS = 1 << 62
+
+
 def one_of_each(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest
-    id (of rows that repeat it, one). Rows with a null id all stay. Columns
-    stay as they were."""
-    joined = join(docs, n_words, percent)
-    gone, row = column_names(docs, "gone_id", "row_no")
-    others = materialize(joined.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(gone)).distinct(), "jaccard-gone")
-    kept = docs.join(sided(others, BROADCAST_DOCS), F.col("doc_id").cast("long") == F.col(gone), "left_anti")
-    again = joined.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select(F.col("doc_id").alias(gone))
-    again = materialize(again, "jaccard-again")
+    id. Rows without an id, and rows whose id also stands at another text, are
+    documents by their text: copies and near copies among them go like any
+    others, and documents with an id of their own stay before them. Of rows
+    that repeat a document one stays. Texts without words are copies of one
+    another only under one id, or without any. Columns stay as they were."""
+    key, low, high, gone = column_names(docs, "row_key", "low_hash", "high_hash", "gone_id")
+    told = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    unclear = materialize(docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias(gone))
+                          .agg(F.min(told).alias(low), F.max(told).alias(high)).where(F.col(low) != F.col(high)).select(gone), "jaccard-unclear")
+    named = F.col("doc_id").cast("long")
+    marked = docs.join(sided(unclear, BROADCAST_DOCS), named == F.col(gone), "left")
+    keyed = marked.withColumn(key, F.when(named.isNull() | F.col(gone).isNotNull(), F.shiftrightunsigned(told, 2) + F.lit(SURROGATE_KEYS))
+                              .otherwise(named)).drop(gone)
+    spent: list[DataFrame] = []
+    joined = _join(keyed, n_words, percent, key, "text", False, spent)
+    joined = materialize(joined.select(F.col("doc_id").alias(gone), "component_id"), "jaccard-joined")
+    release(*spent)
+    others = materialize(joined.where(F.col("component_id") != F.col(gone)).select(gone).distinct(), "jaccard-gone")
+    again = materialize(joined.groupBy(gone).count().where(F.col("count") > 1).select(gone), "jaccard-again")
+    release(joined)
+    kept = keyed.join(sided(others, BROADCAST_DOCS), F.col(key) == F.col(gone), "left_anti")
     if again.isEmpty():
-        return kept
-    twice = kept.join(sided(again, BROADCAST_DOCS), F.col("doc_id").cast("long") == F.col(gone), "left_semi")
-    single = kept.join(sided(again, BROADCAST_DOCS), F.col("doc_id").cast("long") == F.col(gone), "left_anti")
-    return single.unionByName(twice.dropDuplicates(["doc_id"]))
+        return kept.drop(key)
+    twice = kept.join(sided(again, BROADCAST_DOCS), F.col(key) == F.col(gone), "left_semi")
+    single = kept.join(sided(again, BROADCAST_DOCS), F.col(key) == F.col(gone), "left_anti")
+    return single.unionByName(twice.dropDuplicates([key])).drop(key)
 
 
 def oracle(n_words: int, percent: int) -> str:

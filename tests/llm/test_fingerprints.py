@@ -38,6 +38,13 @@ def test_edge_rows(spark):
     assert {r.fingerprint for r in fp.fingerprints(df).where("doc_id in (1, 6)").collect()} == {got[[g[0] for g in got].index(1)][3]}
 
 
+def test_ids_beyond_53_bits_beside_nulls(spark):
+    rows = [((1 << 60) + k, f"some text number {k}", "en", "a") for k in (1, 3)] + [(None, "a text without id", "en", "a")]
+    got = [tuple(r) for r in fp.with_edits(docs(spark, rows)).collect()]
+    assert sorted(got, key=key) == sorted(brute([r[:2] for r in rows]), key=key)
+    assert {r.doc_id for r in fp.fingerprints(docs(spark, rows)).collect()} == {r[0] for r in rows}
+
+
 def test_documents_match_brute_force(spark, sf):
     got = [tuple(r) for r in queries.op8_fingerprints(spark, sf).collect()]
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]

@@ -128,6 +128,14 @@ def test_one_of_each(spark):
     assert jaccard_join.one_of_each(empty(spark)).collect() == []
     again = docs(spark, [(1, "a b c", "en", "a")] * 3 + [(2, "", "en", "a")] * 2)
     assert sorted(r.doc_id for r in jaccard_join.one_of_each(again).collect()) == [1, 2]
+    # no id, one id at two texts: documents by their texts, behind those with an id of their own
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other, apart = text + " tail", " ".join(f"v{i}" for i in range(40)), " ".join(f"u{i}" for i in range(40))
+    rows = [(None, text, "en", "a"), (None, near, "en", "a"), (None, other, "en", "a"), (None, other, "de", "b"), (5, near, "en", "a"),
+            (7, apart, "en", "a"), (7, other, "en", "a"), (7, apart, "en", "a"), (9, text, "en", "a")]
+    got = jaccard_join.one_of_each(docs(spark, rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in got)[0] == (False, 5, near)
+    assert sorted(r.text for r in got) == sorted([near, other, apart])
 
 
 def test_components(spark):
