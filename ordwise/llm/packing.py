@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,21 +38,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS) ->
     repeated ids and null ids included; other columns are left out."""
     prepare(docs.sparkSession)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator) -> Iterator:
         from ordwise.llm.tokens import word_bpe
-        tok = word_bpe(tokenizer_path)
+        tok, kinds = word_bpe(tokenizer_path), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for b in batches:
-            ids, rows = b["doc_id"].tolist(), []
-            for doc_id, text in zip(ids, b["text"]):
+            rows = []
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 arr = np.append(tok.ids(text or ""), np.uint32(SEPARATOR_ID)).astype("<u4", copy=False)
                 for k, at in enumerate(range(0, len(arr), size)):
                     part = arr[at:at + size]
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), k, at, len(part),
-                                 zlib.crc32(part.tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes())))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)],
+                                                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, _PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, _PIECES)
 
 
 def best_fit(lengths, size: int, open_bins: int) -> tuple[list[int], list[int]]:
@@ -90,17 +90,18 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS,
          open_bins: int = OPEN_BINS, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """One row per piece with its place: ``doc_id, piece, start, length,
     ids_crc32, sequence_id, offset``. An empty table gives no rows."""
-    cut = materialize(pieces(docs, tokenizer_path, size), "pieces")
+    # the stored row number tells repeated pieces apart: they spread over all groups
+    cut = materialize(pieces(docs, tokenizer_path, size).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
 
-    def place(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["_order", "doc_id", "piece", "ids_crc32"], kind="stable")
-        bins, offsets = best_fit(b["length"].tolist(), size, open_bins)
-        b["sequence_id"] = np.asarray(bins, "int64") + (int(key[0]) << 32)
-        b["offset"] = np.asarray(offsets, "int64")
-        return b[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+    def place(key: tuple[pa.Scalar, ...], b: pa.Table) -> pa.Table:
+        b = b.sort_by([("_order", "ascending"), ("_row", "ascending")])
+        bins, offsets = best_fit(b["length"].to_pylist(), size, open_bins)
+        return (b.drop_columns(["_row", "_order", "_group"])
+                .append_column("sequence_id", pa.array(np.asarray(bins, "int64") + (key[0].as_py() << 32)))
+                .append_column("offset", pa.array(offsets, pa.int64())))
 
-    order = F.xxhash64("doc_id", "piece", "ids_crc32")
+    order = F.xxhash64("doc_id", "piece", "ids_crc32", "_row")
     return (cut.withColumn("_order", order)
             .withColumn("_group", F.pmod(order, F.lit(groups)))
-            .groupBy("_group").applyInPandas(place, _PACKED))
+            .groupBy("_group").applyInArrow(place, _PACKED))

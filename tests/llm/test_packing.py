@@ -75,6 +75,15 @@ def test_edge_rows(spark):
     assert packing.pack(empty(spark), PATH).collect() == []
 
 
+def test_ids_beyond_53_bits_beside_nulls_and_repeated_rows(spark):
+    rows = [((1 << 60) + k, f"text {k}", "en", "a") for k in (1, 3)] + [(None, "no id", "en", "a")] + [(4, "the same", "en", "a")] * 400
+    got = packing.pack(docs(spark, rows), PATH, group_pieces=40)
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=order) == sorted(expected_pieces([r[:2] for r in rows]), key=order)
+    check_places(got.collect())
+    groups = [r["count"] for r in got.groupBy((got.sequence_id / (1 << 32)).cast("long").alias("g")).count().collect()]
+    assert len(groups) > 8 and max(groups) < 80  # equal pieces spread over the groups
+
+
 def test_documents_match_brute_force_and_fill_well(spark, sf):
     got = queries.op9_best_fit_packing(spark, sf).collect()
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
