@@ -27,7 +27,7 @@ from .common import prepare
 #: Document counts are stored in buckets of the key's hash.
 BUCKETS = 32
 
-_STATE = "key string, bucket int, source string, lang string, tokenizer string, n_tokens long, live boolean, batch_no long"
+_STATE = "key string, bucket int, source string, lang string, tokenizer string, n_tokens long, copies long, batch_no long"
 _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 _COMMIT = "batch_id string, batch_no long, attempt string"
 
@@ -65,6 +65,15 @@ class TokenRollup:
         rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/*").collect()
         return sorted(rows, key=lambda r: r["batch_no"])
 
+    def _taken(self) -> list[int]:
+        """Numbers of all commit folders, those of writers that died included."""
+        if not self._exists(f"{self.root}/commits"):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits")
+        names = [st.getPath().getName() for st in p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+        return [int(n) for n in names if n.isdigit()]
+
     def _committed(self, kind: str, schema: str) -> DataFrame:
         paths = [f"{self.root}/attempts/{c['attempt']}/{kind}" for c in self.commits()]
         if not paths:
@@ -72,10 +81,11 @@ class TokenRollup:
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/attempts").parquet(*paths)
 
     def documents(self) -> DataFrame:
-        """The live count of every document: its row of the latest batch."""
-        last = F.max_by(F.struct("source", "lang", "tokenizer", "n_tokens", "live"), "batch_no").alias("s")
+        """The live count of every document: its row of the latest batch.
+        ``copies`` is 1, for a text without id the number of its rows."""
+        last = F.max_by(F.struct("source", "lang", "tokenizer", "n_tokens", "copies"), "batch_no").alias("s")
         return (self._committed("state", _STATE).groupBy("bucket", "key").agg(last)
-                .select("bucket", "key", "s.*").where("live"))
+                .select("bucket", "key", "s.*").where("copies > 0"))
 
     def apply(self, batch_id: str, changes: DataFrame, tokenizer: str, tokenizer_path: str) -> bool:
         """Apply one batch; False if it was committed before. ``changes`` has
@@ -83,39 +93,54 @@ class TokenRollup:
         and optionally ``seq``: of several rows for a document the largest seq
         counts (ties: the delete, then the smallest row in text order). Insert
         and revise both set a document's count, deleting an unknown document
-        changes nothing. A null id is keyed by its text, source and language.
-        Unknown ops raise; other columns are ignored."""
+        changes nothing. Rows without an id are documents by their text, source
+        and language (nulls differ from any value), and each row counts: an
+        insert or revise adds one, a delete takes one of them away. Unknown ops
+        raise; other columns are ignored. One writer at a time; what a writer
+        that died has left, a commit folder without a record included, is
+        never read and blocks no later batch."""
         done = self.commits()
         if any(c["batch_id"] == batch_id for c in done):
             return False
-        number = max((c["batch_no"] for c in done), default=-1) + 1
+        number = max([c["batch_no"] for c in done] + self._taken(), default=-1) + 1
         attempt = f"{number:08d}-{uuid.uuid4().hex[:12]}"
         at = f"{self.root}/attempts/{attempt}"
 
         op = F.lower("op")
         known = F.when(op.isin("insert", "delete", "revise"), op == "delete").otherwise(
             F.raise_error(F.concat(F.lit("unknown op: "), F.coalesce("op", F.lit("null")))))
-        null_key = F.concat(F.lit("text:"), F.sha2(F.concat_ws("\x1f", "source", "lang", F.coalesce("text", F.lit(""))), 256))
+        marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in ("source", "lang", "text")]
+        null_key = F.concat(F.lit("text:"), F.sha2(F.concat(*marked), 256))
         key = F.coalesce(F.concat(F.lit("id:"), F.col("doc_id").cast("string")), null_key)
         rows = changes.select(
             key.alias("key"), "source", "lang", known.alias("gone"),
             (F.col("seq").cast("long") if "seq" in changes.columns else F.lit(0).cast("long")).alias("seq"),
-            F.when(op == "delete", None).otherwise(F.col("text")).alias("text"))
+            F.when((op == "delete") & F.col("doc_id").isNotNull(), None).otherwise(F.col("text")).alias("text"))
         rank = F.struct("seq", "gone", F.struct(*(F.coalesce(c, F.lit("")) for c in ("source", "lang")), "n_tokens"))
+        lone = F.col("key").startswith("text:")
         new = (counted(rows, tokenizer_path).groupBy("key")
-               .agg(F.max_by(F.struct("source", "lang", "n_tokens", "gone"), rank).alias("s"))
-               .select("key", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket"),
-                       "s.source", "s.lang", F.lit(tokenizer).alias("tokenizer"), "s.n_tokens",
-                       (~F.col("s.gone")).alias("live"), F.lit(number).cast("long").alias("batch_no")))
+               .agg(F.max_by(F.struct("source", "lang", "n_tokens", "gone"), rank).alias("s"),
+                    F.sum(F.when(F.col("gone"), -1).otherwise(1)).alias("change"))
+               .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")))
+        # an id is there or not; of a text without id the rows are counted on
+        held = self.documents() if done else self.spark.createDataFrame([], _STATE)
+        before = held.where(lone).select("bucket", "key", F.col("copies").alias("before")).hint("merge")
+        new = new.join(before, ["bucket", "key"], "left")
+        copies = F.when(lone, F.greatest(F.lit(0), F.coalesce("before", F.lit(0)) + F.col("change"))) \
+            .otherwise(F.when(F.col("s.gone"), 0).otherwise(1))
+        new = new.select("key", "bucket", "s.source", "s.lang", F.lit(tokenizer).alias("tokenizer"), "s.n_tokens",
+                         copies.cast("long").alias("copies"), F.lit(number).cast("long").alias("batch_no"))
         new.write.parquet(f"{at}/state")
         new = self.spark.read.schema(_STATE).parquet(f"{at}/state")
 
-        plus = new.where("live").select("source", "lang", "tokenizer", F.lit(1).alias("n_docs"), "n_tokens")
-        deltas = plus
+        def signed(rows: DataFrame, sign: int) -> DataFrame:
+            return rows.select("source", "lang", "tokenizer", (sign * F.col("copies")).alias("n_docs"),
+                               (sign * F.col("copies") * F.col("n_tokens")).alias("n_tokens"))
+
+        deltas = signed(new.where("copies > 0"), 1)
         if done:
-            old = self.documents().join(new.select("bucket", "key"), ["bucket", "key"], "left_semi")
-            deltas = plus.unionByName(old.select("source", "lang", "tokenizer", F.lit(-1).alias("n_docs"),
-                                                 (-F.col("n_tokens")).alias("n_tokens")))
+            old = held.join(new.select("bucket", "key").hint("merge"), ["bucket", "key"], "left_semi")
+            deltas = deltas.unionByName(signed(old, -1))
         (deltas.groupBy("source", "lang", "tokenizer")
          .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
          .write.parquet(f"{at}/deltas"))

@@ -63,7 +63,7 @@ def test_edge_rows(spark, tmp_path):
     rollup = TokenRollup(spark, str(tmp_path))
     df = docs(spark).withColumn("op", F.lit("insert"))
     assert rollup.apply("b", df, "w1", WORD)
-    rows = {(r.doc_id, r.text if r.doc_id is None else None): r for r in df.collect()}
+    rows = {(r.doc_id, k if r.doc_id is None else None): r for k, r in enumerate(df.collect())}
     want: Counter = Counter()
     for r in rows.values():
         want[r.source, r.lang] += word_bpe(WORD).count(r.text or "")
@@ -72,6 +72,26 @@ def test_edge_rows(spark, tmp_path):
     assert rollup.apply("none", empty(spark).withColumn("op", F.lit("insert")), "w1", WORD) and totals(rollup) == before
 
 
+def test_rows_without_id_are_counted_each(spark, tmp_path):
+    rollup = TokenRollup(spark, str(tmp_path))
+    rows = [("insert", None, "t", "s", None, 0), ("insert", None, "t", None, "s", 0), ("insert", None, "t", "s", None, 1)]
+    assert rollup.apply("b1", changes(spark, rows), "w1", WORD)
+    assert totals(rollup) == {("s", None, "w1"): (2, 2), (None, "s", "w1"): (1, 1)}
+    assert rollup.apply("b2", changes(spark, [("delete", None, "t", "s", None, 0)] + [("delete", None, "t", None, "s", 0)] * 3), "w1", WORD)
+    assert totals(rollup) == {("s", None, "w1"): (1, 1)}
+    assert rollup.apply("b3", changes(spark, [("insert", None, "t", "s", None, 0)] * 4), "w2", WORD)
+    assert totals(rollup) == {("s", None, "w2"): (5, 5)}
+
+
+def test_a_commit_folder_of_a_dead_writer_blocks_nothing(spark, tmp_path):
+    rollup = TokenRollup(spark, str(tmp_path))
+    assert rollup.apply("b1", changes(spark, [("insert", 1, "a b", "s", "en", 0)]), "w1", WORD)
+    (tmp_path / "commits" / "00000001" / "_temporary").mkdir(parents=True)
+    for _ in range(2):
+        rollup.apply("b2", changes(spark, [("insert", 2, "c", "s", "en", 0)]), "w1", WORD)
+    assert totals(rollup) == {("s", "en", "w1"): (2, 3)} and len(rollup.commits()) == 2
+
+
 def test_query_matches_a_recount(spark, sf):
     want: dict = {}
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
