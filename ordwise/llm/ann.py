@@ -31,7 +31,7 @@ PART_ROWS = 250
 GRAPH_NEIGHBOURS = 10
 #: Recall that routing must reach on the sample.
 TARGET_RECALL = 0.95
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+BLOCK_ROWS, BLOCK_QUERIES = 4096, 8192
 
 
 def partition_graph(neighbours: np.ndarray, parts: int, seed: int = 5, sweeps: int = 30) -> np.ndarray:
@@ -108,7 +108,14 @@ class Router:
         return np.maximum(x @ self.w[0] + self.w[1], 0) @ self.w[2] + self.w[3]
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest entry to one half or
+    more: cosines stay exactly the same and squares neither over- nor underflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -180,30 +187,36 @@ def search(vectors: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector
                 order = np.zeros((len(b), 1), int)
             else:
                 order = np.argsort(-router(_unit(np.stack(b["v"].to_list()).astype(float))), axis=1, kind="stable")
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "parts": list(order[:, :probes].astype("int32"))})
+            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "parts": list(order.astype("int32"))})
 
     routed = materialize(rows.mapInPandas(route, "vec_id long, v array<double>, parts array<int>"), "ann-routed")
-    queries = routed.where(is_query)
     # a row per part: sizes decide how many blocks the part is cut into
-    blocks = {r["p"]: -(-r["n"] // BLOCK_ROWS) for r in routed.groupBy(F.col("parts")[0].alias("p")).agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    cuts = F.create_map(*(F.lit(int(x)) for kv in sorted(blocks.items()) for x in kv))
-    query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-
-    salt = F.xxhash64("vec_id", F.lit("block"))
-    # each block of rows meets every block of the queries routed to its part
-    filed = (routed.select("vec_id", "v", F.col("parts")[0].alias("p"))
-             .withColumn("b", F.pmod(salt, cuts[F.col("p")]))
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-    asked = (queries.select(F.col("vec_id").alias("query_id"), "v", F.explode("parts").alias("p"))
-             .where(cuts[F.col("p")].isNotNull())
-             .withColumn("qb", F.pmod(F.xxhash64("query_id", F.lit("query")), F.lit(query_blocks)).cast("int"))
-             .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), cuts[F.col("p")].cast("long") - 1))))
+    sizes = {r["p"]: r["n"] for r in routed.groupBy(F.col("parts")[0].alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    of = lambda table: F.create_map(*(F.lit(int(x)).cast("long") for kv in sorted(table.items()) for x in kv))
+    size, cuts = of(sizes), of({p: -(-n // BLOCK_ROWS) for p, n in sizes.items()})
+    # a query goes on to further parts until those it asks hold its neighbours and itself
+    asks = F.aggregate("parts", F.struct(F.lit(0).alias("m"), F.lit(0).cast("long").alias("s")), lambda acc, p: F.when(
+        (acc["m"] < probes) | (acc["s"] <= k),
+        F.struct((acc["m"] + 1).alias("m"), (acc["s"] + F.coalesce(F.try_element_at(size, p.cast("long")), F.lit(0))).alias("s"))).otherwise(acc))["m"]
+    asked = (routed.where(is_query).select(F.col("vec_id").alias("query_id"), "v", F.explode(F.slice("parts", F.lit(1), asks)).alias("p"))
+             .withColumn("p", F.col("p").cast("long")).where(cuts[F.col("p")].isNotNull()))
+    # a row per part: each part's queries are cut by themselves
+    per_part = {r["p"]: -(-r["n"] // BLOCK_QUERIES) for r in asked.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not per_part:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    query_cuts = of(per_part)
+
+    # each block of a part's rows meets every block of the queries that ask the part
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    filed = (routed.select("vec_id", "v", F.col("parts")[0].cast("long").alias("p")).where(query_cuts[F.col("p")].isNotNull())
+             .withColumn("b", F.pmod(F.xxhash64("vec_id", F.lit("block")), cuts[F.col("p")])).withColumn("qb", upto(query_cuts[F.col("p")])))
+    asked = (asked.withColumn("qb", F.pmod(F.xxhash64("query_id", F.lit("query")), query_cuts[F.col("p")]))
+             .withColumn("b", upto(cuts[F.col("p")])))
 
     def nearest(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x, y = np.stack(c["v"].to_list()).astype(float), np.stack(q["v"].to_list()).astype(float)
+        x, y = (_scaled(np.stack(d["v"].to_list()).astype(float)) for d in (c, q))
         ids, nx, ny = c["vec_id"].to_numpy(), np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
         out = []
         for at in range(0, len(y), 256):
@@ -220,7 +233,6 @@ def search(vectors: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     on = ("p", "b", "qb")
-    filed, asked = (d.withColumn("b", F.col("b").cast("long")).withColumn("qb", F.col("qb").cast("int")) for d in (filed, asked))
     found = asked.groupBy(*on).cogroup(filed.groupBy(*on)).applyInPandas(nearest, _FOUND)
     from pyspark.sql import Window
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -81,3 +81,23 @@ def test_partition_is_balanced_and_cuts_few_edges():
     assert np.bincount(part, minlength=8).max() <= np.ceil(1200 / 8 * 1.05)
     cut = (part[near] != part[:, None]).mean()
     assert cut < 0.6 * (1 - 1 / 8)
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200])
+def test_very_large_and_small_entries(spark, scale):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    want = brute(rows, lambda i: i % 10 == 0, 5)
+    df = spark.createDataFrame([(i, [c * scale for c in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    got = found(ann.search(df, F.pmod("vec_id", F.lit(10)) == 0))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(abs(a[1] - b[1]) < 1e-9 for q in want for a, b in zip(got[q], want[q]))
+
+
+def test_queries_go_on_until_their_parts_hold_enough(spark, monkeypatch):
+    """One probe, and parts with a row or two: each query still gets its neighbours."""
+    monkeypatch.setattr(ann, "fit", lambda sample, k: (lambda x: np.where(np.arange(20) == (np.abs(x[:, :1]) * 1000).astype(int) % 20, 1.0, 0.0), 20, 1))
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(30, 4)))]
+    got = found(ann.search(table(spark, rows), F.pmod("vec_id", F.lit(3)) == 0))
+    assert len(got) == 10 and all(len(v) == 5 for v in got.values())
