@@ -27,7 +27,8 @@ from .common import append_columns, column_names, labelled_sample, materialize,
 
 SAMPLE_ROWS = 8000
 THRESHOLD = 0.5
-#: Share of the document's own evidence a site may shift (log-odds bound).
+#: Most that a site's posterior may shift a document's log-odds, either way: a
+#: site alone does not decide (1.5 takes a probability of 0.18 to one half).
 MAX_SHIFT = 1.5
 BROADCAST_PATHS = 20_000
 
@@ -138,16 +139,21 @@ def site_posteriors(seen: DataFrame, host: str, path: str, log_odds: str) -> Dat
 
 def combine(seen: DataFrame, sites: DataFrame, host: str, path: str, log_odds: str, out: str) -> DataFrame:
     """Posterior probability per row of ``seen``, as column ``out``; the
-    sites' columns come along as ``host_rate, path_rate``."""
-    s = sided(sites.select(*(F.col(c).alias(f"_site_{c}") for c in sites.columns)), BROADCAST_PATHS)
-    joined = seen.join(s, F.col(host).eqNullSafe(F.col("_site_host")) & F.col(path).eqNullSafe(F.col("_site_path")), "left")
-    post = 1 / (1 + F.exp(-(F.col(log_odds) + F.coalesce(F.col("_site_shift"), F.lit(0.0)))))
+    sites' columns come along under names that ``seen`` does not have."""
+    names = dict(zip(sites.columns, column_names(seen, *(f"_site_{c}" for c in sites.columns))))
+    s = sided(sites.select(*(F.col(c).alias(n) for c, n in names.items())), BROADCAST_PATHS)
+    joined = seen.join(s, F.col(host).eqNullSafe(F.col(names["host"])) & F.col(path).eqNullSafe(F.col(names["path"])), "left")
+    post = 1 / (1 + F.exp(-(F.col(log_odds) + F.coalesce(F.col(names["shift"]), F.lit(0.0)))))
     return joined.withColumn(out, post)
 
 
 def predictions(docs: DataFrame, model: Logistic, host: str = "source", path: str = "lang") -> DataFrame:
     """``doc_id, host, path, evidence, host_rate, path_rate, score, predicted``
-    per row. The texts are read once; only narrow rows are kept and joined."""
+    per row. The texts are read once; only narrow rows are kept and joined.
+    Null and empty texts are scored as texts without words; null hosts and
+    paths are sites like any other; repeated rows and null ids give a row each
+    and count each in their site; other columns are left out; an empty table
+    gives no rows."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).alias("host"),
                          F.col(path).alias("path"), "text")
     seen = materialize(evidence(narrow, model, "evidence").drop("text"), "quality-evidence")

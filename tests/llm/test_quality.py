@@ -72,3 +72,12 @@ def test_edge_rows(spark, monkeypatch):
     assert quality.keep_good(empty(spark), model).collect() == []
     bare = quality.fit(df, labels(spark, []))
     assert quality.predictions(df, bare).where(F.col("score").isNull()).count() == 0
+
+
+def test_columns_named_as_the_sites_own(spark, sf):
+    given = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    model = quality.fit(given, spark.read.parquet(f"{sf}/labels.parquet"))
+    df = given.withColumn("_site_host", F.lit("x")).withColumn("_SITE_shift", F.lit(9.0))
+    kept = quality.keep_good(df, model)
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.keep_good(given, model).collect()}
