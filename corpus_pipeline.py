@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordwise.llm import jaccard_join, mixing, packing, quality, toxicity
-from ordwise.llm.common import materialize, prepare, table
+from ordwise.llm.common import materialize, prepare, release, table
 from ordwise.llm.queries import tokenizer
 
 
@@ -50,6 +50,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and reread."""
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
+    stored = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if stored:
+            release(stored)
+        stored = docs
     return STAGES[-1][1](spark, docs, sf_dir)
