@@ -1,14 +1,19 @@
 """Licence scan: a trained paragraph classifier with template confirmation.
 
-Paragraphs (lines) that hold a licence word are classified by multinomial
-logistic regression over sparse word n-grams (one and two words). The model is
-trained when the scan is planned, on a fixed labelled table: its features come
-from the same column expressions that the scan uses. Probabilities are
+Paragraphs (lines, and blank-line blocks of several lines) are classified by
+multinomial logistic regression over sparse word n-grams (one and two words).
+The model is trained when the scan is planned, on a fixed labelled table: its
+features come from the same column expressions that the scan uses, and an
+absolute-value penalty leaves most weights at zero. Probabilities are
 calibrated on left-out paragraphs (Platt scaling of the winning family's
 log-odds); below an even chance the family is ``unknown``. A prediction is
 confirmed if most of the paragraph's three-word shingles, or of a template's,
 are shared between the two.
 
+Paragraphs without any of the model's ``signs`` are not scored, because their
+class is known: the signs are chosen from the weights so that no paragraph
+without one can score any class above ``none`` (``signs_of``).
+
 The scan is built-in functions in one projection over the documents, with no
 shuffle, join or Python: the weights and templates are literals whose size
 depends on the labelled table only.
@@ -18,24 +23,21 @@ from __future__ import annotations
 
 import json
 from functools import lru_cache
+from textwrap import wrap
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare
-from .license_texts import NONE, TEMPLATES, UNKNOWN
+from .license_texts import NONE, STOP_WORDS, TEMPLATES, UNKNOWN
 
 FAMILIES = list(TEMPLATES)
 CLASSES = [*FAMILIES, "unknown", "none"]
-#: A paragraph without any of these beginnings of words is no licence text.
-TRIGGER = r"(?i)\b(?:licen[cs]|copyright|copyleft|permi(?:ssion|tted)|warrant|redistribut|sublicens|spdx|gnu\b|a?gpl|lgpl|" \
-          r"apache|mozilla|mpl\b|creative commons|cc[ -]by|cc0|public domain|unencumbered|rights reserved|proprietary|" \
-          r"all copies|endorse|commercial purposes)"
 #: Least share of shared shingles that confirms a family.
 CONFIRM = 0.6
-#: n-grams with smaller weights for every class are left out.
-MIN_WEIGHT = 0.05
+#: Weight of the absolute-value penalty.
+PENALTY = 0.03
 
 
 def tokens(paragraph: Column) -> Column:
@@ -59,17 +61,20 @@ def shingles(words: Column) -> Column:
     return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
-def _softmax_regression(x: np.ndarray, y: np.ndarray, k: int, ridge: float = 0.02, steps: int = 400) -> np.ndarray:
-    """Weights (features + bias, classes) by gradient steps with momentum."""
+def _softmax_regression(x: np.ndarray, y: np.ndarray, k: int, steps: int = 600) -> np.ndarray:
+    """Weights (features + bias, classes) by accelerated proximal gradient
+    steps; the bias carries no penalty."""
     x = np.column_stack([x, np.ones(len(x))])
-    w, speed, onehot = np.zeros((x.shape[1], k)), 0.0, np.eye(k)[y]
+    w, onehot = np.zeros((x.shape[1], k)), np.eye(k)[y]
+    ahead, t, rate = w, 1.0, 2 * len(x) / np.linalg.norm(x, 2) ** 2
     for _ in range(steps):
-        z = x @ w
+        z = x @ ahead
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        grad = x.T @ (p - onehot) / len(x) + ridge / len(x) * np.vstack([w[:-1], np.zeros((1, k))])
-        speed = 0.9 * speed - 1.0 * grad
-        w = w + speed
+        new = ahead - rate * (x.T @ (p - onehot) / len(x))
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * PENALTY / len(x), 0)
+        t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead, w = new + (before - 1) / t * (new - w), new
     return w
 
 
@@ -83,10 +88,43 @@ def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class Model:
-    """``weights``: n-gram -> weight per class; ``bias``; Platt ``a, b``."""
+    """``weights``: n-gram -> weight per class; ``bias``; Platt ``a, b``;
+    ``signs``: words of which every paragraph of another class than ``none``
+    has one."""
 
     def __init__(self, weights: dict[str, list[float]], bias: list[float], a: float, b: float):
         self.weights, self.bias, self.a, self.b = weights, bias, a, b
+        self.signs = signs_of(weights, bias)
+
+
+def signs_of(weights: dict[str, list[float]], bias: list[float]) -> list[str]:
+    """Words chosen so that ``none`` wins wherever all of them are missing.
+
+    A paragraph of ``m`` n-grams, ``j`` of them in the model, scores class
+    ``c`` over ``none`` by ``bias[c] - bias[none]`` and the sum of ``j``
+    differences of weights over ``sqrt(m)``, hence by at most the ``j`` largest
+    ones over ``sqrt(j)``. Words are added, each time for the class whose bound
+    is highest, and the n-grams that hold them left out, until the bounds of
+    all classes, for every ``j``, are below zero."""
+    grams = sorted(weights)
+    w, none = np.array([weights[g] for g in grams]), len(CLASSES) - 1
+    over, lead = w - w[:, [none]], np.array(bias) - bias[none]
+    parts, left, out = [g.split(" ") for g in grams], np.ones(len(grams), bool), []
+    while True:
+        best = np.sort(np.maximum(over[left], 0), 0)[::-1].cumsum(0)
+        bound = lead + (best / np.sqrt(np.arange(1, len(best) + 1))[:, None]).max(0, initial=0)
+        bound[none] = -np.inf
+        worst = int(bound.argmax())
+        if bound[worst] < -1e-6:
+            return out
+        gain: dict[str, float] = {}
+        for j in np.flatnonzero(left & (over[:, worst] > 0)):
+            for word in set(parts[j]) - STOP_WORDS:
+                gain[word] = gain.get(word, 0.0) + over[j, worst] ** 2
+        if not gain:
+            raise ValueError(f"the model takes an ordinary paragraph for {CLASSES[worst]}")
+        out.append(max(gain, key=lambda word: (gain[word], word)))
+        left &= np.array([out[-1] not in p for p in parts])
 
 
 _MODELS: dict[str, Model] = {}
@@ -97,18 +135,26 @@ def fit(spark: SparkSession) -> Model:
     app = spark.sparkContext.applicationId
     if app not in _MODELS:
         rows = [(c, t) for c, ts in [*TEMPLATES.items(), ("unknown", UNKNOWN), ("none", NONE)] for t in ts]
-        # whole paragraphs, their first halves, and two in a row as on one line
+        labelled = len(rows)
+        # whole paragraphs, their beginnings, their lines as files wrap them, and two in a row as on one line
+        wrapped = [(c, line) for c, t in rows if len(t) > 80 for line in wrap(t, 72) if len(line) > 40]
         rows += [(c, " ".join(t.split()[:max(4, len(t.split()) * 2 // 3)])) for c, t in rows if len(t.split()) > 6]
+        rows += wrapped
+        # what is licensed says nothing about how
+        rows += [(c, f"{subject} {t[0].lower()}{t[1:]}") for c, t in rows[:labelled] for subject in ("This file is", "The code is", "It is")
+                 if t.startswith(("Licensed", "Released", "Distributed"))]
+        # ordinary text is also what says nothing
+        rows += [("none", t) for t in ("", " ".join(sorted(STOP_WORDS)))]
         rows += [(c, f"{ts[i]} {ts[i + 1]}") for c, ts in TEMPLATES.items() for i in range(len(ts) - 1)]
         # the labelled rows as literals: the same expressions as in the scan, no Python on executors
         lit = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(t).alias("t")) for i, (_, t) in enumerate(rows)))
         found = spark.range(1).select(F.explode(lit).alias("r")).select(
             "r.i", ngrams(tokens(F.col("r.t"))).alias("g")).collect()
         grams = {r["i"]: r["g"] for r in found}
-        vocabulary = {g: j for j, g in enumerate(sorted({g for v in grams.values() for g in v}))}
+        vocabulary = {g: j for j, g in enumerate(sorted({g for v in grams.values() for g in v if set(g.split(" ")) - STOP_WORDS}))}
         x, y = np.zeros((len(rows), len(vocabulary))), np.array([CLASSES.index(c) for c, _ in rows])
         for i, gs in grams.items():
-            x[i, [vocabulary[g] for g in gs]] = 1 / np.sqrt(max(1, len(gs)))
+            x[i, [vocabulary[g] for g in gs if g in vocabulary]] = 1 / np.sqrt(max(1, len(gs)))
         order = np.arange(len(rows)) * 7919 % 5
         odds, right = [], []
         for fold in range(5):
@@ -122,7 +168,7 @@ def fit(spark: SparkSession) -> Model:
             right.append(top == y[out])
         a, b = _platt(np.concatenate(odds), np.concatenate(right).astype(float))
         w = _softmax_regression(x, y, len(CLASSES))
-        keep = {g: [round(float(v), 4) for v in w[j]] for g, j in vocabulary.items() if np.abs(w[j]).max() >= MIN_WEIGHT}
+        keep = {g: [round(float(v), 4) for v in w[j]] for g, j in vocabulary.items() if np.abs(w[j]).max() >= 5e-5}
         _MODELS[app] = Model(keep, [round(float(v), 4) for v in w[-1]], a, b)
     return _MODELS[app]
 
@@ -148,10 +194,11 @@ def classify(paragraph: Column, model: Model) -> Column:
     """``struct(family, probability, similarity, confirmed)`` of one paragraph."""
     k, f = len(CLASSES), len(FAMILIES)
     weights = _literal(model.weights, "map<string,array<double>>")
+    known_grams = _literal(sorted(model.weights), "array<string>")
     templates = _literal(_template_runs(), "map<string,array<array<string>>>")
 
     def scores(grams: Column) -> Column:
-        known = F.filter(F.transform(grams, lambda g: F.try_element_at(weights, g)), lambda w: w.isNotNull())
+        known = F.transform(F.array_intersect(grams, known_grams), lambda g: F.try_element_at(weights, g))
         total = F.aggregate(known, F.array_repeat(F.lit(0.0), k), lambda acc, w: F.zip_with(acc, w, lambda p, q: p + q))
         scale = F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double"))
         return F.zip_with(total, F.array(*map(F.lit, model.bias)), lambda t, b: t / scale + b)
@@ -163,7 +210,7 @@ def classify(paragraph: Column, model: Model) -> Column:
                            F.lit(0.0), lambda p, q: p + q)
         p = 1 / (1 + F.exp(-(F.lit(model.a) * -F.log(rest) + F.lit(model.b))))
         none = F.element_at(z, k) > F.greatest(best, F.element_at(z, k - 1))
-        family = F.when(p >= 0.5, F.element_at(F.array(*map(F.lit, FAMILIES)), at)).when(none, "none").otherwise("unknown")
+        family = F.when(none, "none").when(p >= 0.5, F.element_at(F.array(*map(F.lit, FAMILIES)), at)).otherwise("unknown")
         return F.struct(family.alias("family"), p.alias("probability"))
 
     def let(value: Column, then) -> Column:
@@ -185,26 +232,50 @@ def classify(paragraph: Column, model: Model) -> Column:
     return let(tokens(paragraph), compare)
 
 
+def sign_pattern(model: Model) -> str:
+    """A pattern that finds, in lower-case text, every token that is a sign.
+    A token may follow a digit ("2.0mit"), one with a dot may precede a letter."""
+    plain = "|".join(sorted(s for s in model.signs if "." not in s))
+    dotted = "|".join(sorted(s.replace(".", r"\.") for s in model.signs if "." in s))
+    return rf"(?<!\p{{L}})(?:(?:{plain})(?![\p{{L}}\p{{N}}])" + (rf"|(?:{dotted}))" if dotted else ")")
+
+
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: its id, the number of paragraphs, the
-    findings in page order (paragraph number from 1, family, probability,
-    similarity to the nearest template of the family, confirmed), and the
-    family of the surest confirmed finding, else of the surest one (ties: the
+    """One row per row of ``docs``: its id, the number of paragraphs (lines),
+    the findings in page order (paragraph number from 1, family, probability,
+    similarity to the nearest template of the family, confirmed), the same for
+    blocks of several lines between blank lines (``block_findings``, block
+    number from 1: a notice that is wrapped over lines), and the family of the
+    surest confirmed finding, else of the surest one (ties: lines, then the
     first); null without findings. ``unknown`` findings never confirm. A null
     or empty text has no paragraph; other columns are left out."""
     prepare(docs.sparkSession)
     model = fit(docs.sparkSession)
+    signs = sign_pattern(model)
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.when(body.rlike(TRIGGER), F.split(body, "\n")).otherwise(F.array().cast("array<string>"))
-    numbered = F.filter(F.transform(lines, lambda p, i: F.struct((i + 1).alias("paragraph"), p.alias("p"))),
-                        lambda r: r["p"].rlike(TRIGGER))
-    found = F.filter(F.transform(numbered, lambda r: F.struct(
-        r["paragraph"].alias("paragraph"), classify(r["p"], model).alias("c"))), lambda r: r["c"]["family"] != "none")
-    flat = F.transform(found, lambda r: F.struct(
-        r["paragraph"].alias("paragraph"), r["c"]["family"].alias("family"), r["c"]["probability"].alias("probability"),
-        r["c"]["similarity"].alias("similarity"), r["c"]["confirmed"].alias("confirmed")))
+    item = "array<struct<at:int,p:string>>"
+
+    def found(pieces: Column, at: str) -> Column:
+        numbered = F.filter(F.transform(pieces, lambda p, i: F.struct((i + 1).alias("at"), p.alias("p"))),
+                            lambda r: F.lower(r["p"]).rlike(signs))
+        numbered = F.when(F.lower(body).rlike(signs), numbered).otherwise(F.array().cast(item))
+        judged = F.filter(F.transform(numbered, lambda r: F.struct(
+            r["at"].alias("at"), classify(r["p"], model).alias("c"))), lambda r: r["c"]["family"] != "none")
+        return F.transform(judged, lambda r: F.struct(
+            r["at"].alias(at), r["c"]["family"].alias("family"), r["c"]["probability"].alias("probability"),
+            r["c"]["similarity"].alias("similarity"), r["c"]["confirmed"].alias("confirmed")))
+
+    # a block of one line is that line: judged once, there
+    blocks = F.transform(F.split(body, r"\n(?:[ \t\r]*\n)+"), lambda b: F.trim(b, F.lit("\n")))
+    blocks = F.transform(blocks, lambda b: F.when(F.contains(b, F.lit("\n")), b).otherwise(""))
     n = F.when(F.length(body) > 0, F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).otherwise(0)
-    surest = F.element_at(F.array_sort(F.transform(F.col("findings"), lambda r: F.struct(
-        (~r["confirmed"]).alias("a"), (-r["probability"]).alias("b"), r["paragraph"].alias("p"), r["family"].alias("family")))), 1)
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), n.alias("n_paragraphs"), flat.alias("findings"))
-            .withColumn("family", F.when(F.size("findings") > 0, surest["family"])))
+
+    def order(column: str, at: str, level: int) -> Column:
+        return F.transform(F.col(column), lambda r: F.struct(
+            (~r["confirmed"]).alias("a"), (-r["probability"]).alias("b"), F.lit(level).alias("l"), r[at].alias("p"),
+            r["family"].alias("family")))
+
+    surest = F.array_min(F.concat(order("findings", "paragraph", 0), order("block_findings", "block", 1)))
+    return (docs.select(F.col(key).cast("long").alias("doc_id"), n.alias("n_paragraphs"),
+                        found(F.split(body, "\n"), "paragraph").alias("findings"), found(blocks, "block").alias("block_findings"))
+            .withColumn("family", surest["family"]))

@@ -1,7 +1,21 @@
 """Labelled paragraphs for the licence classifier, and one template set per
 family. Short notices and key sentences of well-known public licences; the
 last two classes are licence-like text of no family, and ordinary text that
-uses licence words."""
+uses licence words. Words without meaning of their own (``STOP_WORDS``) are no
+feature by themselves."""
+
+#: Common words of English, German, French and Spanish.
+STOP_WORDS = frozenset("""
+a an and any are as at be been by can could do does for from had has have he her his i if in into is it its may more my no
+not of on one or other our out she shall so some such than that the their them then there these they this to under up use was
+we were what when where which who will with would you your
+als am auch auf aus bei das dass dem den der des die durch ein eine einem einen einer er es für hat ich im ist mit nach
+nicht noch nur oder sich sie sind so um und unter von vor war wie wir zu zum zur
+au aux avec ce ces cette dans de des du elle en est et il la le les leur mais ne ou où par pas plus pour qu que qui sa se ses
+son sont sous sur un une
+al bajo como con del donde el ella entre era es esta este ha hay las lo los más me muy ni nos o para pero por se ser si sin
+sobre su sus también todo un una y ya
+""".split()) - {"mit", "sa"}  # names in licences
 
 TEMPLATES: dict[str, list[str]] = {
     "apache-2.0": [
@@ -12,6 +26,9 @@ TEMPLATES: dict[str, list[str]] = {
         "See the License for the specific language governing permissions and limitations under the License.",
         "This project is released under the Apache 2.0 license.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Lizenziert unter der Apache-Lizenz, Version 2.0.",
+        "Sous licence Apache, version 2.0.",
+        "Bajo la licencia Apache, versión 2.0.",
     ],
     "mit": [
         "Released under the MIT License.",
@@ -21,6 +38,13 @@ TEMPLATES: dict[str, list[str]] = {
         "This code is MIT licensed.",
         "Distributed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
+        "Licensed under the MIT/X11 terms.",
+        "The software is provided \"as is\", without warranty of any kind.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\"",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY.",
+        "Veröffentlicht unter der MIT-Lizenz.",
+        "Publié sous licence MIT.",
+        "Publicado bajo la licencia MIT.",
     ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -30,6 +54,9 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the GPL v3 license.",
         "Licensed under the GNU GPL, version 3 or later.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Lizenziert unter der GNU GPL, Version 3.",
+        "Sous licence publique générale GNU, version 3.",
+        "Bajo la licencia pública general de GNU, versión 3.",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
@@ -49,6 +76,7 @@ TEMPLATES: dict[str, list[str]] = {
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Neither the name of the University nor the names of its contributors may be used to endorse or promote products.",
         "Licensed under the BSD 3-Clause License.",
         "Released under the BSD license.",
         "SPDX-License-Identifier: BSD-3-Clause",
@@ -92,6 +120,9 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "proprietary": [
         "All rights reserved.",
+        "Alle Rechte vorbehalten.",
+        "Tous droits réservés.",
+        "Todos los derechos reservados.",
         "Copyright 2020 Example Inc. All rights reserved.",
         "No part of this publication may be reproduced or transmitted in any form without the prior written permission of the publisher.",
         "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",

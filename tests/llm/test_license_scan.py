@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import re
+import textwrap
 
 import pytest
 from edge_rows import docs, empty
@@ -36,6 +38,68 @@ def test_unknown_and_ordinary_text(spark):
     assert not any(f.confirmed for r in got.values() for f in r.findings)
 
 
+PROBES = ["MIT-Lizenz", "Alle Rechte vorbehalten", "Tous droits réservés", "Todos los derechos reservados", "under the MIT/X11 terms",
+          'THE SOFTWARE IS PROVIDED "AS IS"', "IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR DAMAGES", "Neither the name of the University",
+          "You may copy this text for your own use if you keep this notice."]
+
+
+def test_paragraphs_without_usual_licence_words_are_found(spark):
+    got = scan(spark, PROBES + ["So it goes.\n" + p + "\nNothing more." for p in PROBES])
+    families = [*["mit"], *["proprietary"] * 3, *["mit"] * 3, "bsd", "unknown"]
+    assert [got[i].family for i in range(len(PROBES))] == families
+    assert [got[len(PROBES) + i].family for i in range(len(PROBES))] == families
+    assert all([f.paragraph for f in got[len(PROBES) + i].findings] == [2] for i in range(len(PROBES)))
+
+
+def test_wrapped_notice_is_found_as_a_block(spark):
+    text = "Intro.\n\n" + "\n".join(textwrap.wrap(TEMPLATES["mit"][1], 60)) + "\n \nSo it goes.\nOn and on."
+    row = scan(spark, [text])[0]
+    assert row.family == "mit" and [(f.block, f.family, f.confirmed) for f in row.block_findings] == [(2, "mit", True)]
+
+
+def by_hand(paragraph, model):
+    """The class of a paragraph, scored without any gate: plain Python over the model's weights."""
+    words = re.findall(r"[^\W_]+(?:\.[0-9]+)*", paragraph.lower())
+    grams = dict.fromkeys(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    z = list(model.bias)
+    for g in grams:
+        for c, w in enumerate(model.weights.get(g, [])):
+            z[c] += w / math.sqrt(len(grams))
+    f = len(ls.FAMILIES)
+    at = max(range(f), key=lambda c: (z[c], -c))
+    if z[-1] > max(z[at], z[-2]):
+        return "none"
+    odds = -math.log(sum(math.exp(v - z[at]) for c, v in enumerate(z) if c != at))
+    return ls.FAMILIES[at] if 1 / (1 + math.exp(-(model.a * odds + model.b))) >= 0.5 else "unknown"
+
+
+def test_scan_equals_brute_force_over_every_paragraph(spark, sf):
+    """Every line and block of the table, scored without the signs, gives the same findings."""
+    model = ls.fit(spark)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labelled = [t for ts in TEMPLATES.values() for t in ts] + UNKNOWN + NONE
+    texts += ["\n".join(labelled), "\n\n".join("\n".join(textwrap.wrap(t, 50)) for t in labelled), "2.0mit x2mit\n2.0beta 1.2.0\nLICENSE", ""]
+    got = scan(spark, texts)
+    for i, t in enumerate(texts):
+        lines = [(k, c) for k, p in enumerate(t.split("\n"), 1) if t and (c := by_hand(p, model)) != "none"]
+        blocks = [(k, c) for k, b in enumerate(re.split(r"\n(?:[ \t\r]*\n)+", t), 1)
+                  if "\n" in b.strip("\n") and (c := by_hand(b, model)) != "none"]
+        assert [(f.paragraph, f.family) for f in got[i].findings] == lines
+        assert [(f.block, f.family) for f in got[i].block_findings] == blocks
+
+
+def test_no_paragraph_without_a_sign_can_win(spark):
+    """Adversarial: the best n-grams that avoid the signs, in every number, still score ``none``."""
+    model = ls.fit(spark)
+    free = [w for g, w in model.weights.items() if not set(g.split(" ")) & set(model.signs)]
+    for c in range(len(ls.CLASSES) - 1):
+        total = 0.0
+        for m, d in enumerate(sorted((w[c] - w[-1] for w in free), reverse=True), 1):
+            total += max(d, 0)
+            assert model.bias[c] - model.bias[-1] + total / math.sqrt(m) < 0
+        assert model.bias[c] < model.bias[-1]
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, "a\nReleased under the MIT License.\n\nAll rights reserved.", "en", "a"),
             (3, "a\nReleased under the MIT License.\n\nAll rights reserved.", "en", "a"), (None, "Licensed under CC BY-NC 4.0.", "en", "a"),
