@@ -56,9 +56,21 @@ def ngrams(words: Column) -> Column:
 def shingles(words: Column) -> Column:
     """Distinct runs of three words; all words as one run if fewer."""
     n = F.size(words)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))),
-                       lambda i: F.array_join(F.slice(words, i, 3), " "))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    def after(k: int) -> Column:
+        return F.slice(words, k, F.greatest(n, F.lit(1)))
+
+    def joined(left: Column, right: Column) -> Column:
+        return F.zip_with(left, right, lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
+
+    runs = F.filter(joined(joined(words, after(2)), after(3)), lambda r: r.isNotNull())
+    return (F.when(n > 2, F.array_distinct(runs)).when(n > 0, F.array(F.array_join(words, " ")))
+            .otherwise(F.array().cast("array<string>")))
+
+
+def let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def _softmax_regression(x: np.ndarray, y: np.ndarray, k: int, steps: int = 600) -> np.ndarray:
@@ -200,32 +212,35 @@ def classify(paragraph: Column, model: Model) -> Column:
     def scores(grams: Column) -> Column:
         known = F.transform(F.array_intersect(grams, known_grams), lambda g: F.try_element_at(weights, g))
         total = F.aggregate(known, F.array_repeat(F.lit(0.0), k), lambda acc, w: F.zip_with(acc, w, lambda p, q: p + q))
-        scale = F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double"))
-        return F.zip_with(total, F.array(*map(F.lit, model.bias)), lambda t, b: t / scale + b)
+        return let(F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double")), lambda scale: F.zip_with(
+            total, F.array(*map(F.lit, model.bias)), lambda t, b: t / scale + b))
 
     def judged(z: Column) -> Column:
-        best = F.array_max(F.slice(z, 1, f))
-        at = F.array_position(z, best).cast("int")
+        return let(F.array_max(F.slice(z, 1, f)), lambda best: let(
+            F.array_position(z, best).cast("int"), lambda at: family_of(z, best, at)))
+
+    def family_of(z: Column, best: Column, at: Column) -> Column:
         rest = F.aggregate(F.transform(z, lambda v, i: F.when(i + 1 == at, F.lit(0.0)).otherwise(F.exp(v - best))),
                            F.lit(0.0), lambda p, q: p + q)
-        p = 1 / (1 + F.exp(-(F.lit(model.a) * -F.log(rest) + F.lit(model.b))))
         none = F.element_at(z, k) > F.greatest(best, F.element_at(z, k - 1))
-        family = F.when(none, "none").when(p >= 0.5, F.element_at(F.array(*map(F.lit, FAMILIES)), at)).otherwise("unknown")
-        return F.struct(family.alias("family"), p.alias("probability"))
 
-    def let(value: Column, then) -> Column:
-        """``then(value)`` with ``value`` computed once."""
-        return F.element_at(F.transform(F.array(value), then), 1)
+        def named(p: Column) -> Column:
+            family = F.when(none, "none").when(p >= 0.5, F.element_at(F.array(*map(F.lit, FAMILIES)), at)).otherwise("unknown")
+            return F.struct(family.alias("family"), p.alias("probability"))
 
-    def compare(words: Column) -> Column:
-        runs = shingles(words)
+        return let(1 / (1 + F.exp(-(F.lit(model.a) * -F.log(rest) + F.lit(model.b)))), named)
+
+    def similarity(words: Column, family: Column) -> Column:
+        ts = F.coalesce(F.try_element_at(templates, family), F.array().cast("array<array<string>>"))
 
-        def against(family: Column) -> Column:
-            ts = F.coalesce(F.try_element_at(templates, family), F.array().cast("array<array<string>>"))
+        def nearest(runs: Column) -> Column:
             share = F.transform(ts, lambda t: F.size(F.array_intersect(runs, t)) / F.least(F.size(runs), F.size(t)))
             return F.coalesce(F.array_max(share), F.lit(0.0))
 
-        return let(judged(scores(ngrams(words))), lambda j: let(against(j["family"]), lambda s: F.struct(
+        return F.when(family.isin("none", "unknown"), F.lit(0.0)).otherwise(let(shingles(words), nearest))
+
+    def compare(words: Column) -> Column:
+        return let(let(let(ngrams(words), scores), judged), lambda j: let(similarity(words, j["family"]), lambda s: F.struct(
             j["family"].alias("family"), F.round(j["probability"], 6).alias("probability"),
             F.round(s, 6).alias("similarity"), (s >= CONFIRM).alias("confirmed"))))
 
