@@ -70,6 +70,18 @@ LABELLED = [
     """<table><tr><td>Log in.</td></tr><tr><td>§ LONG LONG.</td></tr><tr><td>§ LONG</td></tr></table><div>Hits: 12.</div><div><a
     href=1>Mail us.</a></div>""",
     """<div>Site name</div><article><p>§ Short text</p><ul><li>§ a</li><li>§ b c</li></ul><p>§ The end</p></article><div>Imprint</div>""",
+    """<nav><a href=1>Home</a></nav><article><h1>§ Prices</h1><p class="share-price">§ LONG.</p><p class="menu-of-the-day">§ Soup.</p><div
+    class="related-work"><h2>§ Earlier work</h2><p>§ LONG LONG.</p></div><p>§ LONG.</p></article><div class="share-links">Tell us</div>""",
+    """<div><a href=1>Home</a></div><div class="legal-basis"><p>§ LONG LONG.</p><p>§ It holds.</p></div><div class="ad-free-notes"><p>§
+    LONG.</p></div><div class="ad-box"><p>LONG.</p></div><div>Imprint</div>""",
+    """<div><p>§ He came back.</p><p>§ She was there and said yes.</p></div>""",
+    """<div><p>§ We won.</p><p>§ Nobody in the town had said so before.</p></div>""",
+    """<article><p>§ LONG</p><p>§ LONG</p><p>§ LONG.</p></article>""",
+    """<article><p>§ LONG.</p><p>§ LONG.</p><p>§ LONG</p></article>""",
+    """<div><a href=1>Start</a></div><div><p>§ It rained.</p><p>§ They stayed in all day.</p></div><div>Imprint</div>""",
+    """<article><h1>§ Around blocks</h1><p>§ LONG LONG.</p><p>§ LONG.</p><a href=1><div>One more story</div></a><a href=2><div><h3>And another
+    story</h3><p>LONG.</p></div></a></article><footer>Imprint</footer>""",
+    """<article><h1>§ Cards between</h1><p>§ LONG.</p><a href=1><div>Read on about the town</div></a><p>§ LONG.</p><p>§ LONG.</p></article>""",
 ]
 
 
