@@ -178,11 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> Mode
     usable label, or one class only, every text scores that class's share."""
     prepare(docs.sparkSession)
     sample = labelled_sample(docs, labels, "toxic", max_rows, fold=True)
-    # one text of each group of copies: equal smallest hash of words two apart
+    # one text of each group of copies (equal smallest hash of words two apart): the smallest id's
     w = F.split(F.lower("text"), r"\s+")
     three = F.zip_with(w, F.slice(w, 3, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-    sample = materialize(sample.withColumn("_copy", F.coalesce(F.array_min(three), F.xxhash64("text")))
-                         .dropDuplicates(["_copy"])
+    sample = materialize(sample.groupBy(F.coalesce(F.array_min(three), F.xxhash64("text")).alias("_copy"))
+                         .agg(F.min(F.struct("doc_id", "text", "y")).alias("first")).select("_copy", "first.*")
                          .withColumn("half", F.pmod(F.xxhash64("_copy"), F.lit(2)).cast("int"))
                          .select("doc_id", "text", F.col("y").cast("int").alias("y"), "half"), "toxic-sample")
     sizes = {(r["half"], r["y"]): r["count"] for r in sample.groupBy("half", "y").count().collect()}
