@@ -27,9 +27,6 @@ from .common import append_columns, column_names, labelled_sample, materialize,
 
 SAMPLE_ROWS = 8000
 THRESHOLD = 0.5
-#: Most that a site's posterior may shift a document's log-odds, either way: a
-#: site alone does not decide (1.5 takes a probability of 0.18 to one half).
-MAX_SHIFT = 1.5
 BROADCAST_PATHS = 20_000
 
 _WORDISH = re.compile(r"\w")
@@ -133,7 +130,7 @@ def site_posteriors(seen: DataFrame, host: str, path: str, log_odds: str) -> Dat
     rate = (F.col("good") + b * F.col("host_rate")) / (F.col("n") + b)
     logit = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) - float(np.log(mean / (1 - mean)))
     return (both.withColumn("path_rate", F.least(F.greatest(rate, F.lit(1e-4)), F.lit(1 - 1e-4)))
-            .withColumn("shift", F.least(F.greatest(logit, F.lit(-MAX_SHIFT)), F.lit(MAX_SHIFT)))
+            .withColumn("shift", logit)
             .select("host", "path", "n", "host_rate", "path_rate", "shift"))
 
 
