@@ -140,6 +140,13 @@ def _sets(docs: DataFrame, n_words: int, percent: int, ranks) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h1 long, h2 long, n long, prefix array<long>")
 
 
+def _with_lists(rows: DataFrame, wanted: Column, *facts: Column) -> DataFrame:
+    """``rows`` with facts about their token's list, where ``wanted`` holds of
+    them. A list is aggregated before the shuffle and joined back as one row,
+    so a token of very many documents is split among tasks like any skewed join."""
+    return rows.join(rows.groupBy("token").agg(*facts).where(wanted), "token")
+
+
 def _postings(classes: DataFrame, percent: int) -> DataFrame:
     """Tokens that several classes file themselves under: ``token, cid, pos, n,
     p, leader`` with each class's prefix length ``p`` chosen by cost."""
@@ -181,10 +188,8 @@ def _fewest_needed(n: Column, rest: Column, lo: Column, hi: Column, rest_of, per
 def _between_parts(rows: DataFrame) -> DataFrame:
     """Rows of tokens that different parts share, with the list's length and
     the smallest and largest set size in it."""
-    by_token = Window.partitionBy("token")
-    return (rows.withColumn("p_lo", F.min("part").over(by_token)).withColumn("p_hi", F.max("part").over(by_token))
-            .withColumn("lo", F.min("n").over(by_token)).withColumn("hi", F.max("n").over(by_token))
-            .withColumn("len", F.count(F.lit(1)).over(by_token)).where(F.col("p_lo") != F.col("p_hi")).drop("p_lo", "p_hi"))
+    return _with_lists(rows, F.col("p_lo") != F.col("p_hi"), F.min("part").alias("p_lo"), F.max("part").alias("p_hi"),
+                       F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("len")).drop("p_lo", "p_hi")
 
 
 def _open_documents(rows: DataFrame, rest: Column, rest_of, percent: int) -> DataFrame:
