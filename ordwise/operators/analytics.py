@@ -36,15 +36,27 @@ def delivery_times(milestones: DataFrame) -> DataFrame:
 
 def avg_delivery_time(milestones: DataFrame) -> DataFrame:
     """Average of ``delivered_at - paid_at`` over orders having both.
-    Reported as an exact integer sum plus a rounded mean in hours."""
+    Reported as an exact integer sum plus a rounded mean in hours. The sum is a
+    decimal: that of some 300,000 orders passes the range of a long
+    (``as_long_if_it_fits`` gives it as one where it can)."""
     d = delivery_times(milestones)
+    total = F.sum(F.col("delivery_micros").cast("decimal(19,0)"))
     return d.agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum("delivery_micros").alias("total_delivery_micros"),
-        F.round(F.sum("delivery_micros") / F.count(F.lit(1)) / F.lit(3.6e9), 6).alias("avg_delivery_hours"),
+        total.alias("total_delivery_micros"),
+        F.round(total.cast("double") / F.count(F.lit(1)) / F.lit(3.6e9), 6).alias("avg_delivery_hours"),
     )
 
 
+def as_long_if_it_fits(report: DataFrame, column: str) -> DataFrame:
+    """A stored report of few rows with its exact decimal ``column`` as a long;
+    as it is when a value passes the range of one."""
+    small = F.col(column).try_cast("long")
+    if report.where(F.col(column).isNotNull() & small.isNull()).isEmpty():
+        return report.withColumn(column, small)
+    return report
+
+
 def partition_key(ts_col: str = "arrival_ts"):
     return F.date_format(F.col(ts_col), PARTITION_KEY_FORMAT)
 
