@@ -6,9 +6,12 @@ a restart on the same checkpoint neither repeats nor misses a row.
 ``counts_with_late`` counts events per event-time window and type. A window is
 closed by a timer once the watermark passes its end; a row of a closed window
 is not dropped but comes out as it is, as ``kind = 'late'`` (and as
-``untimed`` without an event time). Every row is counted or comes out. A
-window is split over ``salts`` keys, so that a busy one is counted by several
-tasks; ``read_counts`` adds the parts up.
+``untimed`` without an event time). Every row is counted or comes out. The
+windows of an hour are a page: one state of open counts and one timer, set to
+the first end among them, so that the calls to the state store follow the
+hours of the events and not their windows or rows. A page is split over
+``salts`` keys, so that a busy hour is counted by several tasks;
+``read_counts`` adds the parts up.
 
 ``running_totals`` carries, per key, the count of all windows closed so far and
 puts it on every window as it closes. What is shuffled is the table of closed
@@ -17,8 +20,10 @@ windows, not events.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +36,13 @@ from .keyed import rocksdb_state
 DEFAULT_SALTS = 8
 #: The window key of rows without an event time (keys are never null).
 UNTIMED = -(1 << 62)
+#: A page of windows spans about so much.
+PAGE_MS = 3_600_000
 _LATE = [*EVENT_COLUMNS, "arrival_ts", "arrival_seq"]
 _COUNTED = ("kind string, window_ms long, series string, n long, event_id string, order_id string, event_type string, "
             "timestamp timestamp_ntz, customer_id string, product_id string, quantity int, price double, "
             "arrival_ts timestamp_ntz, arrival_seq long")
+_COUNTED_COLS = [f.split()[0] for f in _COUNTED.split(", ")]
 _TOTALS = "series string, window_start timestamp_ntz, window_end timestamp_ntz, n long, running_n long"
 
 
@@ -48,33 +56,51 @@ def _value(series: Column) -> Column:
 
 
 class WindowCounts(StatefulProcessor):
+    """Counts of one page of windows."""
+
     def __init__(self, millis: int):
         self.millis = millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.n = handle.getValueState("n", "n long")
+        self.open = handle.getValueState("open", "window_ms array<long>, series array<string>, n array<long>")
+
+    def _held(self) -> dict[tuple, int]:
+        got = self.open.get()
+        return {} if got is None else {(w, s): n for w, s, n in zip(*got)}
+
+    def _hold(self, counts: dict[tuple, int]) -> None:
+        if not counts:
+            return self.open.clear()
+        self.open.update(([w for w, _ in counts], [s for _, s in counts], list(counts.values())))
+        self.handle.registerTimer(min(w for w, _ in counts) + self.millis)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        start, series = key[0], key[1]
-        kind = "untimed" if start == UNTIMED else \
-            "late" if start + self.millis <= timerValues.getCurrentWatermarkInMs() else None
-        if kind:
-            for chunk in rows:
-                yield chunk[_LATE].assign(kind=kind, window_ms=pd.array([None if kind == "untimed" else start] * len(chunk), "Int64"),
-                                          series=series, n=1)[[f.split()[0] for f in _COUNTED.split(", ")]]
-            return
-        held = self.n.get()
-        self.n.update(((held[0] if held is not None else 0) + sum(len(chunk) for chunk in rows),))
-        if held is None:
-            self.handle.registerTimer(int(start) + self.millis)
+        watermark, found = timerValues.getCurrentWatermarkInMs(), Counter()
+        for chunk in rows:
+            start = chunk["window_ms"]
+            untimed = start == UNTIMED
+            told = untimed | (start + self.millis <= watermark)
+            if told.any():
+                rest = chunk[told]
+                yield rest[_LATE].assign(kind=np.where(untimed[told], "untimed", "late"), series=rest["series"], n=1,
+                                         window_ms=rest["window_ms"].astype("Int64").mask(untimed[told]))[_COUNTED_COLS]
+            found.update(chunk[~told].groupby(["window_ms", "series"], sort=False).size().to_dict())
+        if found:
+            counts = self._held()
+            for (w, s), n in found.items():
+                counts[int(w), s] = counts.get((w, s), 0) + int(n)
+            self._hold(counts)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n = self.n.get()[0]
-        self.n.clear()
-        row = {"kind": ["counted"], "window_ms": [key[0]], "series": [key[1]], "n": [n]}
-        yield pd.DataFrame(row | {c: pd.Series([None], dtype="datetime64[us]" if c in ("timestamp", "arrival_ts") else object)
-                                  for c in _LATE})
+        watermark, counts = timerValues.getCurrentWatermarkInMs(), self._held()
+        closed = [(w, s, n) for (w, s), n in counts.items() if w + self.millis <= watermark]
+        if not closed:
+            return
+        self._hold({(w, s): n for (w, s), n in counts.items() if w + self.millis > watermark})
+        out = pd.DataFrame(closed, columns=["window_ms", "series", "n"]).assign(kind="counted")
+        yield out.assign(**{c: pd.Series([None] * len(out), dtype="datetime64[us]" if c in ("timestamp", "arrival_ts") else object)
+                            for c in _LATE})[_COUNTED_COLS]
 
     def close(self) -> None:
         pass
@@ -89,9 +115,11 @@ def counts_with_late(decoded: DataFrame, seconds: int = metrics.COUNT_WINDOW_SEC
     # the rows behind it before its code sees them
     marked = decoded.withColumn("_wm_ts", F.col(ts_col).cast("timestamp")).withWatermark("_wm_ts", watermark)
     ms = F.unix_millis(F.col(ts_col).cast("timestamp"))
+    page = millis * max(1, PAGE_MS // millis)
     keyed = marked.select(*_LATE, F.coalesce(F.floor(ms / millis) * millis, F.lit(UNTIMED)).alias("window_ms"), _series(F.col(by)).alias("series"),
+                          F.coalesce(F.floor(ms / page), F.lit(UNTIMED)).alias("page"),
                           F.pmod(F.xxhash64("arrival_seq"), F.lit(salts)).cast("int").alias("salt"))
-    out = keyed.groupBy("window_ms", "series", "salt").transformWithStateInPandas(
+    out = keyed.groupBy("page", "salt").transformWithStateInPandas(
         WindowCounts(millis), _COUNTED, "append", "eventTime")
     start = F.timestamp_millis("window_ms").cast("timestamp_ntz")
     return out.select("kind", start.alias("window_start"), (start + F.make_dt_interval(secs=F.lit(seconds))).alias("window_end"),

@@ -126,3 +126,35 @@ def test_archived_source_files_are_not_read_again(spark):
     left = [r.file_path for r in list_files(spark, f"{root}/src").collect() if r.file_path.endswith(".parquet")]
     assert moved and not {p.rsplit("/", 1)[1] for p in moved} & {p.rsplit("/", 1)[1] for p in left}
     assert sorted(r.arrival_seq for r in spark.read.parquet(f"{root}/out").collect()) == list(range(1, 91))
+
+
+def progress(spark, wire, start):
+    """State rows that a batch of one availableNow run updated, at most, and the run's folder."""
+    root = tempfile.mkdtemp(prefix="ordwise-keyed-")
+    write_wire_files(wire, f"{root}/src")
+    query = start(read_event_stream(spark, "files", f"{root}/src"), f"{root}/out", f"{root}/ck", trigger={"availableNow": True})
+    jobs.run_available(query)
+    return max(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"]), root
+
+
+def test_state_of_windows_follows_hours_not_windows(spark):
+    """600 windows of three hours, two types each: a window of a type is no state of its own."""
+    ev = make_events(spark, [(k, k * 0.3, "o", f"e{k}", ["ORDER_PAID", "ORDER_SHIPPED"][k % 2]) for k in range(600)])
+    end = make_events(spark, [(1000, 60 * 24, "end", "end", "SENTINEL")])
+    updated, root = progress(spark, wire_of(ev.unionByName(end)), lambda s, out, ck, **kw: windows.start_counts_with_late(
+        jobs.decode_stream(s), out, ck, **kw))
+    assert 0 < updated <= 4 * windows.DEFAULT_SALTS * 4
+    got = windows.read_counts(spark, f"{root}/out")
+    want = metrics.counts_tumbling(ev, 30, "timestamp")
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+    assert windows.read_late(spark, f"{root}/out").count() == 0
+
+
+def test_a_page_closes_window_by_window(spark):
+    """The watermark goes through one hour: a closed window is written while
+    the page's later ones still count, over a restart each."""
+    ev = make_events(spark, [(k, k * 0.5, "o", f"e{k}", "ORDER_PAID") for k in range(1, 101)])
+    root = run(spark, cut(wire_of(ev), 30, 60), lambda s, out, ck, **kw: windows.start_counts_with_late(jobs.decode_stream(s), out, ck, **kw))
+    got = windows.read_counts(spark, f"{root}/out")
+    assert got.count() == got.agg(F.sum("n")).first()[0] and 95 <= got.count() < 100
+    assert got.agg(F.max("window_start")).first()[0] < minutes(50)
