@@ -4,6 +4,7 @@ their late rows, running totals, a source that archives what it has read."""
 from __future__ import annotations
 
 import datetime as dt
+import random
 import tempfile
 
 import pytest
@@ -158,3 +159,56 @@ def test_a_page_closes_window_by_window(spark):
     got = windows.read_counts(spark, f"{root}/out")
     assert got.count() == got.agg(F.sum("n")).first()[0] and 95 <= got.count() < 100
     assert got.agg(F.max("window_start")).first()[0] < minutes(50)
+
+
+def test_state_of_orders_lies_in_pages_and_hours_in_few_files(spark):
+    """2,000 orders over two hours, in two runs: far fewer state rows than
+    orders, and no more files than an hour's share."""
+    rows = [(k, k * 0.03, f"o{k % 2000}", f"e{k}", ["ORDER_PAID", "ORDER_SHIPPED"][k % 2]) for k in range(1, 4001)]
+    ev, before = make_events(spark, rows), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        updated, root = progress(spark, wire_of(ev), keyed.start_keyed_validation)
+        parts = run(spark, cut(wire_of(ev), 1500), lambda s, out, ck, **kw: keyed.start_keyed_validation(s, out, ck, **kw, buckets=3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 0 < updated < 1000
+    files = [r.file_path for r in list_files(spark, f"{root}/out").collect() if r.file_path.endswith(".parquet")]
+    assert len(files) <= 2 * 3 * keyed.FILES_PER_HOUR
+    want = routes(process_events(ev))
+    for at in (root, parts):
+        assert routes(spark.read.parquet(f"{at}/out")) == want
+
+
+def test_a_paged_map_holds_what_a_dict_holds():
+    class Store:
+        """A state variable, as a handle gives it."""
+        def __init__(self):
+            self.held, self.one = {}, None
+        getValue = lambda self, k: self.held.get(k)
+        updateValue = lambda self, k, v: self.held.__setitem__(k, v)
+        removeKey = lambda self, k: self.held.pop(k, None)
+        get = lambda self: self.one
+        update = lambda self, v: setattr(self, "one", v)
+        clear = lambda self: self.__init__()
+
+    class Handle:
+        getMapState = getValueState = lambda self, *a: Store()
+
+    paged, want, rng = keyed.PagedMap(Handle(), "m", "rk int, us long"), {}, random.Random(3)
+    for step in range(60):
+        paged.begin()
+        assert all(tuple(paged.get(k)) == v for k, v in rng.sample(sorted(want.items()), min(50, len(want)))) and paged.get("none") is None
+        new = {f"k{rng.randrange(4000)}": (rng.randrange(9), step) for _ in range(rng.choice([0, 1, 10, 300]))}
+        paged.put(new)
+        want |= new
+        if step % 20 == 19:
+            paged.begin()
+            paged.discard(lambda v: v[0] == 4)
+            want = {k: v for k, v in want.items() if v[0] != 4}
+        if step == 40:
+            paged.clear()
+            want = {}
+        paged.begin()
+        assert paged.entries == len(want) and {k: tuple(v) for at in range(paged.pages) for k, v in paged._page(at).items()} == want
+        assert len(want) <= keyed.PAGE * paged.pages
