@@ -249,8 +249,10 @@ DATASETS = ["valid", "invalid"]
 
 def _routed_once(spark, sf):
     """Routed events materialised once in the checkpoint folder, so the
-    archive slices below do not each recompute dedup and validation."""
-    return materialize(routed(spark, sf), "routed")
+    archive slices below do not each recompute dedup and validation. The decoded
+    events are stored before: hot orders are looked for in their key columns,
+    not by decoding all lines once more."""
+    return materialize(process_events(materialize(clickstream_events(spark, sf), "decoded")), "routed")
 
 
 def _write_slice(r, landing, first: bool):
