@@ -339,13 +339,20 @@ def q_orders_from_loads(spark, sf):
 SENTINEL = "SENTINEL"  # closes the open windows; its own window stays open
 
 
+def _sliced(rows):
+    """Stored in a folder per slice, of which a slice reads its own."""
+    path = scratch_path(rows.sparkSession, "slices")
+    rows.write.partitionBy("slice").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _replay(spark, sf, name, start_query, close_windows=False, archive=False):
     """Land the wire records slice by slice and run ``start_query(stream,
     root, checkpoint)`` to completion after each slice. ``archive``: the source
     moves files it is done with."""
     root = scratch_path(spark, name)
     src, ck = f"{root}/source", f"{root}/checkpoint"
-    wire = materialize(arrival_slice(clickstream_wire(table(spark, sf, "events"))), "wire")
+    wire = _sliced(arrival_slice(clickstream_wire(table(spark, sf, "events"))))
     slices = [wire.where(F.col("slice") == k).drop("slice") for k in range(SLICES)]
     if close_windows:
         later = wire.agg((F.max("arrival_ts") + F.make_dt_interval(F.lit(2))).alias("arrival_ts"), (F.max("arrival_seq") + 10).alias("arrival_seq"))
