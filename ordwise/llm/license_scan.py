@@ -22,8 +22,10 @@ depends on the labelled table only.
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 from textwrap import wrap
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,8 @@ CLASSES = [*FAMILIES, "unknown", "none"]
 CONFIRM = 0.6
 #: Weight of the absolute-value penalty.
 PENALTY = 0.03
+#: Maps that the weights are dealt out over, by crc32 of the n-gram.
+MAPS = 256
 
 
 def tokens(paragraph: Column) -> Column:
@@ -48,9 +52,9 @@ def tokens(paragraph: Column) -> Column:
 
 def ngrams(words: Column) -> Column:
     """Distinct words and pairs of neighbouring words."""
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
-                       lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-    return F.array_distinct(F.concat(words, F.filter(pairs, lambda p: p.isNotNull())))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.concat(words, pairs))
 
 
 def shingles(words: Column) -> Column:
@@ -187,7 +191,6 @@ def fit(spark: SparkSession) -> Model:
 
 @lru_cache(maxsize=1)
 def _template_runs() -> dict[str, list[list[str]]]:
-    import re
     word = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
     def runs(t: str) -> list[str]:
@@ -205,12 +208,18 @@ def _literal(value, ddl: str) -> Column:
 def classify(paragraph: Column, model: Model) -> Column:
     """``struct(family, probability, similarity, confirmed)`` of one paragraph."""
     k, f = len(CLASSES), len(FAMILIES)
-    weights = _literal(model.weights, "map<string,array<double>>")
-    known_grams = _literal(sorted(model.weights), "array<string>")
+    # a map is searched from its first key on: the weights are dealt out over small ones
+    dealt: list[dict[str, list[float]]] = [{} for _ in range(MAPS)]
+    for gram, w in model.weights.items():
+        dealt[crc32(gram.encode()) % MAPS][gram] = w
+    weights = _literal(dealt, "array<map<string,array<double>>>")
     templates = _literal(_template_runs(), "map<string,array<array<string>>>")
 
+    def weight(gram: Column) -> Column:
+        return F.try_element_at(F.element_at(weights, (F.crc32(gram.cast("binary")) % MAPS + 1).cast("int")), gram)
+
     def scores(grams: Column) -> Column:
-        known = F.transform(F.array_intersect(grams, known_grams), lambda g: F.try_element_at(weights, g))
+        known = F.transform(F.filter(grams, lambda g: g.isin(*model.weights)), weight)
         total = F.aggregate(known, F.array_repeat(F.lit(0.0), k), lambda acc, w: F.zip_with(acc, w, lambda p, q: p + q))
         return let(F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double")), lambda scale: F.zip_with(
             total, F.array(*map(F.lit, model.bias)), lambda t, b: t / scale + b))
@@ -247,12 +256,23 @@ def classify(paragraph: Column, model: Model) -> Column:
     return let(tokens(paragraph), compare)
 
 
+def either(words: set[str]) -> str:
+    """A pattern for any of the words, common beginnings written once, so that
+    a place in a text is held against a letter of each, not against all words."""
+    rest: dict[str, set[str]] = {}
+    for word in words - {""}:
+        rest.setdefault(word[0], set()).add(word[1:])
+    found = "|".join(re.escape(c) + either(ends) for c, ends in sorted(rest.items()))
+    return "" if not rest else f"(?:{found})?" if "" in words else f"(?:{found})" if len(rest) > 1 else found
+
+
 def sign_pattern(model: Model) -> str:
     """A pattern that finds, in lower-case text, every token that is a sign.
     A token may follow a digit ("2.0mit"), one with a dot may precede a letter."""
-    plain = "|".join(sorted(s for s in model.signs if "." not in s))
-    dotted = "|".join(sorted(s.replace(".", r"\.") for s in model.signs if "." in s))
-    return rf"(?<!\p{{L}})(?:(?:{plain})(?![\p{{L}}\p{{N}}])" + (rf"|(?:{dotted}))" if dotted else ")")
+    plain, dotted = ({s for s in model.signs if ("." in s) == dot} for dot in (False, True))
+    first = "".join(sorted({s[0] for s in model.signs}))
+    return (rf"(?=[{first}])(?<!\p{{L}})(?:(?:{either(plain)})(?![\p{{L}}\p{{N}}])"
+            + (rf"|{either(dotted)})" if dotted else ")"))
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -267,13 +287,15 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     prepare(docs.sparkSession)
     model = fit(docs.sparkSession)
     signs = sign_pattern(model)
-    body = F.coalesce(F.col(text), F.lit(""))
-    item = "array<struct<at:int,p:string>>"
+    body, item = F.col("body"), "array<struct<at:int,p:string>>"
+    # the whole text is searched for signs once, for lines and blocks
+    docs = (docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+            .withColumn("signed", F.lower("body").rlike(signs)))
 
     def found(pieces: Column, at: str) -> Column:
         numbered = F.filter(F.transform(pieces, lambda p, i: F.struct((i + 1).alias("at"), p.alias("p"))),
                             lambda r: F.lower(r["p"]).rlike(signs))
-        numbered = F.when(F.lower(body).rlike(signs), numbered).otherwise(F.array().cast(item))
+        numbered = F.when(F.col("signed"), numbered).otherwise(F.array().cast(item))
         judged = F.filter(F.transform(numbered, lambda r: F.struct(
             r["at"].alias("at"), classify(r["p"], model).alias("c"))), lambda r: r["c"]["family"] != "none")
         return F.transform(judged, lambda r: F.struct(
@@ -291,6 +313,6 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
             r["family"].alias("family")))
 
     surest = F.array_min(F.concat(order("findings", "paragraph", 0), order("block_findings", "block", 1)))
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), n.alias("n_paragraphs"),
+    return (docs.select("doc_id", n.alias("n_paragraphs"),
                         found(F.split(body, "\n"), "paragraph").alias("findings"), found(blocks, "block").alias("block_findings"))
             .withColumn("family", surest["family"]))

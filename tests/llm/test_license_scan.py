@@ -100,6 +100,22 @@ def test_no_paragraph_without_a_sign_can_win(spark):
         assert model.bias[c] < model.bias[-1]
 
 
+def test_common_beginnings_are_written_once():
+    """The pattern matches its words and nothing else, and no place tries two alternatives with one letter."""
+    words = {"licence", "license", "licensed", "mit", "rights", "réservés", "v1.0", "v2.0", "a", "all"}
+    pattern = ls.either(words)
+    assert ls.either({"license", "licensed"}) == "license(?:d)?" and ls.either({"apache", "appear"}) == "ap(?:ache|pear)"
+    tried = words | {w[:i] for w in words for i in range(len(w))} | {w + x for w in words for x in "ds0."} | {"v1x0", "it", "ll"}
+    assert {t for t in tried if re.fullmatch(pattern, t)} == words
+
+
+def test_text_is_searched_for_signs_once(spark):
+    """One search over the whole text serves lines and blocks; lines and blocks then have one each."""
+    pattern = ls.sign_pattern(ls.fit(spark))
+    plan = ls.scan(docs(spark, [(1, "All rights reserved.", "en", "a")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(pattern) == 3
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, "a\nReleased under the MIT License.\n\nAll rights reserved.", "en", "a"),
             (3, "a\nReleased under the MIT License.\n\nAll rights reserved.", "en", "a"), (None, "Licensed under CC BY-NC 4.0.", "en", "a"),
